@@ -26,8 +26,9 @@ def to_publish(df: DataFrame, order: Sequence[str], field: str, fields: Sequence
                hot_rows: int | None = None) -> DataFrame:
     """Rows a publisher sends: filtered, ahead of the mark, numbered in order."""
     chosen = df.filter(all_of(*predicates))
-    ahead = advance_only(chosen, order, field, by, marks, hot_rows)
-    numbered = number_records(ahead, order, by, hot_rows=hot_rows)
+    ahead = advance_only(chosen, order, field, by, marks, hot_rows=hot_rows, sized_by=chosen)
+    # No group has grown, so the sizes of the input decide again.
+    numbered = number_records(ahead, order, by, hot_rows=hot_rows, sized_by=chosen)
     return select_fields(numbered, [*by, *[f for f in fields if f not in by], "key_id"])
 
 
@@ -35,7 +36,11 @@ def as_message(records: DataFrame, time_col: str = "date") -> DataFrame:
     return records.withColumn(time_col, iso_text(time_col))
 
 
-def merged_marks(marks: DataFrame | None, published: DataFrame, field: str, by: Sequence[str] = ()) -> DataFrame:
-    """Marks after a publication; sources without new rows keep theirs."""
-    new = current_mark(published, field, by)
+def merged_marks(marks: DataFrame | None, seen: DataFrame, field: str, by: Sequence[str] = ()) -> DataFrame:
+    """Marks after a publication; sources without new rows keep theirs.
+
+    The newest row of a source is always published unless the mark is newer,
+    so the rows seen need not be filtered first.
+    """
+    new = current_mark(seen, field, by)
     return new if marks is None else current_mark(marks.select(*new.columns).unionByName(new), field, by)

@@ -1,4 +1,8 @@
-"""Operators that look at the rows before: change, high-water mark, numbering, last n."""
+"""Operators that look at the rows before: change, high-water mark, numbering, last n.
+
+``sizing`` options (``hot_rows``, ``sized_by``, ``group_bound``) are those of
+``ordered_scan``.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +19,7 @@ def _upto_previous(w):
 
 
 def pct_change(df: DataFrame, order: Sequence[str], col: str, by: Sequence[str] = (),
-               name: str | None = None, hot_rows: int | None = None) -> DataFrame:
+               name: str | None = None, **sizing) -> DataFrame:
     """Percent change against the row before, gaps filled forward; null after a zero."""
     name = name or f"{col}_change_pct"
     known = F.struct(*[quoted(o) for o in order])
@@ -25,7 +29,7 @@ def pct_change(df: DataFrame, order: Sequence[str], col: str, by: Sequence[str]
         summary=F.max_by(quoted(col), F.when(quoted(col).isNotNull(), known)),
         fold=lambda s, w: F.last(s, ignorenulls=True).over(w),
         merge=lambda mine, carry: F.coalesce(mine, carry),
-        hot_rows=hot_rows,
+        **sizing,
     )
     current = F.coalesce(quoted(col), F.col("_previous"))
     change = (F.try_divide(current, F.col("_previous")) - 1) * 100
@@ -33,7 +37,7 @@ def pct_change(df: DataFrame, order: Sequence[str], col: str, by: Sequence[str]
 
 
 def advance_only(df: DataFrame, order: Sequence[str], field: str, by: Sequence[str] = (),
-                 marks: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+                 marks: DataFrame | None = None, **sizing) -> DataFrame:
     """Rows whose field is above the starting mark and above every earlier row.
 
     ``marks`` holds (by..., field): the value published last per group. It is
@@ -49,14 +53,14 @@ def advance_only(df: DataFrame, order: Sequence[str], field: str, by: Sequence[s
         summary=F.max(quoted(field)),
         fold=lambda s, w: F.max(s).over(w),
         merge=lambda mine, carry: F.greatest(mine, carry.cast(rows.schema[field].dataType)),
-        hot_rows=hot_rows,
+        **sizing,
     )
     ahead = F.col("_highest").isNull() | (quoted(field) > F.col("_highest"))
     return scanned.filter((F.col("_seed") == 0) & ahead).drop("_seed", "_highest")
 
 
 def row_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "row_index",
-              hot_rows: int | None = None) -> DataFrame:
+              **sizing) -> DataFrame:
     """Position of a row in its group, from 0."""
     return ordered_scan(
         df, name, by, order,
@@ -64,14 +68,14 @@ def row_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
         summary=F.count(F.lit(1)),
         fold=lambda s, w: F.sum(s).over(w),
         merge=lambda mine, carry: mine + F.coalesce(carry.cast("long"), F.lit(0)),
-        hot_rows=hot_rows,
+        **sizing,
     )
 
 
 def number_records(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "key_id",
-                   hot_rows: int | None = None) -> DataFrame:
+                   **sizing) -> DataFrame:
     """``record_0, record_1, ...`` in order."""
-    numbered = row_index(df, order, by, "_index", hot_rows)
+    numbered = row_index(df, order, by, "_index", **sizing)
     return numbered.withColumn(name, F.concat(F.lit("record_"), F.col("_index").cast("string"))).drop("_index")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gridmill.functions.columns import quoted
 from gridmill.functions.timecols import as_utc, instant
 from gridmill.operators.ordered import row_index
+from gridmill.sources.lake import delete_folder, folders
 
 DELETE_BATCH = 1000
 
@@ -74,14 +75,8 @@ def expire_partitions(df: DataFrame, date_col: str, as_of: datetime, days: int)
 def drop_expired_partitions(spark: SparkSession, path: str, date_col: str, as_of: datetime, days: int) -> list[str]:
     """Remove old day folders of a table; returns their names (one per day)."""
     first = (as_utc(as_of) - timedelta(days=days)).date().isoformat()
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = root.getFileSystem(conf)
-    dropped = []
-    for status in filesystem.listStatus(root):
-        name = status.getPath().getName()
-        day = name.removeprefix(f"{date_col}=")
-        if name.startswith(f"{date_col}=") and len(day) == 10 and day < first:
-            filesystem.delete(status.getPath(), True)
-            dropped.append(day)
-    return sorted(dropped)
+    days_stored = [n.removeprefix(f"{date_col}=") for n in folders(spark, path) if n.startswith(f"{date_col}=")]
+    dropped = sorted(d for d in days_stored if len(d) == 10 and d < first)
+    for day in dropped:
+        delete_folder(spark, f"{path}/{date_col}={day}")
+    return dropped

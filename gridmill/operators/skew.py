@@ -17,6 +17,10 @@ BROADCAST_ROWS = 100_000
 HOT_ROWS = 5_000_000
 # Copies of the smaller side when a join has to be salted.
 SALTS = 32
+# Range partitions of the hot groups; more than this many cost more than they spread.
+MAX_SPLITS = 20_000
+# A DATE has no more values than this, so a daily series never has a hot group.
+CALENDAR_DAYS = 3_652_059
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
@@ -58,6 +62,8 @@ def ordered_scan(
     fold: Callable[[Column, WindowSpec], Column],
     merge: Callable[[Column, Column], Column],
     hot_rows: int | None = None,
+    sized_by: DataFrame | None = None,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """Add ``name``: a value that depends on all earlier rows of the group.
 
@@ -66,11 +72,11 @@ def ordered_scan(
     computes ``local`` alone, its ``summary`` (one row per split) is folded
     over the earlier splits, and ``merge`` combines the two. ``order`` must be
     unique inside a group.
+
+    Group sizes are counted on ``sized_by`` (a cheaper table whose groups are
+    at least as large) or on ``df``; a known ``group_bound`` saves the count.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    sizes = df.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > limit)
-    hot_total = hot.agg(F.sum("_rows")).first()[0] or 0
     order_cols = [quoted(c).asc() for c in order]
     nothing = F.lit(None)
 
@@ -78,6 +84,12 @@ def ordered_scan(
         w = Window.partitionBy(*[quoted(c) for c in by]).orderBy(*order_cols)
         return rows.withColumn(name, merge(local(w), nothing))
 
+    if group_bound is not None and group_bound <= limit:
+        return plain(df)
+    counted = df if sized_by is None else sized_by
+    hot = (counted.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("_rows"))
+           .filter(F.col("_rows") > limit))
+    hot_total = hot.agg(F.sum("_rows")).first()[0] or 0
     if hot_total == 0:
         return plain(df)
 
@@ -89,7 +101,7 @@ def ordered_scan(
     else:
         heavy, light = df, None
 
-    splits = max(2, math.ceil(2 * hot_total / limit))
+    splits = min(MAX_SPLITS, max(2, math.ceil(2 * hot_total / limit)))
     # The split id must not change when a task is run again: it is materialised.
     cut = checkpointed(
         heavy.repartitionByRange(splits, *[quoted(c).asc() for c in by], *order_cols)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridmill.functions.columns import (
-    drop_any_null, drop_for_parameter, kelvin_to_celsius, narrow, normalize_headers, quoted, rename,
+    all_of, drop_any_null, drop_for_parameter, kelvin_to_celsius, narrow, normalize_headers, quoted, rename,
 )
 from gridmill.functions.timecols import BERLIN, in_month, parse_hour_stamp, parse_iso, to_local, with_calendar_parts
 from gridmill.operators.periods import (
@@ -17,11 +18,11 @@ from gridmill.operators.periods import (
 from gridmill.operators.retention import expired_objects, purge
 from gridmill.operators.shape import dedup_prefer, union_sources
 from gridmill.schemas import FORECAST_ELEMENTS, KELVIN_COLUMNS, weather_parameter
-from gridmill.sinks.lake import read_ledger, write_once
+from gridmill.operators.ingest import as_message, merged_marks, to_publish
+from gridmill.sinks.lake import KEY, publish, read_ledger, write_once
 from gridmill.sources.forecast import forecast_wide, read_placemarks, read_steps
-from gridmill.sources.lake import data_path
 from gridmill.streaming.feeds import stream_gas, stream_load
-from gridmill.streaming.sinks import load_incremental, stream_write_once
+from gridmill.streaming.sinks import load_incremental, read_marks, stream_write_once, write_marks
 
 
 # -- transforms ----------------------------------------------------------------------
@@ -69,11 +70,25 @@ def load_feed(history: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
 
 # -- jobs ------------------------------------------------------------------------------
 
-def to_warehouse(spark: SparkSession, lake: str, feed: str, table: str, state: str, partition_col: str,
+def through_lake(rows: DataFrame, lake: str, feed: str, table: str, state: str, partition_col: str, at: datetime,
+                 batch_id: str) -> DataFrame:
+    """Write keyed rows once to the lake, then load the new objects; returns the objects that failed.
+
+    The rows are a slice of a parsed source and are needed twice, so they are
+    kept instead of being parsed again.
+    """
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_once(rows, lake, feed, batch_id)
+    finally:
+        rows.unpersist()
+    return to_warehouse(rows, lake, feed, table, state, partition_col, at)
+
+
+def to_warehouse(rows: DataFrame, lake: str, feed: str, table: str, state: str, partition_col: str,
                  at: datetime) -> DataFrame:
-    """Load the new objects of a feed; returns the objects that failed."""
-    schema = (spark.read.option("recursiveFileLookup", "true").parquet(data_path(lake, feed))).schema
-    return load_incremental(spark, lake, feed, schema, table, state, partition_col, at)
+    """Load the new lake objects of a feed, whose schema is that of the rows written."""
+    return load_incremental(rows.sparkSession, lake, feed, rows.drop(KEY).schema, table, state, partition_col, at)
 
 
 def weather_forecast_job(spark: SparkSession, paths, lake: str, table: str, state: str, as_of: datetime,
@@ -83,8 +98,7 @@ def weather_forecast_job(spark: SparkSession, paths, lake: str, table: str, stat
                          list(FORECAST_ELEMENTS), stations).drop("file")
     rows = slice_next_days(transform_forecast(wide), "forecast_time", as_of, n_days)
     keyed = rows.withColumn("period_key", F.concat_ws("_", "station", "period_key"))
-    write_once(keyed, lake, "weather_forecast", batch_id)
-    return to_warehouse(spark, lake, "weather_forecast", table, state, "forecast_time", as_of)
+    return through_lake(keyed, lake, "weather_forecast", table, state, "forecast_time", as_of, batch_id)
 
 
 def generation_job(spark: SparkSession, raw: DataFrame, lake: str, table: str, state: str, as_of: datetime,
@@ -94,8 +108,8 @@ def generation_job(spark: SparkSession, raw: DataFrame, lake: str, table: str, s
     rows = transform_generation(raw, headers)
     if month is not None:
         rows = rows.filter(in_month("date", *month))
-    write_once(slice_last_days(rows, "date", as_of), lake, "electricity/generation", batch_id)
-    return to_warehouse(spark, lake, "electricity/generation", table, state, "date", as_of)
+    return through_lake(slice_last_days(rows, "date", as_of), lake, "electricity/generation", table, state, "date",
+                        as_of, batch_id)
 
 
 def historical_weather_job(spark: SparkSession, recent: DataFrame | None, historical: DataFrame | None, parameter: str,
@@ -105,22 +119,40 @@ def historical_weather_job(spark: SparkSession, recent: DataFrame | None, histor
     rows = transform_climate(merge_climate(recent, historical), parameter)
     sliced = slice_same_day(rows, "measurement_time", as_of)
     keyed = sliced.withColumn("period_key", F.concat_ws("_", "station", "period_key"))
-    write_once(keyed, lake, feed, batch_id)
-    return to_warehouse(spark, lake, feed, table, state, "measurement_time", as_of)
+    return through_lake(keyed, lake, feed, table, state, "measurement_time", as_of, batch_id)
 
 
 def load_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime) -> DataFrame:
     """Load messages to the table, completed hours of the as-of day."""
     hours = slice_closed_hours(stream_load(spark, source), "date", as_of)
     stream_write_once(hours, lake, "electricity/load", f"{state}/consume")
-    return to_warehouse(spark, lake, "electricity/load", table, state, "date", as_of)
+    return to_warehouse(hours, lake, "electricity/load", table, state, "date", as_of)
 
 
 def gas_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime) -> DataFrame:
     """Gas messages to the table, completed trading hours."""
     hours = slice_trading_hours(stream_gas(spark, source), "date", as_of)
     stream_write_once(hours, lake, "others/gas", f"{state}/consume")
-    return to_warehouse(spark, lake, "others/gas", table, state, "date", as_of)
+    return to_warehouse(hours, lake, "others/gas", table, state, "date", as_of)
+
+
+def publish_incremental(df: DataFrame, target, state: str, run: int, order: Sequence[str], field: str,
+                        fields: Sequence[str], by: Sequence[str] = (), marks: DataFrame | None = None,
+                        predicates: Sequence[Column] = ()) -> None:
+    """Send the rows ahead of the stored marks and store the new marks as version ``run``.
+
+    Sending comes first: a run that fails in between sends again. A folder
+    target gets one subfolder per run, which a repeated run replaces.
+    """
+    chosen = df.filter(all_of(*predicates))
+    stored = read_marks(df.sparkSession, state, run, df.select(*[quoted(c) for c in [*by, field]]).schema)
+    before = marks if stored is None else stored
+    records = as_message(to_publish(chosen, order, field, fields, by, before))
+    if isinstance(target, str):
+        publish(records, f"{target.rstrip('/')}/run={run}", mode="overwrite")
+    else:
+        publish(records, target)
+    write_marks(merged_marks(before, chosen, field, by), state, run)
 
 
 def cleanup_job(ledger: DataFrame, as_of: datetime, days: int = 7, dry_run: bool = True, **options) -> DataFrame:

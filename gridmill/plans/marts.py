@@ -21,11 +21,18 @@ from gridmill.schemas import GENERATION_COLUMNS
 
 
 def mart_gas_prices(gas: DataFrame, days: int = 3, scale: int | None = None) -> DataFrame:
-    """Mean prices of the last days and the change between them (the first has none)."""
-    daily = means_by(gas.select(F.to_date("date").alias("day"), "open_price", "close_price"), ["day"],
+    """Mean prices of the last days and the change between them (the first has none).
+
+    The days shown are found on the date column alone; prices are then read
+    from the first of them on, which skips older partitions and row groups.
+    """
+    first = (last_n(gas.select(F.to_date("date").alias("day")).na.drop().distinct(), "day", days)
+             .agg(F.min("day")).first()[0])
+    recent = gas.filter(F.col("date") >= F.lit(first).cast(gas.schema["date"].dataType))
+    daily = means_by(recent.select(F.to_date("date").alias("day"), "open_price", "close_price"), ["day"],
                      ["open_price", "close_price"], value=lambda c: exact_mean(c, scale))
     shown = last_n(daily, "day", days).withColumn("average_price", row_mean(["open_price", "close_price"]))
-    changed = pct_change(shown, ["day"], "average_price", name="price_change_pct")
+    changed = pct_change(shown, ["day"], "average_price", name="price_change_pct", group_bound=days)
     return changed.select("day", day_label("day").alias("day_label"), "open_price", "close_price", "average_price",
                           "price_change_pct", fixed2("price_change_pct", "%").alias("price_change_text"))
 

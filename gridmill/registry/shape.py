@@ -11,6 +11,7 @@ from gridmill.feeds import GENERATION_GIVEN
 from gridmill.functions.columns import coerce_numeric, row_mean
 from gridmill.functions.timecols import to_local, with_calendar_parts
 from gridmill.operators import ordered as O, shape as S
+from gridmill.operators.skew import CALENDAR_DAYS
 from gridmill.registry.base import berlin, query, rounded
 
 ELEMENTS = ["TTT", "FF", "Rad1h", "SunD1", "N"]
@@ -118,7 +119,7 @@ def _(spark, sf):
                                            "open_price", "close_price")
     daily = S.means_by(rows, ["market", "day"], ["open_price", "close_price"], value=lambda c: S.exact_mean(c, 2))
     averaged = daily.select("market", "day", row_mean(["open_price", "close_price"]).alias("average_price"))
-    changed = O.pct_change(averaged, ["day"], "average_price", ["market"], "change_pct")
+    changed = O.pct_change(averaged, ["day"], "average_price", ["market"], "change_pct", group_bound=CALENDAR_DAYS)
     return rounded(changed, "average_price", "change_pct")
 
 

@@ -29,7 +29,7 @@ def _(spark, sf):
     # Cut off messages arrive in between.
     cut = rows.filter("area = 'error'").select(F.concat(F.lit('{"date": "'), F.col("date").cast("string")).alias("value"))
     cut.write.mode("append").text(f"{work}/in")
-    T.run_available(read_messages(spark, f"{work}/in", LOAD_MESSAGE), f"{work}/out", f"{work}/checkpoint")
+    T.to_files(read_messages(spark, f"{work}/in", LOAD_MESSAGE), f"{work}/out", f"{work}/checkpoint")
     bad = F.col(RAW).isNotNull()
     return spark.read.parquet(f"{work}/out").select(
         *[F.when(~bad, F.col(c)).alias(c) for c in ("date", "load", "key_id")], bad.alias("malformed"))
@@ -43,7 +43,7 @@ CAST(hour(date) AS TINYINT) AS hour, CAST(minute(date) AS TINYINT) AS minute"""
 def _(spark, sf):
     work = scratch(spark, "stream-load")
     files.load_messages(spark, sf, f"{work}/in")
-    T.run_available(T.stream_load(spark, f"{work}/in"), f"{work}/out", f"{work}/checkpoint")
+    T.to_files(T.stream_load(spark, f"{work}/in"), f"{work}/out", f"{work}/checkpoint")
     return spark.read.parquet(f"{work}/out")
 
 
@@ -52,7 +52,7 @@ SELECT date, CAST(open_price AS FLOAT) AS open_price, CAST(close_price AS FLOAT)
 def _(spark, sf):
     work = scratch(spark, "stream-gas")
     files.gas_messages(spark, sf, f"{work}/in")
-    T.run_available(T.stream_gas(spark, f"{work}/in"), f"{work}/out", f"{work}/checkpoint")
+    T.to_files(T.stream_gas(spark, f"{work}/in"), f"{work}/out", f"{work}/checkpoint")
     return spark.read.parquet(f"{work}/out")
 
 
@@ -66,7 +66,7 @@ def _(spark, sf):
     feeds.load_raw(spark, sf).write.parquet(f"{work}/in")
     schema = "event_id BIGINT, date TIMESTAMP, load DOUBLE, key_id STRING, area STRING"
     rows = spark.readStream.schema(schema).parquet(f"{work}/in")
-    T.run_available(T.stream_closed_hours(rows, "date", "load"), f"{work}/out", f"{work}/checkpoint")
+    T.to_files(T.stream_closed_hours(rows, "date", "load"), f"{work}/out", f"{work}/checkpoint")
     return spark.read.parquet(f"{work}/out")
 
 

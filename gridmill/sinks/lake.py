@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -119,13 +120,13 @@ def record_processed(path: str, keys: DataFrame, at: datetime, load_id: str) ->
 
 # -- messages and files --------------------------------------------------------------
 
-def publish(df: DataFrame, target, topic: str | None = None) -> None:
-    """One JSON message per row, to a folder or (as options) to a topic."""
+def publish(df: DataFrame, target: str | Mapping, mode: str = "append") -> None:
+    """One JSON message per row, to a folder or to a topic given by its writer options."""
     messages = to_json_value(df)
     if isinstance(target, str):
-        messages.write.mode("append").text(f"{target.rstrip('/')}/{topic}" if topic else target)
+        messages.write.mode(mode).text(target)
     else:
-        messages.write.format("kafka").options(**target).option("topic", topic).save()
+        messages.write.format("kafka").options(**target).save()
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gridmill.functions.columns import parse_coordinates, split_series
 from gridmill.functions.timecols import parse_step
 from gridmill.operators.skew import keyed_join
-from gridmill.operators.stations import for_stations
+from gridmill.operators.stations import attach_steps, for_stations
 from gridmill.sources import archives
 
 # Element names of the forecast files.
@@ -87,7 +87,8 @@ def forecast_wide(placemarks: DataFrame, steps: DataFrame, elements: Sequence[st
         return F.coalesce(values, F.array().cast("array<double>")).alias(element)
 
     chosen = for_stations(placemarks, stations)
-    rows = keyed_join(chosen, steps, ["file"], "inner")
+    # A row of steps holds a whole time axis, so far fewer of them are broadcast.
+    rows = keyed_join(chosen, steps, ["file"], "inner", max_rows=10_000)
     zipped = rows.select("file", "station", F.col("steps").alias("forecast_time"), *[series(e) for e in elements])
     return (zipped.select("file", "station", F.explode(F.arrays_zip("forecast_time", *elements)).alias("r"))
             .select("file", "station", "r.forecast_time", *[f"r.{e}" for e in elements]))
@@ -95,7 +96,5 @@ def forecast_wide(placemarks: DataFrame, steps: DataFrame, elements: Sequence[st
 
 def read_forecast_xml(spark: SparkSession, paths: str | list[str], stations=None, zipped: bool = False) -> DataFrame:
     """Forecast values with their times, long form."""
-    from gridmill.operators.stations import attach_steps
-
     placemarks = for_stations(read_placemarks(spark, paths, zipped), stations)
     return attach_steps(forecast_long(placemarks), step_table(read_steps(spark, paths, zipped)))

@@ -21,6 +21,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath))
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly below a path."""
+    if not path_exists(spark, path):
+        return []
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in filesystem.listStatus(jpath)]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def _under(lake: str, prefix: str) -> str:
     return f"{data_path(lake)}/{prefix.lstrip('/')}*"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from gridmill.functions.timecols import parse_iso, wall_clock, with_calendar_parts
 from gridmill.schemas import GAS_MESSAGE, LOAD_MESSAGE
@@ -39,12 +39,16 @@ def stream_closed_hours(df: DataFrame, col: str, value: str, delay: str = "1 hou
     )
 
 
-def run_available(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
-    """Write what is available now to Parquet, exactly once, and stop."""
-    writer = (df.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    query = writer.start(path)
+def start(writer: DataStreamWriter, every: str | None = None) -> StreamingQuery:
+    """Process what is available now and stop, or keep going at an interval."""
+    if every:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def to_files(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append a stream to Parquet files, exactly once."""
+    return start(df.writeStream.format("parquet").outputMode("append").option("path", path)
+                 .option("checkpointLocation", checkpoint), every)

@@ -15,11 +15,16 @@ from gridmill.operators.ordered import advance_only
 from gridmill.operators.quality import check_partition_column, partition_audit
 from gridmill.operators.skew import keyed_join
 from gridmill.sinks.lake import load_partitioned, overwrite_partitions, record_processed, write_once
-from gridmill.sources.lake import PANDAS_INDEX, data_path, path_exists
+from gridmill.sources.lake import PANDAS_INDEX, data_path, delete_folder, folders, path_exists
+from gridmill.streaming.feeds import start
 
 
-def for_each_batch(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """Run a handler over what is available now; the batch is kept while it is used more than once."""
+def for_each_batch(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
+                   every: str | None = None) -> StreamingQuery:
+    """Run a handler over what is available now, or go on at an interval.
+
+    The batch is kept while the handler runs, which uses it more than once.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -27,36 +32,44 @@ def for_each_batch(stream: DataFrame, checkpoint: str, handle: Callable[[DataFra
         finally:
             batch.unpersist()
 
-    query = (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return query
+    return start(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), every)
 
 
-def stream_write_once(stream: DataFrame, lake: str, feed: str, checkpoint: str, run_id: str = "stream") -> StreamingQuery:
+def stream_write_once(stream: DataFrame, lake: str, feed: str, checkpoint: str, run_id: str = "stream",
+                      every: str | None = None) -> StreamingQuery:
     """Write-once period keys from a stream with a ``period_key`` column; late rows are counted."""
-    return for_each_batch(stream, checkpoint,
-                          lambda batch, i: _discard(write_once(batch, lake, feed, f"{run_id}-{i}", keep_late=True)))
-
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_once(batch, lake, feed, f"{run_id}-{batch_id}", keep_late=True)
 
-def _discard(_) -> None:
-    return None
+    return for_each_batch(stream, checkpoint, handle, every)
 
 
 # -- high-water mark ---------------------------------------------------------------
 
-def _marks_before(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame | None:
-    if not path_exists(spark, path):
-        return None
-    kept = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())])).parquet(path) \
-        .filter(F.col("version") < batch_id)
-    newest = kept.agg(F.max("version")).first()[0]
-    return None if newest is None else kept.filter(F.col("version") == newest).drop("version")
+KEPT_VERSIONS = 10
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n.removeprefix("version=")) for n in folders(spark, path) if n.startswith("version="))
+
+
+def read_marks(spark: SparkSession, path: str, version: int, schema: T.StructType) -> DataFrame | None:
+    """The marks stored before ``version``."""
+    earlier = [v for v in _versions(spark, path) if v < version]
+    return spark.read.schema(schema).parquet(f"{path}/version={earlier[-1]}") if earlier else None
+
+
+def write_marks(marks: DataFrame, path: str, version: int) -> None:
+    """Store the marks as a version and drop those no repeated batch can need."""
+    marks.write.mode("overwrite").parquet(f"{path}/version={version}")
+    for old in _versions(marks.sparkSession, path):
+        if old <= version - KEPT_VERSIONS:
+            delete_folder(marks.sparkSession, f"{path}/version={old}")
 
 
 def stream_advance_only(stream: DataFrame, out: str, state: str, checkpoint: str, order: Sequence[str], field: str,
-                        by: Sequence[str], marks: DataFrame | None = None,
-                        hot_rows: int | None = None) -> StreamingQuery:
+                        by: Sequence[str], marks: DataFrame | None = None, hot_rows: int | None = None,
+                        every: str | None = None) -> StreamingQuery:
     """Rows ahead of their source's mark, across batches and restarts.
 
     The marks after batch n are stored as version n, so a repeated batch
@@ -66,14 +79,13 @@ def stream_advance_only(stream: DataFrame, out: str, state: str, checkpoint: str
     mark_schema = T.StructType([stream.schema[c] for c in [*by, field]])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = _marks_before(batch.sparkSession, state, batch_id, mark_schema)
-        before = marks if before is None else before
-        ahead = advance_only(batch, order, field, by, before, hot_rows)
+        stored = read_marks(batch.sparkSession, state, batch_id, mark_schema)
+        before = marks if stored is None else stored
+        ahead = advance_only(batch, order, field, by, before, hot_rows=hot_rows, sized_by=batch)
         overwrite_partitions(ahead.withColumn("batch_id", F.lit(batch_id)), out, "batch_id")
-        after = merged_marks(before, ahead, field, by).withColumn("version", F.lit(batch_id).cast("long"))
-        overwrite_partitions(after, state, "version")
+        write_marks(merged_marks(before, batch, field, by), state, batch_id)
 
-    return for_each_batch(stream, checkpoint, handle)
+    return for_each_batch(stream, checkpoint, handle, every)
 
 
 # -- lake to warehouse ---------------------------------------------------------------
@@ -87,7 +99,7 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_load_files(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, ledger: str,
                       checkpoint: str, partition_col: str, at: datetime, failures: str | None = None,
-                      max_files: int | None = None) -> StreamingQuery:
+                      max_files: int | None = None, every: str | None = None) -> StreamingQuery:
     """Load every new lake object into the table once.
 
     The checkpoint knows which objects were read; the ledger records them for
@@ -116,7 +128,7 @@ def stream_load_files(spark: SparkSession, lake: str, prefix: str, schema: T.Str
         record_processed(ledger, audited.filter(F.col("reason").isNull()), at, load_id)
         audited.unpersist()
 
-    return for_each_batch(files, checkpoint, handle)
+    return for_each_batch(files, checkpoint, handle, every)
 
 
 def load_incremental(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, state: str,
