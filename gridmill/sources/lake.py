@@ -48,8 +48,17 @@ def read_lake(spark: SparkSession, lake: str, prefix: str = "", schema: T.Struct
     return df.drop(PANDAS_INDEX).select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
+def _any_match(spark: SparkSession, glob: str) -> bool:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
+    filesystem = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = filesystem.globStatus(jpath)
+    return found is not None and any(not f.getPath().getName().startswith(("_", ".")) for f in found)
+
+
 def list_objects(spark: SparkSession, lake: str, prefix: str = "") -> DataFrame:
     """Objects under a prefix: path, size, time. File contents are not read."""
+    if not _any_match(spark, _under(lake, prefix)):
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
