@@ -11,6 +11,7 @@ from gridmill.schemas import weather_parameter
 
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
+_RANGE = {"byte": (-2**7, 2**7 - 1), "short": (-2**15, 2**15 - 1), "int": (-2**31, 2**31 - 1)}
 
 
 def _c(col: Column | str) -> Column:
@@ -52,8 +53,11 @@ def narrow(df: DataFrame, ints: str = "short", floats: str = "float") -> DataFra
     out = []
     for f in df.schema.fields:
         c = quoted(f.name)
-        if isinstance(f.dataType, _INTS):
-            c = c.try_cast(ints).alias(f.name)
+        if isinstance(f.dataType, _INTS) and ints in _RANGE:
+            # Tested instead of tried: a failed cast costs an exception per row.
+            c = F.when(c.between(*_RANGE[ints]), c).cast(ints).alias(f.name)
+        elif isinstance(f.dataType, _INTS):
+            c = c.cast(ints).alias(f.name)
         elif isinstance(f.dataType, _FLOATS):
             c = c.cast(floats).alias(f.name)
         out.append(c)

@@ -71,7 +71,7 @@ def load_feed(history: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
 # -- jobs ------------------------------------------------------------------------------
 
 def through_lake(rows: DataFrame, lake: str, feed: str, table: str, state: str, partition_col: str, at: datetime,
-                 batch_id: str) -> DataFrame:
+                 batch_id: str, key: Sequence[str] = (KEY,)) -> DataFrame:
     """Write keyed rows once to the lake, then load the new objects; returns the objects that failed.
 
     The rows are a slice of a parsed source and are needed twice, so they are
@@ -79,7 +79,7 @@ def through_lake(rows: DataFrame, lake: str, feed: str, table: str, state: str,
     """
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_once(rows, lake, feed, batch_id)
+        write_once(rows, lake, feed, batch_id, key)
     finally:
         rows.unpersist()
     return to_warehouse(rows, lake, feed, table, state, partition_col, at)
@@ -93,12 +93,12 @@ def to_warehouse(rows: DataFrame, lake: str, feed: str, table: str, state: str,
 
 def weather_forecast_job(spark: SparkSession, paths, lake: str, table: str, state: str, as_of: datetime,
                          n_days: int = 3, stations=None, zipped: bool = False, batch_id: str = "run") -> DataFrame:
-    """Forecast files to the table of the next days. Keys hold station and day."""
+    """Forecast files to the table of the next days. A key is a station and a day."""
     wide = forecast_wide(read_placemarks(spark, paths, zipped), read_steps(spark, paths, zipped),
                          list(FORECAST_ELEMENTS), stations).drop("file")
     rows = slice_next_days(transform_forecast(wide), "forecast_time", as_of, n_days)
-    keyed = rows.withColumn("period_key", F.concat_ws("_", "station", "period_key"))
-    return through_lake(keyed, lake, "weather_forecast", table, state, "forecast_time", as_of, batch_id)
+    return through_lake(rows, lake, "weather_forecast", table, state, "forecast_time", as_of, batch_id,
+                        ["station", KEY])
 
 
 def generation_job(spark: SparkSession, raw: DataFrame, lake: str, table: str, state: str, as_of: datetime,
@@ -117,9 +117,8 @@ def historical_weather_job(spark: SparkSession, recent: DataFrame | None, histor
     """Two station tables to the table of the same calendar day in five years."""
     feed = f"historical_weather/{weather_parameter(parameter)[0]}"
     rows = transform_climate(merge_climate(recent, historical), parameter)
-    sliced = slice_same_day(rows, "measurement_time", as_of)
-    keyed = sliced.withColumn("period_key", F.concat_ws("_", "station", "period_key"))
-    return through_lake(keyed, lake, feed, table, state, "measurement_time", as_of, batch_id)
+    return through_lake(slice_same_day(rows, "measurement_time", as_of), lake, feed, table, state, "measurement_time",
+                        as_of, batch_id, ["station", KEY])
 
 
 def load_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime) -> DataFrame:

@@ -38,7 +38,7 @@ def _(spark, sf):
     gas = _daily(feeds.gas_raw(spark, sf))
     K.write_once(load, lake, "electricity/load", "first")
     K.write_once(gas, lake, "others/gas", "first")
-    return S.read_lake(spark, lake, "electricity/load/").drop("file_path")
+    return S.read_lake(spark, lake, "electricity/load/").drop("file_path", K.KEY)
 
 
 @query("scan_table", sql="SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
@@ -52,7 +52,7 @@ def _(spark, sf):
     lake = scratch(spark, "list-objects")
     K.write_once(_daily(feeds.load_raw(spark, sf)), lake, "electricity/load", "first")
     objects = S.list_objects(spark, lake, "electricity/load/")
-    key = F.regexp_extract("path", "period_key=([^/]+)/", 1).alias("period_key")
+    key = F.regexp_extract("path", "period=([^/]+)/", 1).alias("period_key")
     return objects.groupBy(key).agg((F.sum("length") > 0).alias("has_objects"))
 
 
@@ -118,8 +118,7 @@ def _(spark, sf):
     K.write_once(first, lake, "electricity/load", "a")
     K.write_once(second, lake, "electricity/load", "b")
     K.write_once(second, lake, "electricity/load", "b")
-    return S.read_lake(spark, lake, "electricity/load/").select(
-        "event_id", "load", F.date_format("date", "yyyy-MM-dd-HH").alias("period_key"))
+    return S.read_lake(spark, lake, "electricity/load/").select("event_id", "load", "period_key")
 
 
 @query("lake_existing_keys", "load_raw", sql="SELECT DISTINCT strftime(date, '%Y-%m-%d-%H') AS period_key FROM load_raw")

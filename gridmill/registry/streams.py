@@ -84,8 +84,8 @@ def _(spark, sf):
         rows.filter(part).write.mode("append").parquet(f"{work}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{work}/in")
         K.stream_write_once(stream, f"{work}/lake", "electricity/load", f"{work}/checkpoint")
-    key = F.regexp_extract("file_path", "period_key=([^/]+)/", 1).alias("period_key")
-    written = read_lake(spark, f"{work}/lake", "electricity/load/").groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    written = read_lake(spark, f"{work}/lake", "electricity/load/").groupBy("period_key") \
+        .agg(F.count(F.lit(1)).alias("rows"))
     late = late_counts(spark, f"{work}/lake", "electricity/load").groupBy("period_key") \
         .agg(F.sum("late_rows").alias("late_rows"))
     return written.join(late, "period_key", "left").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -11,10 +11,12 @@ from gridmill.functions.columns import to_json_value
 from gridmill.functions.timecols import instant
 from gridmill.operators.skew import keyed_join
 from gridmill.schemas import LEDGER
-from gridmill.sources.lake import data_path, list_objects, meta_path, path_exists
+from gridmill.sources.lake import (
+    data_path, delete_folder, delete_matching, folders, make_folder, meta_path, path_exists,
+)
 
 KEY = "period_key"
-CLAIMS_SCHEMA = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("batch_id", T.StringType())])
+BATCH = "batch_id"
 
 
 def overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
@@ -28,50 +30,70 @@ def balanced(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def existing_keys(spark: SparkSession, lake: str, feed: str) -> DataFrame:
-    """Period keys that have objects in the lake, from the object listing alone."""
-    if not path_exists(spark, data_path(lake, feed)):
-        return spark.createDataFrame([], T.StructType([T.StructField(KEY, T.StringType())]))
-    key = F.regexp_extract("path", rf"{KEY}=([^/]+)/", 1)
-    return list_objects(spark, lake, f"{feed.strip('/')}/").select(key.alias(KEY)).distinct()
+# A lake feed is laid out as data/<feed>/period=<day>/batch_id=<batch>/*.parquet.
+# Which keys are taken is kept beside it, one small folder per batch, so that
+# keys may be finer than folders: many hours or stations share the files of a day.
 
-
-def read_claims(spark: SparkSession, lake: str, feed: str) -> DataFrame:
+def read_claims(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,)) -> DataFrame:
+    """Keys written so far and the batch that wrote them."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*key, BATCH]])
     path = meta_path(lake, feed, "claims")
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], CLAIMS_SCHEMA)
-    return spark.read.schema(CLAIMS_SCHEMA).parquet(path)
+    if not folders(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def existing_keys(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,)) -> DataFrame:
+    """Keys that are already in the lake."""
+    return read_claims(spark, lake, feed, key).select(*key).distinct()
 
 
-def write_once(df: DataFrame, lake: str, feed: str, batch_id: str, keep_late: bool = False) -> DataFrame:
-    """Write every period key that no earlier batch has written.
+def _remove_unfinished(spark: SparkSession, lake: str, feed: str, batch_id: str) -> None:
+    """Delete what batches that died before their claim have left in the lake."""
+    done = set(folders(spark, meta_path(lake, feed, "claims")))
+    for name in folders(spark, meta_path(lake, feed, "started")):
+        if name != f"{BATCH}={batch_id}" and name not in done:
+            delete_matching(spark, f"{data_path(lake, feed)}/period=*/{name}")
+            delete_folder(spark, f"{meta_path(lake, feed, 'started')}/{name}")
 
-    Data goes first and replaces its own key folders, the claim of the keys
-    last. A batch that fails in between is simply run again, and a finished
-    one that is repeated rewrites its own keys only. Rows for keys of earlier
-    batches are dropped; ``keep_late`` counts them per key. One writer per
-    feed. Returns (period_key, batch_id) of this batch.
+
+def write_once(df: DataFrame, lake: str, feed: str, batch_id: str, key: Sequence[str] = (KEY,),
+               keep_late: bool = False) -> DataFrame:
+    """Write the rows of every key that no earlier batch has written.
+
+    ``period_key`` starts with its day, which names the folder; ``key`` lists
+    the (text) columns that make a key. Rows for keys of earlier batches are
+    dropped; ``keep_late`` counts them per key. Data goes first, the claim
+    last: a batch that is repeated replaces its own files only, and what a
+    dead batch left behind is removed by the next one. One writer per feed.
+    Returns the keys of this batch.
     """
     spark = df.sparkSession
-    earlier = read_claims(spark, lake, feed).filter(F.col("batch_id") != batch_id).select(KEY).distinct()
-    fresh_rows = keyed_join(df, earlier, [KEY], "left_anti")
-    overwrite_partitions(balanced(fresh_rows, KEY), data_path(lake, feed), KEY)
-    claims = fresh_rows.select(KEY).distinct().withColumn("batch_id", F.lit(batch_id))
-    overwrite_partitions(claims, meta_path(lake, feed, "claims"), "batch_id")
+    _remove_unfinished(spark, lake, feed, batch_id)
+    started = f"{meta_path(lake, feed, 'started')}/{BATCH}={batch_id}"
+    make_folder(spark, started)
+
+    mine = F.col(BATCH) == batch_id
+    earlier = read_claims(spark, lake, feed, key).filter(~mine).select(*key).distinct()
+    fresh = keyed_join(df, earlier, key, "left_anti")
+    placed = fresh.withColumns({"period": F.substring(KEY, 1, 10), BATCH: F.lit(batch_id)})
+    overwrite_partitions(balanced(placed, "period"), data_path(lake, feed), "period", BATCH)
     if keep_late:
-        late = (keyed_join(df, earlier, [KEY], "left_semi").groupBy(KEY)
-                .agg(F.count(F.lit(1)).alias("late_rows")).withColumn("batch_id", F.lit(batch_id)))
-        overwrite_partitions(late, meta_path(lake, feed, "late"), "batch_id")
-    return read_claims(spark, lake, feed).filter(F.col("batch_id") == batch_id)
+        late = keyed_join(df, earlier, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("late_rows"))
+        late.write.mode("overwrite").parquet(f"{meta_path(lake, feed, 'late')}/{BATCH}={batch_id}")
+    claims = fresh.select(*key).distinct()
+    claims.write.mode("overwrite").parquet(f"{meta_path(lake, feed, 'claims')}/{BATCH}={batch_id}")
+
+    delete_folder(spark, started)
+    return read_claims(spark, lake, feed, key).filter(mine).select(*key)
 
 
-def late_counts(spark: SparkSession, lake: str, feed: str) -> DataFrame:
-    schema = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("late_rows", T.LongType()),
-                           T.StructField("batch_id", T.StringType())])
+def late_counts(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,)) -> DataFrame:
+    """Dropped rows per key and batch."""
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in key], T.StructField("late_rows", T.LongType()),
+                           T.StructField(BATCH, T.StringType())])
     path = meta_path(lake, feed, "late")
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path) if folders(spark, path) else spark.createDataFrame([], schema)
 
 
 # -- tables ------------------------------------------------------------------------

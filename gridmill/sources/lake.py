@@ -16,23 +16,39 @@ def meta_path(lake: str, feed: str, kind: str) -> str:
     return f"{lake.rstrip('/')}/meta/{feed.strip('/')}/{kind}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _filesystem(spark: SparkSession, path: str):
+    """Hadoop file system of a path, so that any store Spark can reach is handled alike."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath))
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    filesystem, jpath = _filesystem(spark, path)
+    return bool(filesystem.exists(jpath))
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly below a path."""
-    if not path_exists(spark, path):
+    filesystem, jpath = _filesystem(spark, path)
+    if not filesystem.exists(jpath):
         return []
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return [status.getPath().getName() for status in filesystem.listStatus(jpath)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    filesystem, jpath = _filesystem(spark, path)
+    filesystem.mkdirs(jpath)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    filesystem, jpath = _filesystem(spark, path)
+    filesystem.delete(jpath, True)
+
+
+def delete_matching(spark: SparkSession, glob: str) -> None:
+    filesystem, jpath = _filesystem(spark, glob)
+    for status in filesystem.globStatus(jpath) or []:
+        filesystem.delete(status.getPath(), True)
 
 
 def _under(lake: str, prefix: str) -> str:
@@ -49,8 +65,7 @@ def read_lake(spark: SparkSession, lake: str, prefix: str = "", schema: T.Struct
 
 
 def _any_match(spark: SparkSession, glob: str) -> bool:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
-    filesystem = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    filesystem, jpath = _filesystem(spark, glob)
     found = filesystem.globStatus(jpath)
     return found is not None and any(not f.getPath().getName().startswith(("_", ".")) for f in found)
 

@@ -14,7 +14,7 @@ from gridmill.operators.ingest import merged_marks
 from gridmill.operators.ordered import advance_only
 from gridmill.operators.quality import check_partition_column, partition_audit
 from gridmill.operators.skew import keyed_join
-from gridmill.sinks.lake import load_partitioned, overwrite_partitions, record_processed, write_once
+from gridmill.sinks.lake import KEY, load_partitioned, overwrite_partitions, record_processed, write_once
 from gridmill.sources.lake import PANDAS_INDEX, data_path, delete_folder, folders, path_exists
 from gridmill.streaming.feeds import start
 
@@ -36,10 +36,10 @@ def for_each_batch(stream: DataFrame, checkpoint: str, handle: Callable[[DataFra
 
 
 def stream_write_once(stream: DataFrame, lake: str, feed: str, checkpoint: str, run_id: str = "stream",
-                      every: str | None = None) -> StreamingQuery:
-    """Write-once period keys from a stream with a ``period_key`` column; late rows are counted."""
+                      key: Sequence[str] = (KEY,), every: str | None = None) -> StreamingQuery:
+    """Write-once keys from a stream with a ``period_key`` column; late rows are counted."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_once(batch, lake, feed, f"{run_id}-{batch_id}", keep_late=True)
+        write_once(batch, lake, feed, f"{run_id}-{batch_id}", key, keep_late=True)
 
     return for_each_batch(stream, checkpoint, handle, every)
 

@@ -42,12 +42,34 @@ def test_write_once_repeated_batch_changes_nothing(spark, work):
 
 
 def test_batch_that_died_before_its_claim_is_replaced(spark, work):
-    """Data without a claim is no key of an earlier batch: the next run writes it whole."""
-    K.overwrite_partitions(keyed(spark, ("a", 7)), S.data_path(work, FEED), K.KEY)
+    """Data without a claim is no key of an earlier batch: the next run removes it and writes the key whole."""
+    K.write_once(keyed(spark, ("k", 0)), work, FEED, "good")
+    dead = keyed(spark, ("a", 7)).selectExpr("*", "period_key AS period", "'dead' AS batch_id")
+    K.overwrite_partitions(dead, S.data_path(work, FEED), "period", "batch_id")
+    S.make_folder(spark, f"{S.meta_path(work, FEED, 'started')}/batch_id=dead")
     K.write_once(keyed(spark, ("a", 1), ("a", 2)), work, FEED, "next")
+    assert stored(spark, work) == [(0,), (1,), (2,)]
+    assert S.folders(spark, S.meta_path(work, FEED, "started")) == []
+
+
+def test_batch_repeated_after_a_crash_is_not_removed(spark, work):
+    """A started mark beside a claim means a repeat was cut off: its files are complete."""
+    K.write_once(keyed(spark, ("a", 1)), work, FEED, "one")
+    S.make_folder(spark, f"{S.meta_path(work, FEED, 'started')}/batch_id=one")
+    K.write_once(keyed(spark, ("a", 5), ("b", 2)), work, FEED, "two")
     assert stored(spark, work) == [(1,), (2,)]
 
 
+def test_keys_finer_than_folders(spark, work):
+    """Stations of one day share its folder, and each is written once."""
+    df = lambda *r: spark.createDataFrame(list(r), "station string, period_key string, v long")
+    K.write_once(df(("x", "2024-01-01", 1), ("y", "2024-01-01", 2)), work, FEED, "one", ["station", "period_key"])
+    K.write_once(df(("y", "2024-01-01", 8), ("z", "2024-01-01", 3)), work, FEED, "two", ["station", "period_key"])
+    assert stored(spark, work) == [(1,), (2,), (3,)]
+    assert [n for n in S.folders(spark, S.data_path(work, FEED)) if "=" in n] == ["period=2024-01-01"]
+    assert K.existing_keys(spark, work, FEED, ["station", "period_key"]).count() == 3
+
+
 def test_empty_batch(spark, work):
     assert K.write_once(keyed(spark, ("a", 1)).where("v > 5"), work, FEED, "one").count() == 0
     assert K.existing_keys(spark, work, FEED).count() == 0
@@ -145,7 +167,7 @@ def test_load_files_reports_bad_objects(spark, work):
     no_year = spark.sql("SELECT 'c' AS period_key, timestamp'2024-01-01' AS date, 3L AS v, cast(null AS int) AS year, 1 AS month")
     K.write_once(good.unionAll(no_date).unionAll(no_year), work, FEED, "one")
     failures = sinks.load_incremental(spark, work, FEED, spark.createDataFrame([], schema).schema, f"{work}/t", f"{work}/s", "date", AT)
-    assert {(r["s3_key"].split("period_key=")[1][0], r["reason"]) for r in failures.collect()} == {
+    assert {(r["s3_key"].split("period=")[1][0], r["reason"]) for r in failures.collect()} == {
         ("b", "no value in date"), ("c", "no year or month")}
     assert rows(sinks.read_loaded(spark, f"{work}/t"), "v") == [(1,)]
     assert K.read_ledger(spark, f"{work}/s/ledger").count() == 1
