@@ -15,8 +15,6 @@ from gridmill.session import checkpointed
 BROADCAST_ROWS = 100_000
 # A group above this many rows is never windowed in one task.
 HOT_ROWS = 5_000_000
-# Copies of the smaller side when a join has to be salted.
-SALTS = 32
 # Range partitions of the hot groups; more than this many cost more than they spread.
 MAX_SPLITS = 20_000
 # A DATE has no more values than this, so a daily series never has a hot group.
@@ -30,22 +28,21 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 
 
 def keyed_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               max_rows: int | None = None, salts: int | None = None) -> DataFrame:
+               max_rows: int | None = None) -> DataFrame:
     """Equi-join of any large side with a side that is unique on ``on``.
 
-    The small side is broadcast when its counted size allows; otherwise rows
-    of the large side are dealt to ``salts`` copies of the small side, so a
-    hot key is spread over as many tasks. ``how`` is inner, left, left_semi
-    or left_anti: kinds in which copies of the small side cannot add rows.
+    The small side is broadcast when its counted size allows. Otherwise both
+    sides are shuffled, and adaptive execution cuts the partition of a hot key
+    by map output, each piece meeting a copy of the small side's partition.
+    That splits even identical rows, and unlike a random salt it gives the
+    same rows again when a lost task is repeated. It works for the kinds in
+    which only the large side is cut: inner, left, left_semi and left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind {how!r}")
     if fits_broadcast(small, max_rows):
         return large.join(F.broadcast(small), list(on), how)
-    n = SALTS if salts is None else salts
-    dealt = large.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
+    return large.join(small, list(on), how)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:

@@ -114,5 +114,5 @@ def _(spark, sf):
         keyed = rows.filter(part).withColumn("period_key", F.concat_ws("-", "period_key", F.lit(batch)))
         write_once(keyed, lake, "electricity/load", batch)
         K.stream_load_files(spark, lake, "electricity/load", schema, f"{work}/table", f"{work}/ledger",
-                            f"{work}/checkpoint", "date", AS_OF, max_files=20)
+                            f"{work}/checkpoint", "date", AS_OF)
     return K.read_loaded(spark, f"{work}/table")

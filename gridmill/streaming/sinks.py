@@ -121,10 +121,12 @@ def stream_load_files(spark: SparkSession, lake: str, prefix: str, schema: T.Str
                   .when((F.col("years") == 0) | (F.col("months") == 0), "no year or month"))
         audited = audit.select("s3_key", reason.alias("reason")).persist(StorageLevel.MEMORY_AND_DISK)
         bad = audited.filter(F.col("reason").isNotNull())
-        good = keyed_join(batch, bad.select("s3_key"), ["s3_key"], "left_anti").drop("s3_key")
-        load_partitioned(warehouse_cast(good, partition_col), table, partition_col, load_id)
-        if failures:
-            overwrite_partitions(bad.withColumn("load_id", F.lit(load_id)), failures, "load_id")
+        good = batch
+        if not bad.isEmpty():
+            good = keyed_join(batch, bad.select("s3_key"), ["s3_key"], "left_anti")
+            if failures:
+                overwrite_partitions(bad.withColumn("load_id", F.lit(load_id)), failures, "load_id")
+        load_partitioned(warehouse_cast(good.drop("s3_key"), partition_col), table, partition_col, load_id)
         record_processed(ledger, audited.filter(F.col("reason").isNull()), at, load_id)
         audited.unpersist()
 

@@ -269,6 +269,16 @@ def test_generation_mix_calendar_uses_stored_parts(spark):
     assert [(r["day_label"], r["energy_title"], r["generated"]) for r in got] == [("Feb 29", "Fossil Gas Actual Aggregated", 1.5)]
 
 
+def test_generation_mix_with_all_types(spark):
+    from gridmill.schemas import GENERATION_COLUMNS
+
+    df = spark.createDataFrame([tuple(["2024-01-05 00:00:00"] + ["2"] * 11), tuple(["2024-01-05 01:00:00"] + ["x"] * 11)],
+                               ["d", *GENERATION_COLUMNS])
+    df = df.withColumn("date", df["d"].cast("timestamp")).drop("d")
+    got = {r["energy_type"]: (r["energy_title"], r["generated"]) for r in marts.mart_generation_mix(df).collect()}
+    assert got == {c: (c.replace("_", " ").title(), 2.0) for c in GENERATION_COLUMNS}
+
+
 def test_sums_of_nothing_and_missing_sources(spark):
     df = spark.createDataFrame([("a", None), ("b", 2.0), (None, 3.0)], "k string, v double")
     assert rows(shape.sum_columns_by(df, ["k"], ["v"])) == [("a", 0.0), ("b", 2.0)]
