@@ -94,7 +94,7 @@ def lake_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 == 0) \
+    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F") \
         .select(_object_key().alias("s3_key"), F.col("o_orderdate").alias("processed_at"))
 
 
@@ -129,7 +129,7 @@ SQL = {
     "lake_objects": """SELECT concat('electricity/load/', CAST(o_orderkey AS VARCHAR), '.parquet') AS s3_key
         FROM orders""",
     "processed_files": """SELECT concat('electricity/load/', CAST(o_orderkey AS VARCHAR), '.parquet') AS s3_key,
-        o_orderdate AS processed_at FROM orders WHERE o_orderkey % 3 = 0""",
+        o_orderdate AS processed_at FROM orders WHERE o_orderstatus = 'F'""",
     "publish_raw": """SELECT o_custkey AS source_id, o_orderkey AS seq, o_orderdate AS date, o_totalprice AS load
         FROM orders""",
 }

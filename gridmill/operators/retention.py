@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 
@@ -14,6 +15,7 @@ from gridmill.operators.ordered import row_index
 from gridmill.sources.lake import delete_folder, folders
 
 DELETE_BATCH = 1000
+MAX_DELETE_TASKS = 2000
 
 
 def expired_objects(ledger: DataFrame, as_of: datetime, days: int) -> DataFrame:
@@ -63,7 +65,10 @@ def purge(keys: DataFrame, size: int = DELETE_BATCH, dry_run: bool = True, prefi
                     errors = delete([prefix + k for k in piece["s3_key"]])
                     yield piece.assign(status=["deleted" if e is None else "failed" for e in errors], error=errors)
 
-    return batches.repartition("batch").mapInPandas(run, "s3_key string, batch long, status string, error string")
+    # Deleting waits on the store, not on data volume: the number of tasks follows the number of calls.
+    calls = math.ceil(keys.count() / size)
+    spread = batches.repartition(min(MAX_DELETE_TASKS, max(1, calls)), "batch")
+    return spread.mapInPandas(run, "s3_key string, batch long, status string, error string")
 
 
 def expire_partitions(df: DataFrame, date_col: str, as_of: datetime, days: int) -> DataFrame:

@@ -24,9 +24,9 @@ def _(spark, sf):
 
 
 @query("ledger_count", "processed_files", sql="""
-SELECT count(*) AS count FROM processed_files WHERE s3_key = 'electricity/load/300.parquet'""")
+SELECT count(*) AS count FROM processed_files WHERE s3_key = 'electricity/load/1.parquet'""")
 def _(spark, sf):
-    return I.ledger_count(feeds.processed_files(spark, sf), "electricity/load/300.parquet")
+    return I.ledger_count(feeds.processed_files(spark, sf), "electricity/load/1.parquet")
 
 
 PARTS = ("day", "month", "year", "hour", "minute")

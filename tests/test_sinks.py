@@ -87,6 +87,20 @@ def test_hot_key_is_written_by_several_tasks(spark, work):
     assert S.read_lake(spark, work, f"{FEED}/").count() == 200_000
 
 
+def test_hot_key_of_a_stream_is_written_by_several_tasks(spark, work):
+    """Adaptive execution is on inside micro-batches, too."""
+    spark.range(200_000).selectExpr("'2024-01-01-05' AS period_key", "id AS v", "uuid() AS pad").repartition(8) \
+        .write.parquet(f"{work}/in")
+    stream = spark.readStream.schema("period_key string, v long, pad string").parquet(f"{work}/in")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        sinks.stream_write_once(stream, work, FEED, f"{work}/c")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert S.list_objects(spark, work, f"{FEED}/").count() > 1
+    assert S.read_lake(spark, work, f"{FEED}/").count() == 200_000
+
+
 def test_prefix_selects_feeds(spark, work):
     K.write_once(keyed(spark, ("a", 1)), work, FEED, "one")
     K.write_once(keyed(spark, ("a", 5)), work, "others/gas", "one")
