@@ -119,7 +119,7 @@ def stream_load_files(spark: SparkSession, lake: str, prefix: str, schema: T.Str
             F.count(quoted(partition_col)).alias("dates"), F.count("year").alias("years"), F.count("month").alias("months"))
         reason = (F.when(F.col("dates") == 0, f"no value in {partition_col}")
                   .when((F.col("years") == 0) | (F.col("months") == 0), "no year or month"))
-        audited = audit.select("s3_key", reason.alias("reason")).persist(StorageLevel.MEMORY_AND_DISK)
+        audited = audit.select("s3_key", reason.alias("reason"))
         bad = audited.filter(F.col("reason").isNotNull())
         good = batch
         if not bad.isEmpty():
@@ -128,7 +128,6 @@ def stream_load_files(spark: SparkSession, lake: str, prefix: str, schema: T.Str
                 overwrite_partitions(bad.withColumn("load_id", F.lit(load_id)), failures, "load_id")
         load_partitioned(warehouse_cast(good.drop("s3_key"), partition_col), table, partition_col, load_id)
         record_processed(ledger, audited.filter(F.col("reason").isNull()), at, load_id)
-        audited.unpersist()
 
     return for_each_batch(files, checkpoint, handle, every)
 
