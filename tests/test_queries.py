@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from gridmill.registry import QUERIES as OWN
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = {n: q for n, q in entry_points.queries().items() if n in OWN}, entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
