@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmill.llm import language, packing, quality
+from gridmill.llm import language, neardup, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
+
+
+@query("op4_neardup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_copies(table(spark, sf_dir, "documents"))
