@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmill.llm import language, neardup, packing, quality
+from gridmill.llm import language, neardup, packing, quality, scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_neardup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op3_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scoring.scored(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
