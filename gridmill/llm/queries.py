@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmill.llm import extraction, language, neardup, packing, quality, scoring
+from gridmill.llm import extraction, language, neardup, packing, quality, repeats, scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_extraction")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_repeats")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.removed(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return rows.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
