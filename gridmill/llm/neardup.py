@@ -11,7 +11,7 @@ Registers of a union are the maxima of registers, so sketches of parts may be me
 4. Where a bucket still holds several components, pairs across components are tested as well. Pairs inside a component
    are never made, so a group that hangs together costs as many pairs as it has members.
 
-At a similarity of 0.85 a pair misses all bands with probability (1 - 0.85**4)**20 = 4e-7. The likelihood test drops a pair only
+At a similarity of 0.85 a pair misses all bands with probability (1 - 0.85**4)**24 = 2e-8, at 0.8 with 3e-6. The likelihood test drops a pair only
 where 0.85 is less likely than the best estimate by a factor of e**20.
 
 Sets with fewer than 6 shingles can only be linked to equal sets. Null and empty texts have empty sets and are linked with
@@ -30,7 +30,7 @@ from gridmill.llm.graphs import components
 from gridmill.llm.textarrays import Texts, chunks, mix, shingles, signed, word_hashes
 from gridmill.session import scratch
 
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 SCALE, RATE, TOP = 1.02, 20.0, 65535
 #: Logarithm of the likelihood ratio at which a pair counts as refuted by its sketches.

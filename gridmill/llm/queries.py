@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmill.llm import extraction, language, neardup, packing, quality, repeats, scoring
+from gridmill.llm import decontamination, extraction, language, licences, linededup, neardup, packing, quality, repeats, scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repeats.removed(table(spark, sf_dir, "documents"))
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return rows.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_linededup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linededup.delete_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "text", "n_lines", "n_removed", F.size("runs").alias("n_runs"))
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_licences")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
