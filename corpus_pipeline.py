@@ -1,13 +1,14 @@
 """The corpus pipeline: each stage applies one operator to all that its predecessor kept.
 
-Stages take (spark, docs, sf_dir) and return the columns of documents; the last one returns the packed pieces.
+Stages take (spark, docs, sf_dir) and return the columns of documents; the last one returns the packed pieces. Rows that share a
+document number stay or go together where a stage decides by number. Rows without a number pass every stage that decides so.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmill.llm import language, packing
+from gridmill.llm import decontamination, language, linededup, neardup, packing
 from gridmill.session import scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -15,15 +16,45 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any letter, for which no language can be inferred, go."""
-    found = language.identify(docs).where(F.col("lang_pred") != language.UNKNOWN).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
+    languages, logp = language.learn(docs, F.lit(True))
+    found = language.predict(docs.withColumn("_kept", F.col("text")), languages, logp)
+    return found.where((F.col("lang_pred") != language.UNKNOWN) | F.lit(not languages) & F.col("_kept").rlike(r"\p{L}")).select(
+        *[F.col("_kept").alias(c) if c == "text" else c for c in COLUMNS])
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated runs of lines are cut out; documents of which no word is left go."""
+    left = linededup.delete_repeats(docs.select(*COLUMNS))
+    return left.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn(
+        "n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 80 % of their five-word shingles, the one with the smallest number stays."""
+    docs = docs.select(*COLUMNS)
+    gone = neardup.near_copies(docs, k=5, percent=80).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontamination.clean(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all remaining documents with their places in sequences."""
     return packing.pack(docs)
 
 
-STAGES = [("language", language_stage), ("packing", packing_stage)]
+STAGES = [
+    ("language", language_stage),
+    ("line_dedup", line_stage),
+    ("near_copies", near_copy_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
+#: Learned models and tokenizers are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 

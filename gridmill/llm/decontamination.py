@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridmill.llm.textarrays import LOWER, SPACE, Texts, chunks, prefix_sums, shingles, signed, span_hash
+from gridmill.llm.textarrays import LOWER, Texts, chunks, prefix_sums, shingles, span_hash
 
 SEED, LEAST = 3, 0.5
 RARE_FACTOR, RARE_FREE = 10, 10
@@ -166,14 +166,12 @@ def passages(texts: Texts, items: Items) -> Iterator[tuple[int, int, float, int,
         yield d, k, *rest
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, score (share of a verbatim copy's), word_start and word_end of every contaminated pair."""
+def rare_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
+    """The items in blocks with their rare seeds, each broadcast; one pass over ``docs`` counts the seeds of a block."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-2 * total // BLOCK_BYTES)) if total > BLOCK_BYTES else 1
-    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = []
+    blocks = 1 if total <= BLOCK_BYTES else -(-2 * total // BLOCK_BYTES)
     for b in range(blocks):
         block = Items(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").toArrow())
         held = spark.sparkContext.broadcast(block)
@@ -192,11 +190,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             if len(some):
                 yield pa.RecordBatch.from_pydict({"seed": some, "df": seen[some]})
 
-        counted = texts_of.select("text").mapInArrow(count, "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df")).toArrow()
+        counted = docs.select("text").mapInArrow(count, "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df")).toArrow()
         df = np.zeros(len(block.seed), np.int64)
         df[counted.column("seed").to_numpy()] = counted.column("df").to_numpy()
         block.keep_rare(df)
-        rare = spark.sparkContext.broadcast(block)
+        yield spark.sparkContext.broadcast(block)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, score (share of a verbatim copy's), word_start and word_end of every contaminated pair."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = []
+    for rare in rare_blocks(docs, benchmark):
 
         def search(batches: Iterator[pa.RecordBatch], rare=rare) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -208,5 +213,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                             "doc_id": batch.column(0).slice(texts.first, texts.n).take(pa.array(d)), "item_id": pa.array([rare.value.ids[i] for i in k], pa.int64()),
                             "score": pa.array(share), "word_start": pa.array(start, pa.int64()), "word_end": pa.array(end, pa.int64())})
 
-        found.append(texts_of.mapInArrow(search, "doc_id long, item_id long, score double, word_start long, word_end long"))
+        found.append(docs.mapInArrow(search, "doc_id long, item_id long, score double, word_start long, word_end long"))
     return reduce(DataFrame.unionByName, found)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of the benchmark, all columns as they are."""
+    kept = docs
+    for rare in rare_blocks(docs, benchmark):
+
+        def drop(batches: Iterator[pa.RecordBatch], rare=rare) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                whole = np.ones(batch.num_rows, bool)
+                for texts in chunks(batch.column("text")):
+                    whole[[texts.first + d for d, *_ in passages(texts, rare.value)]] = False
+                yield batch.filter(pa.array(whole))
+
+        kept = kept.mapInArrow(drop, docs.schema)
+    return kept

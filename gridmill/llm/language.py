@@ -138,14 +138,18 @@ def infer(texts: Texts, logp: np.ndarray, penalty: float = PENALTY, rounds: int
 
 
 def predict(docs: DataFrame, languages: list[str], logp: np.ndarray, *, penalty: float = PENALTY) -> DataFrame:
-    """doc_id, lang_pred, score, langs and proportions (the chosen languages, largest first) for every row."""
+    """The columns of ``docs`` with lang_pred, score, langs and proportions (the chosen languages, largest first).
+
+    A text is only read, not returned: give it under a second name to keep it."""
+    columns = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
     model = docs.sparkSession.sparkContext.broadcast((languages, logp))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = model.value
         for batch in batches:
-            for texts in chunks(batch.column(1)):
-                lettered = pc.fill_null(batch.column(2).slice(texts.first, texts.n), False).to_numpy(zero_copy_only=False)
+            for texts in chunks(batch.column("text")):
+                lettered = pc.fill_null(batch.column("_lettered").slice(texts.first, texts.n), False).to_numpy(zero_copy_only=False)
                 pred, score = [UNKNOWN] * texts.n, np.zeros(texts.n)
                 langs, parts = [[] for _ in range(texts.n)], [[] for _ in range(texts.n)]
                 found, share, certain = infer(texts, table, penalty)
@@ -155,12 +159,13 @@ def predict(docs: DataFrame, languages: list[str], logp: np.ndarray, *, penalty:
                         chosen = [k for k in order[i].tolist() if share[i, k] > 0]
                         pred[doc], score[doc] = names[chosen[0]], min(1.0, share[i, chosen[0]] * certain[i])
                         langs[doc], parts[doc] = [names[k] for k in chosen], share[i, chosen].tolist()
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column(0).slice(texts.first, texts.n), "lang_pred": pred, "score": score,
-                    "langs": pa.array(langs, pa.list_(pa.string())), "proportions": pa.array(parts, pa.list_(pa.float64()))})
+                kept = [batch.column(c).slice(texts.first, texts.n) for c in columns]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.array(pred, pa.string()), pa.array(score), pa.array(langs, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float64()))],
+                    names=[*columns, "lang_pred", "score", "langs", "proportions"])
 
-    return docs.select(F.col("doc_id"), "text", F.col("text").rlike(r"\p{L}").alias("lettered")).mapInArrow(
-        label, "doc_id long, lang_pred string, score double, langs array<string>, proportions array<double>")
+    return docs.withColumn("_lettered", F.col("text").rlike(r"\p{L}")).mapInArrow(
+        label, f"{kinds}, lang_pred string, score double, langs array<string>, proportions array<double>")
 
 
 def held_out(parts: int) -> Column:
@@ -172,4 +177,4 @@ def identify(docs: DataFrame, parts: int = 4) -> DataFrame:
     """Learns from the rows that are not held out and predicts all: doc_id, held_out, lang_pred, score, langs, proportions."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     languages, logp = learn(docs, ~held_out(parts))
-    return predict(docs, languages, logp).select("doc_id", held_out(parts).alias("held_out"), "lang_pred", "score", "langs", "proportions")
+    return predict(docs.select("doc_id", "text"), languages, logp).select("doc_id", held_out(parts).alias("held_out"), "lang_pred", "score", "langs", "proportions")
