@@ -140,7 +140,9 @@ def infer(texts: Texts, logp: np.ndarray, penalty: float = PENALTY, rounds: int
 def predict(docs: DataFrame, languages: list[str], logp: np.ndarray, *, penalty: float = PENALTY) -> DataFrame:
     """The columns of ``docs`` with lang_pred, score, langs and proportions (the chosen languages, largest first).
 
-    A text is only read, not returned: give it under a second name to keep it."""
+    A text is only read, not returned: give it under a second name to keep it.
+    Columns named like a new one are replaced."""
+    docs = docs.drop("lang_pred", "score", "langs", "proportions", "_lettered")
     columns = [c for c in docs.columns if c != "text"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
     model = docs.sparkSession.sparkContext.broadcast((languages, logp))

@@ -12,7 +12,7 @@ equals. Equal runs have equal windows, so every repeated run of ``min_words`` wo
 
 Lines go with their line end. A null text stays null, an empty one empty. Documents without a number come first, rows that share
 one follow each other by content, and equal rows of one number count as one text that is given back as often. Empty tables
-give no rows. Other columns of the input are kept as they are.
+give no rows. Other columns of the input are kept as they are; those named like a new one are replaced.
 """
 
 from __future__ import annotations
@@ -90,6 +90,7 @@ def later_runs(rows: DataFrame, min_words: int) -> DataFrame:
 def delete_repeats(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` with the text that is left, and n_lines, n_removed (lines) and runs (first and last line of each
     deleted run)."""
+    docs = docs.drop("n_lines", "n_removed", "runs", "_row", "_runs")
     names = docs.columns
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
     rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), "text")
