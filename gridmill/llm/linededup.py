@@ -31,14 +31,14 @@ _U = np.uint64
 
 
 def windows(texts: Texts, min_words: int) -> tuple[np.ndarray, ...]:
-    """Document, first and last line, content hash and fingerprint of every window."""
+    """Document, first and last line, content hash, fingerprint and its place for every window."""
     begin, stop, doc = texts.lines()
     word_start, word_end, _ = texts.words()
     # First and last word of every line.
     low, high = np.searchsorted(word_start, begin), np.searchsorted(word_start, stop)
     line = np.arange(len(begin)) - np.searchsorted(doc, np.arange(texts.n))[doc]
     full = np.flatnonzero(high > low)
-    none = tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
+    none = tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0, np.uint64) for _ in range(2)) + (np.zeros(0, np.int64),)
     if not len(full):
         return none
     doc, line, size = doc[full], line[full], (high - low)[full]
@@ -50,13 +50,14 @@ def windows(texts: Texts, min_words: int) -> tuple[np.ndarray, ...]:
         return none
     first, last = ok, last[ok]
     width = last - first
-    content, least = np.zeros(len(ok), np.uint64), np.full(len(ok), np.iinfo(np.uint64).max, np.uint64)
+    content, least, place = np.zeros(len(ok), np.uint64), key[first], first.copy()
     for j in range(int(width.max())):  # at most min_words steps, as every line has a word
         on = j < width
         at = np.minimum(first + j, len(key) - 1)
         content = np.where(on, mix(content + key[at] + _U(j + 1)), content)
-        least = np.where(on, np.minimum(least, key[at]), least)
-    return doc[first], line[first], line[last - 1], content, least
+        less = on & (key[at] < least)
+        least, place = np.where(less, key[at], least), np.where(less, at, place)
+    return doc[first], line[first], line[last - 1], content, least, place
 
 
 def later_runs(rows: DataFrame, min_words: int) -> DataFrame:
@@ -65,10 +66,10 @@ def later_runs(rows: DataFrame, min_words: int) -> DataFrame:
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in chunks(batch.column("text")):
-                doc, first, last, content, print_ = windows(texts, min_words)
+                doc, first, last, content, print_, place = windows(texts, min_words)
                 if not len(doc):
                     continue
-                edge = np.flatnonzero(np.r_[True, (print_[1:] != print_[:-1]) | (doc[1:] != doc[:-1])])
+                edge = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
                 flat = pa.StructArray.from_arrays([pa.array(first), pa.array(last), pa.array(signed(content))], ["first", "last", "content"])
                 take = pa.array(doc[edge])
                 yield pa.RecordBatch.from_pydict({

@@ -8,8 +8,8 @@ Registers of a union are the maxima of registers, so sketches of parts may be me
 2. Equal sets form one class. All further work is on classes, so a large group of exact copies costs one row.
 3. ``BANDS`` bands of ``ROWS`` registers are bucket keys. In each bucket every class meets the bucket's smallest and largest
    class only. The pairs pass the likelihood test, are confirmed on whole sets, and connected.
-4. Where a bucket still holds several components, pairs across components are tested as well. Pairs inside a component
-   are never made, so a group that hangs together costs as many pairs as it has members.
+4. Nodes that buckets tie together are a family. Where a family still holds several components, they are compared in
+   blocks, the largest component not with itself. So a group that hangs together costs as many pairs as it has members.
 
 At a similarity of 0.85 a pair misses all bands with probability (1 - 0.85**4)**24 = 2e-8, at 0.8 with 3e-6. The likelihood test drops a pair only
 where 0.85 is less likely than the best estimate by a factor of e**20.
@@ -35,6 +35,8 @@ REGISTERS = BANDS * ROWS
 SCALE, RATE, TOP = 1.02, 20.0, 65535
 #: Logarithm of the likelihood ratio at which a pair counts as refuted by its sketches.
 REFUTED = 20.0
+#: Nodes of a block in the comparison across components, and tasks that families of two blocks are dealt over.
+BLOCK, SHARED = 256, 2048
 
 _U = np.uint64
 _FACTORS = np.random.Generator(np.random.PCG64(7001)).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * _U(2) + _U(1)
@@ -159,6 +161,73 @@ def _linked(pairs: DataFrame, sketches: DataFrame, whole: DataFrame, percent: in
     return judged.join(side(whole, "a"), "a").join(side(whole, "b"), "b").mapInArrow(confirm, "a long, b long")
 
 
+def _across(stars: DataFrame, links: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Links between components of one family: nodes that buckets tie together, directly or by way of others.
+
+    The largest component of a family is not compared with itself. All others are cut into blocks, as it is, and a task gets
+    two blocks. A node so travels once for each block it meets, not for each node, and only links leave the task, one for
+    each two components.
+    """
+    family = components(stars).select("node", F.col("label").alias("family"))
+    named = family.join(components(links), "node", "left").select("node", "family", F.coalesce("label", "node").alias("label"))
+    sizes = named.groupBy("family", "label").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("family").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).where("top.n < n").select(
+        "family", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / BLOCK).alias("n_main"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("n_rest"))
+    # Blocks 0 .. n_rest - 1 hold the small components, the others the largest one.
+    dealt = named.join(largest, "family").withColumn("block", F.when(
+        F.col("label") == F.col("main"), F.col("n_rest") + F.pmod(F.xxhash64("node"), "n_main")).otherwise(F.pmod(F.xxhash64("node"), "n_rest")))
+    rest = F.col("block") < F.col("n_rest")
+    other = F.explode(F.when(rest, F.expr("sequence(0L, n_rest + n_main - 1)")).otherwise(F.expr("sequence(0L, n_rest - 1)")))
+    met = dealt.select("node", "label", "family", "block", "n_main", "n_rest", other.alias("other")).select(
+        "node", "label", "family", (F.col("block") <= F.col("other")).alias("first"), (F.col("block") >= F.col("other")).alias("second"),
+        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("n_main") + F.col("n_rest")).alias("blocks"))
+    # Families of one block of each kind share tasks.
+    group = F.when(F.col("blocks") > 2, F.xxhash64("family", "i", "j")).otherwise(F.pmod(F.xxhash64("family"), F.lit(SHARED)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        keys = list(zip(*(table.column(c).to_pylist() for c in ("family", "i", "j")), strict=True))
+        node, label = (table.column(c).to_pylist() for c in ("node", "label"))
+        first, second = (table.column(c).to_numpy() for c in ("first", "second"))
+        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        places: dict[tuple, list[int]] = {}
+        for at, key in enumerate(keys):
+            places.setdefault(key, []).append(at)
+        for own in places.values():
+            left, right = [x for x in own if first[x]], [x for x in own if second[x]]
+            for x, y in _pairs([sets_[k] for k in left], [sets_[k] for k in right], percent):
+                p, q = left[x], right[y]
+                if label[p] != label[q]:
+                    found.setdefault((min(label[p], label[q]), max(label[p], label[q])), (node[p], node[q]))
+        pairs = list(found.values())
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return met.join(whole, "node").withColumn("_group", group).groupBy("_group").applyInArrow(compare, "a long, b long")
+
+
+def _pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Places of all similar sets of two lists, from the product of their incidence matrices over common elements."""
+    if not left or not right:
+        return []
+    a, b = np.concatenate(left), np.concatenate(right)
+    common = np.intersect1d(a, b)
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, len(common), 1 << 13):
+        part = common[begin: begin + (1 << 13)]
+        marks = []
+        for flat, size in ((a, sizes[0]), (b, sizes[1])):
+            at = np.minimum(np.searchsorted(part, flat), len(part) - 1)
+            on = np.flatnonzero(part[at] == flat)
+            matrix = np.zeros((len(size), len(part)), np.float32)
+            matrix[np.repeat(np.arange(len(size)), size)[on], at[on]] = 1
+            marks.append(matrix)
+        shared += marks[0] @ marks[1].T
+    shared = shared.astype(np.int64)
+    union = sizes[0][:, None] + sizes[1][None, :] - shared
+    return list(zip(*(x.tolist() for x in np.nonzero((shared > 0) & (100 * shared >= percent * union))), strict=True))
+
+
 def near_copies(docs: DataFrame, *, k: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links are 100 * intersection >= percent * union."""
     spark = docs.sparkSession
@@ -197,13 +266,7 @@ def near_copies(docs: DataFrame, *, k: int = 3, percent: int = 85) -> DataFrame:
         buckets.select(F.col("node").alias("a"), F.col("high").alias("b"))).where("a < b").distinct()
     links = stored(_linked(stars, sketches, whole, percent), "links")
     labels = components(links)
-    named = buckets.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    left = named.join(mixed, "key", "left_semi")
-    other = left.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    across = left.withColumnRenamed("node", "a").join(other, "key").where("a < b and label <> label_b").select("a", "b").distinct().join(
-        stars, ["a", "b"], "left_anti")
-    more = _linked(across, sketches, whole, percent)
+    more = _across(stars, links, whole, percent)
     final = components(links.unionByName(more).unionByName(same))
     return rows.select("doc_id", "n_shingles").join(final, rows["doc_id"] == final["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"),
