@@ -1,14 +1,14 @@
 """Finds benchmark items in training texts, edited copies included: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased and compared without ASCII punctuation at their ends. Seeds are the runs of ``SEED`` words of the items.
-One pass over the corpus counts in how many documents each seed occurs. A seed is rare if that is at most ``RARE_FACTOR``
-times the lower quartile of its item's seeds, and ``RARE_FREE`` more: of every item a quarter of the seeds is rare at least,
-however often the item itself was copied. A second pass looks the rare seeds up, joins the hits of a document and an
-item that stand together to passages, widens each by the length of the item, and aligns it word by word. A pair is reported if
-the score reaches ``LEAST`` of the score of a verbatim copy.
+One pass over the corpus counts the words of the items. A seed is rare if words drawn by these frequencies would make it up in
+fewer than ``RARE`` of the documents; so seeds stay rare however often an item itself was copied. The quarter of an item's seeds
+that is least likely is used in any case. A second pass looks the rare seeds up, joins the hits of a document and an item
+that stand together to passages, widens each by the length of the item, and aligns it word by word. A pair is reported if the
+score reaches ``LEAST`` of the score of a verbatim copy.
 
 Items are read in blocks of at most ``BLOCK_BYTES`` of text, each broadcast in one pass over the whole corpus; so a larger
-benchmark takes more passes, not more memory. The counts of a block's seeds are as bounded.
+benchmark takes more passes, not more memory. The counts of a block's words are as bounded.
 
 Items with fewer than ``SEED`` words have no seed and are not searched for. Null and empty texts match nothing. Rows that share a
 number are searched each. Empty tables give no rows. Other columns are not read.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridmill.llm.textarrays import LOWER, Texts, chunks, prefix_sums, shingles, span_hash
 
 SEED, LEAST = 3, 0.5
-RARE_FACTOR, RARE_FREE = 10, 10
+RARE = 1e-3
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Cells of a batch of alignments.
@@ -62,6 +62,11 @@ class Items:
         self.owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
         every = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         self.seed, self.which = np.unique(every, return_inverse=True)
+        self.word = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64)
+        parts = [np.searchsorted(self.word, w) for w in self.words]
+        runs = [np.stack([w[j: len(w) - SEED + 1 + j] for j in range(SEED)], axis=1) for w in parts if len(w) >= SEED]
+        #: Words of every seed of every item, as numbers.
+        self.made_of = np.concatenate(runs) if runs else np.zeros((0, SEED), np.int64)
         self._index(np.ones(len(every), bool))
 
     def _index(self, used: np.ndarray) -> None:
@@ -73,15 +78,22 @@ class Items:
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(self.seed[np.diff(self.edge) > 0] >> _U(42)).astype(np.int64)] = True
 
-    def keep_rare(self, df: np.ndarray) -> None:
-        """Leaves of every item the seeds that are rare by the number of documents with them."""
-        own = df[self.which]
-        limit = np.zeros(len(self.words))
-        for k in range(len(self.words)):
-            mine = own[self.owner == k] if len(self.words) < 64 else own[np.searchsorted(self.owner, k): np.searchsorted(self.owner, k, side="right")]
-            if len(mine):
-                limit[k] = RARE_FACTOR * np.quantile(mine, 0.25, method="lower") + RARE_FREE
-        self._index(own <= limit[self.owner])
+    def count(self, word: np.ndarray) -> np.ndarray:
+        """How often each word of the items occurs in ``word``."""
+        if not len(self.word):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.word, word), len(self.word) - 1)
+        return np.bincount(at[self.word[at] == word], minlength=len(self.word))
+
+    def keep_rare(self, n: np.ndarray, words: int, documents: int) -> None:
+        """Leaves of every item the rare seeds, from the counts of its words in all documents."""
+        by_chance = np.log(np.maximum(n, 0.5) / max(words, 1))[self.made_of].sum(axis=1) + np.log(max(words, 1) / max(documents, 1))
+        used = by_chance <= np.log(RARE)
+        edge = np.searchsorted(self.owner, np.arange(len(self.words) + 1))
+        for a, b in zip(edge, edge[1:], strict=False):
+            if b > a:
+                used[a:b] |= by_chance[a:b] <= np.quantile(by_chance[a:b], 0.25, method="higher")
+        self._index(used)
 
     def hits(self, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``seed`` of hashes that are seeds, and which."""
@@ -167,7 +179,7 @@ def passages(texts: Texts, items: Items) -> Iterator[tuple[int, int, float, int,
 
 
 def rare_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
-    """The items in blocks with their rare seeds, each broadcast; one pass over ``docs`` counts the seeds of a block."""
+    """The items in blocks with their rare seeds, each broadcast; one pass over ``docs`` counts the words of a block."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -177,23 +189,20 @@ def rare_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
         held = spark.sparkContext.broadcast(block)
 
         def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            seen = np.zeros(len(held.value.seed), np.int64)
+            seen, words, documents = np.zeros(len(held.value.word), np.int64), 0, 0
             for batch in batches:
                 for texts in chunks(batch.column(0)):
-                    word, doc = plain_words(texts)
-                    seed, at = shingles(word, doc, SEED)
-                    hit, which = held.value.hits(seed)
-                    if len(hit):
-                        once = np.unique(doc[at[hit]] * len(seen) + which) % len(seen)
-                        seen += np.bincount(once, minlength=len(seen))
+                    word, _ = plain_words(texts)
+                    seen += held.value.count(word)
+                    words, documents = words + len(word), documents + texts.n
             some = np.flatnonzero(seen)
-            if len(some):
-                yield pa.RecordBatch.from_pydict({"seed": some, "df": seen[some]})
+            yield pa.RecordBatch.from_pydict({"word": np.r_[some, -1, -2], "n": np.r_[seen[some], words, documents]})
 
-        counted = docs.select("text").mapInArrow(count, "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df")).toArrow()
-        df = np.zeros(len(block.seed), np.int64)
-        df[counted.column("seed").to_numpy()] = counted.column("df").to_numpy()
-        block.keep_rare(df)
+        counted = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+        # The last two places take the numbers of all words and documents.
+        n = np.zeros(len(block.word) + 2, np.int64)
+        n[counted.column("word").to_numpy()] = counted.column("n").to_numpy()
+        block.keep_rare(n[:-2], int(n[-1]), int(n[-2]))
         yield spark.sparkContext.broadcast(block)
 
 
