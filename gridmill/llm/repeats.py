@@ -181,7 +181,7 @@ def repeats(blobs: list[bytes], length: int, step: int) -> tuple[np.ndarray, np.
         if not len(own):
             continue
         group = np.cumsum(common < length - e)
-        key = mix(left[own] + mix(group[own].astype(np.uint64)))
+        key = mix(left[own] * _U(0x9E3779B97F4A7C15) + group[own].astype(np.uint64))
         sort = np.argsort(key, kind="stable")
         first = np.flatnonzero(np.r_[True, key[sort][1:] != key[sort][:-1]])
         total = np.add.reduceat(head["n"][own][sort], first)
