@@ -67,12 +67,18 @@ def forecast_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(F.col("event_type") == "purchase", "Rad1h").when(F.col("event_type") == "signup", "SunD1")
                .otherwise("N"))
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", element.alias("element"), "value")
-    placed = row_index(rows, ["event_id"], ["user_id", "element"], "step")
+    # A user's events of one kind in order; the shape of these tables bounds them.
+    placed = row_index(rows, ["event_id"], ["user_id", "element"], "step", group_bound=1_000_000)
     return placed.select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("station"), "element",
         F.col("step").cast("int").alias("step"), F.when(F.col("value") >= 2, F.col("value")).alias("value"))
 
 
+def climate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("stations_id"), "ts", F.col("value").alias("tt_tu"),
+                                                 F.lit("eor").alias("eor"), F.lit(0).alias("src_rank"))
+
+
 def climate_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))
     return e.select("event_id", F.col("user_id").alias("stations_id"), "ts", F.col("value").alias("tt_tu"),
@@ -122,6 +128,7 @@ SQL = {
                         WHEN 'signup' THEN 'SunD1' ELSE 'N' END AS element,
         CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) - 1 AS INTEGER) AS step,
         CASE WHEN value >= 2 THEN value END AS value FROM events""",
+    "climate_all": """SELECT event_id, user_id AS stations_id, ts, value AS tt_tu, 'eor' AS eor, 0 AS src_rank FROM events""",
     "climate_recent": """SELECT event_id, user_id AS stations_id, ts, value AS tt_tu, 'eor' AS eor, 0 AS src_rank
         FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""",
     "climate_historical": """SELECT event_id, user_id AS stations_id, ts, value + 100 AS tt_tu, 'eor' AS eor,

@@ -31,7 +31,7 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 def drop_for_parameter(df: DataFrame, parameter: str) -> DataFrame:
     """Drop the technical columns of a weather parameter; missing ones are ignored."""
-    return df.drop(*weather_parameter(parameter)[2])
+    return df.drop(*weather_parameter(parameter)[1])
 
 
 def select_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -135,9 +135,10 @@ def row_mean(cols: Sequence[Column | str]) -> Column:
 # -- text --------------------------------------------------------------------------
 
 def series_title(col: Column | str) -> Column:
-    """``a_run-of_b`` to ``A Run-Of B``: every letter after a non-letter is a capital."""
-    words = F.split(F.translate(_c(col), "_", " "), "-")
-    return F.array_join(F.transform(words, lambda w: F.initcap(w)), "-")
+    """``a_run-of_2b`` to ``A Run-Of 2B``: every letter after a non-letter is a capital."""
+    # Runs of letters and single other characters, in order.
+    parts = F.regexp_extract_all(F.translate(_c(col), "_", " "), F.lit(r"(\p{L}+|[^\p{L}])"), 1)
+    return F.array_join(F.transform(parts, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1_000_000)))), "")
 
 
 def fixed2(col: Column | str, suffix: str = "") -> Column:

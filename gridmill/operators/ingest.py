@@ -23,12 +23,14 @@ def ledger_count(ledger: DataFrame, key: str) -> DataFrame:
 
 def to_publish(df: DataFrame, order: Sequence[str], field: str, fields: Sequence[str], by: Sequence[str] = (),
                marks: DataFrame | None = None, predicates: Sequence[Column] = (),
-               hot_rows: int | None = None) -> DataFrame:
-    """Rows a publisher sends: filtered, ahead of the mark, numbered in order."""
+               splits: int | None = None, numbers: DataFrame | None = None) -> DataFrame:
+    """Rows a publisher sends: filtered, ahead of the mark, numbered in order.
+
+    ``numbers`` holds (by..., sent): how many records of a source were sent before, so that numbers go on.
+    """
     chosen = df.filter(all_of(*predicates))
-    ahead = advance_only(chosen, order, field, by, marks, hot_rows=hot_rows, sized_by=chosen)
-    # No group has grown, so the sizes of the input decide again.
-    numbered = number_records(ahead, order, by, hot_rows=hot_rows, sized_by=chosen)
+    ahead = advance_only(chosen, order, field, by, marks, splits=splits)
+    numbered = number_records(ahead, order, by, splits=splits, numbers=numbers)
     return select_fields(numbered, [*by, *[f for f in fields if f not in by], "key_id"])
 
 

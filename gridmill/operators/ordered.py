@@ -1,7 +1,6 @@
 """Operators that look at the rows before: change, high-water mark, numbering, last n.
 
-``sizing`` options (``hot_rows``, ``sized_by``, ``group_bound``) are those of
-``ordered_scan``.
+``sizing`` options (``splits``, ``group_bound``) are those of ``ordered_scan``.
 """
 
 from __future__ import annotations
@@ -73,9 +72,13 @@ def row_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
 
 
 def number_records(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "key_id",
-                   **sizing) -> DataFrame:
-    """``record_0, record_1, ...`` in order."""
+                   numbers: DataFrame | None = None, **sizing) -> DataFrame:
+    """``record_0, record_1, ...`` in order; after the ``sent`` records that ``numbers`` has for a source."""
     numbered = row_index(df, order, by, "_index", **sizing)
+    if numbers is not None:
+        before = numbers.select(*[quoted(c) for c in by], F.col("sent").alias("_sent"))
+        numbered = numbered.join(before, list(by), "left") if by else numbered.join(F.broadcast(before.limit(1)), how="left")
+        numbered = numbered.withColumn("_index", F.col("_index") + F.coalesce("_sent", F.lit(0))).drop("_sent")
     return numbered.withColumn(name, F.concat(F.lit("record_"), F.col("_index").cast("string"))).drop("_index")
 
 

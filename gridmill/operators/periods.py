@@ -67,15 +67,18 @@ def slice_closed_hours(df: DataFrame, col: str, as_of: datetime, tz: str = BERLI
     return _keyed(df, col, condition, tz, HOUR_KEY)
 
 
-def slice_trading_hours(df: DataFrame, col: str, as_of: datetime, tz: str = BERLIN) -> DataFrame:
-    """As closed hours; at the weekend, Friday's hours 0 to 22."""
+def trading_hours(as_of: datetime, tz: str = BERLIN) -> tuple[datetime, datetime]:
+    """Start of the trading day and end of its completed hours: the as-of day, or Friday up to 23 o'clock at the weekend."""
     now = local_now(as_of, tz)
     back = {5: 1, 6: 2}.get(now.weekday(), 0)
-    if back == 0:
-        return slice_closed_hours(df, col, as_of, tz)
-    friday = (now - timedelta(days=back)).replace(hour=23, minute=0, second=0, microsecond=0)
-    condition = between(quoted(col), local_midnight(friday.date(), tz), as_utc(friday))
-    return _keyed(df, col, condition, tz, HOUR_KEY)
+    end = closed_hours_end(as_of, tz) if back == 0 else (now - timedelta(days=back)).replace(hour=23, minute=0, second=0, microsecond=0)
+    return local_midnight(end.date(), tz), end
+
+
+def slice_trading_hours(df: DataFrame, col: str, as_of: datetime, tz: str = BERLIN) -> DataFrame:
+    """As closed hours; at the weekend, Friday's hours 0 to 22."""
+    first, end = trading_hours(as_of, tz)
+    return _keyed(df, col, between(quoted(col), as_utc(first), as_utc(end)), tz, HOUR_KEY)
 
 
 def slice_by_period(df: DataFrame, keys: DataFrame, grain: str = "hour") -> DataFrame:

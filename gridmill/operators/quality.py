@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gridmill.functions.columns import quoted
 from gridmill.schemas import WEATHER_PARAMETERS
@@ -38,24 +38,33 @@ def unknown_parameters(df: DataFrame, col: str = "parameter") -> DataFrame:
     return df.filter(quoted(col).isNull() | ~quoted(col).isin(list(WEATHER_PARAMETERS)))
 
 
-def parameter_catalogue(spark) -> DataFrame:
-    rows = [(name, *values) for name, values in WEATHER_PARAMETERS.items()]
-    return spark.createDataFrame(
-        rows, "name string, category string, description string, columns_rm array<string>, url_suffix string")
-
-
-def malformed_rows(placemarks: DataFrame) -> DataFrame:
-    """Placemarks the parser must not accept, with the first thing that is wrong."""
+def forecast_problem(steps: str | None = None) -> Column:
+    """The first thing that is wrong with a placemark, or null. ``steps`` names the column of forecast times, if at hand."""
     def empty(c):
         return c.isNull() | (c == "")
 
     coords = F.split("coordinates", ",")
     bad_number = F.exists(coords, lambda p: p.try_cast("double").isNull())
+    words = lambda e: F.split(F.trim(F.regexp_replace(e["text"], r"\s+", " ")), " ")
     problem = (
         F.when(empty(F.col("station")), "description")
         .when(empty(F.col("name")), "name")
         .when(empty(F.col("coordinates")) | (F.size(coords) != 3) | bad_number, "coordinates")
         .when(F.exists("elements", lambda e: empty(e["element"])), "element")
         .when(F.exists("elements", lambda e: empty(e["text"])), "values")
+        .when(F.exists("elements", lambda e: F.exists(words(e), lambda w: (w != "-") & w.try_cast("double").isNull())), "number")
     )
-    return placemarks.withColumn("problem", problem).filter(F.col("problem").isNotNull())
+    if steps:
+        times = F.coalesce(F.size(steps), F.lit(0))
+        problem = problem.when(times <= 0, "no forecast times").when(F.exists("elements", lambda e: F.size(words(e)) != times), "length")
+    return problem
+
+
+def malformed_rows(placemarks: DataFrame, steps: DataFrame | None = None) -> DataFrame:
+    """Placemarks the parser must not accept, with the first thing that is wrong.
+
+    With ``steps`` (file, steps) the number of values is compared with the number of forecast times.
+    """
+    rows = placemarks if steps is None else placemarks.join(steps, "file", "left")
+    found = rows.withColumn("problem", forecast_problem(None if steps is None else "steps")).filter(F.col("problem").isNotNull())
+    return found.select(*placemarks.columns, "problem")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -15,7 +17,8 @@ from gridmill.operators.ordered import row_index
 from gridmill.sources.lake import delete_folder, folders
 
 DELETE_BATCH = 1000
-MAX_DELETE_TASKS = 2000
+# Delete calls that one task has under way at once.
+DELETE_THREADS = 16
 
 
 def expired_objects(ledger: DataFrame, as_of: datetime, days: int) -> DataFrame:
@@ -24,36 +27,60 @@ def expired_objects(ledger: DataFrame, as_of: datetime, days: int) -> DataFrame:
     return ledger.filter(F.col("processed_at") < instant(cutoff)).select("s3_key").distinct()
 
 
-def delete_batches(keys: DataFrame, size: int = DELETE_BATCH, hot_rows: int | None = None) -> DataFrame:
-    """Number the delete calls: ``size`` keys each, in key order."""
-    numbered = row_index(keys, ["s3_key"], name="_index", hot_rows=hot_rows)
+def delete_batches(keys: DataFrame, size: int = DELETE_BATCH, splits: int | None = None) -> DataFrame:
+    """Number the delete calls: ``size`` keys each, in key order. Ranges of keys are numbered apart and added up."""
+    numbered = row_index(keys, ["s3_key"], name="_index", splits=splits)
     return numbered.select("s3_key", F.floor(F.col("_index") / F.lit(size)).cast("long").alias("batch"))
 
 
 def delete_files(paths: list[str]) -> list[str | None]:
     """Delete objects by URI; the outcome per path is null or an error text."""
-    from pyarrow import fs
+    stores: dict[str, object] = {}
 
-    out = []
-    for path in paths:
+    def delete(path: str) -> str | None:
         try:
-            filesystem, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1)
-                                                      if path.startswith("file:/") and not path.startswith("file://")
-                                                      else path)
-            filesystem.delete_file(name)
-            out.append(None)
+            root, name = store_uri(path)
+            stores[root].delete_file(name)
         except FileNotFoundError:
-            out.append(None)  # already gone, for example on a repeated task
+            return None  # already gone, for example on a repeated task
         except Exception as e:  # noqa: BLE001 - reported per key
-            out.append(f"{type(e).__name__}: {e}")
-    return out
+            return f"{type(e).__name__}: {e}"
+        return None
+
+    from pyarrow import fs
+
+    errors = {}
+    for path in paths:
+        root, _ = store_uri(path)
+        if root not in stores and root not in errors:
+            try:
+                stores[root] = fs.FileSystem.from_uri(root)[0]
+            except Exception as e:  # noqa: BLE001 - reported per key
+                errors[root] = f"{type(e).__name__}: {e}"
+    with ThreadPoolExecutor(DELETE_THREADS) as pool:
+        return list(pool.map(lambda p: errors.get(store_uri(p)[0]) or delete(p), paths))
+
+
+def store_uri(path: str) -> tuple[str, str]:
+    """Root of the store that holds a path, as an Arrow file system names it, and the name within.
+
+    Hadoop's names of object stores (``s3a``, ``s3n``, ``gs``, ``abfss`` ...) and its short ``file:/`` form are understood.
+    """
+    scheme, _, rest = path.partition(":") if re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:", path) else ("file", "", path)
+    scheme = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasbs": "abfss"}.get(scheme, scheme)
+    if scheme == "file":
+        return "file:///", "/" + rest.lstrip("/")
+    host, _, name = rest.removeprefix("//").partition("/")
+    if scheme in ("s3", "gs"):
+        return f"{scheme}://{host}", f"{host}/{name}"
+    return f"{scheme}://{host}/", f"/{name}" if scheme in ("hdfs", "viewfs") else name
 
 
 def purge(keys: DataFrame, size: int = DELETE_BATCH, dry_run: bool = True, prefix: str = "",
           delete: Callable[[list[str]], list[str | None]] = delete_files,
-          hot_rows: int | None = None) -> DataFrame:
+          splits: int | None = None) -> DataFrame:
     """Delete expired objects in batches on the executors; one status row per key."""
-    batches = delete_batches(keys, size, hot_rows)
+    batches = delete_batches(keys, size, splits)
     if dry_run:
         return batches.select("s3_key", "batch", F.lit("expired").alias("status"), F.lit(None).cast("string").alias("error"))
 
@@ -67,14 +94,14 @@ def purge(keys: DataFrame, size: int = DELETE_BATCH, dry_run: bool = True, prefi
 
     # Deleting waits on the store, not on data volume: the number of tasks follows the number of calls.
     calls = math.ceil(keys.count() / size)
-    spread = batches.repartition(min(MAX_DELETE_TASKS, max(1, calls)), "batch")
+    spread = batches.repartition(max(1, calls), "batch")
     return spread.mapInPandas(run, "s3_key string, batch long, status string, error string")
 
 
 def expire_partitions(df: DataFrame, date_col: str, as_of: datetime, days: int) -> DataFrame:
-    """Rows of day partitions that are still kept."""
+    """Rows of day partitions that are still kept; rows without a day have no age and stay."""
     first = (as_utc(as_of) - timedelta(days=days)).date()
-    return df.filter(quoted(date_col) >= F.lit(first))
+    return df.filter(quoted(date_col).isNull() | (quoted(date_col) >= F.lit(first)))
 
 
 def drop_expired_partitions(spark: SparkSession, path: str, date_col: str, as_of: datetime, days: int) -> list[str]:

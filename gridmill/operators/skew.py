@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -11,44 +10,25 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from gridmill.functions.columns import quoted
 from gridmill.session import checkpointed
 
-# A side is broadcast only when it was counted and holds at most this many rows.
-BROADCAST_ROWS = 100_000
-# A group above this many rows is never windowed in one task.
-HOT_ROWS = 5_000_000
-# Range partitions of the hot groups; more than this many cost more than they spread.
-MAX_SPLITS = 20_000
-# A DATE has no more values than this, so a daily series never has a hot group.
+# A DATE has no more values than this, which bounds the groups of a daily series.
 CALENDAR_DAYS = 3_652_059
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Counts at most ``max_rows + 1`` rows of the side."""
-    bound = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
-
-
-def keyed_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
+def keyed_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join of any large side with a side that is unique on ``on``.
 
-    The small side is broadcast when its counted size allows. Otherwise both
-    sides are shuffled, and adaptive execution cuts the partition of a hot key
-    by map output, each piece meeting a copy of the small side's partition.
-    That splits even identical rows, and unlike a random salt it gives the
-    same rows again when a lost task is repeated. It works for the kinds in
-    which only the large side is cut: inner, left, left_semi and left_anti.
+    Adaptive execution broadcasts the small side if its measured bytes allow.
+    Otherwise both sides are shuffled and the partition of a hot key is cut by
+    map output, each piece meeting a copy of the small side's partition. That
+    splits even identical rows, and unlike a random salt it gives the same rows
+    again when a lost task is repeated. It works for the kinds in which only
+    the large side is cut: inner, left, left_semi and left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind {how!r}")
-    if fits_broadcast(small, max_rows):
-        return large.join(F.broadcast(small), list(on), how)
     return large.join(small, list(on), how)
 
 
-def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[f"`{c}`"].eqNullSafe(right[f"`{c}`"]) for c in cols])
-
-
 def ordered_scan(
     df: DataFrame,
     name: str,
@@ -58,52 +38,29 @@ def ordered_scan(
     summary: Column,
     fold: Callable[[Column, WindowSpec], Column],
     merge: Callable[[Column, Column], Column],
-    hot_rows: int | None = None,
-    sized_by: DataFrame | None = None,
+    splits: int | None = None,
     group_bound: int | None = None,
 ) -> DataFrame:
     """Add ``name``: a value that depends on all earlier rows of the group.
 
-    Groups up to ``hot_rows`` rows are one plain window. Larger groups are cut
-    into ordered splits by range partitioning on (group, order): each split
-    computes ``local`` alone, its ``summary`` (one row per split) is folded
-    over the earlier splits, and ``merge`` combines the two. ``order`` must be
-    unique inside a group.
+    Rows are cut into ordered splits by range partitioning on (group, order),
+    whatever the size of a group: each split computes ``local`` alone, its
+    ``summary`` (one row per group and split) is folded over the earlier
+    splits, and ``merge`` combines the two. ``order`` must be unique inside a
+    group. ``splits`` is the number of shuffle partitions unless given.
 
-    Group sizes are counted on ``sized_by`` (a cheaper table whose groups are
-    at least as large) or on ``df``; a known ``group_bound`` saves the count.
+    ``group_bound`` states that no group can hold more rows than one task can
+    scan, whatever the input. Such groups are one plain window.
     """
-    limit = HOT_ROWS if hot_rows is None else hot_rows
     order_cols = [quoted(c).asc() for c in order]
-    nothing = F.lit(None)
-
-    def plain(rows: DataFrame) -> DataFrame:
+    if group_bound is not None:
         w = Window.partitionBy(*[quoted(c) for c in by]).orderBy(*order_cols)
-        return rows.withColumn(name, merge(local(w), nothing))
-
-    if group_bound is not None and group_bound <= limit:
-        return plain(df)
-    counted = df if sized_by is None else sized_by
-    hot = (counted.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("_rows"))
-           .filter(F.col("_rows") > limit))
-    hot_total = hot.agg(F.sum("_rows")).first()[0] or 0
-    if hot_total == 0:
-        return plain(df)
-
-    # At most total / hot_rows groups are hot, so their list is small.
-    if by:
-        keys = F.broadcast(hot.drop("_rows"))
-        heavy = df.join(keys, _null_safe(df, keys, by), "left_semi")
-        light = df.join(keys, _null_safe(df, keys, by), "left_anti")
-    else:
-        heavy, light = df, None
+        return df.withColumn(name, merge(local(w), F.lit(None)))
 
-    splits = min(MAX_SPLITS, max(2, math.ceil(2 * hot_total / limit)))
+    ranges = [*[quoted(c).asc() for c in by], *order_cols]
+    placed = df.repartitionByRange(splits, *ranges) if splits else df.repartitionByRange(*ranges)
     # The split id must not change when a task is run again: it is materialised.
-    cut = checkpointed(
-        heavy.repartitionByRange(splits, *[quoted(c).asc() for c in by], *order_cols)
-        .withColumn("_split", F.spark_partition_id())
-    )
+    cut = checkpointed(placed.withColumn("_split", F.spark_partition_id()))
     keys_and_split = [*by, "_split"]
     sums = cut.groupBy(*[quoted(c) for c in keys_and_split]).agg(summary.alias("_summary"))
     earlier = (Window.partitionBy(*[quoted(c) for c in by]).orderBy("_split")
@@ -112,10 +69,8 @@ def ordered_scan(
                         fold(F.col("_summary"), earlier).alias("_carry"))
     inner = Window.partitionBy(*[quoted(c) for c in keys_and_split]).orderBy(*order_cols)
     scanned = cut.withColumn("_local", local(inner))
-    # One row per (hot group, split) pair that occurs: at most splits + hot groups.
     condition = reduce(lambda a, b: a & b,
                        [quoted(c).eqNullSafe(quoted(f"_k_{c}")) for c in keys_and_split])
-    merged = (scanned.join(F.broadcast(carry), condition, "left")
-              .withColumn(name, merge(F.col("_local"), F.col("_carry")))
-              .select(*[quoted(c) for c in df.columns], quoted(name)))
-    return merged if light is None else merged.unionByName(plain(light))
+    return (scanned.join(carry, condition, "left")
+            .withColumn(name, merge(F.col("_local"), F.col("_carry")))
+            .select(*[quoted(c) for c in df.columns], quoted(name)))

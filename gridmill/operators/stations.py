@@ -28,5 +28,5 @@ def missing_stations(df: DataFrame, ids: Sequence[str] | DataFrame, col: str = "
 
 
 def attach_steps(series: DataFrame, steps: DataFrame, on: Sequence[str] = ("file", "step")) -> DataFrame:
-    """Give each value the forecast time of its position; steps are unique on ``on``."""
-    return keyed_join(series, steps, list(on), "inner")
+    """Give each value the forecast time of its position; a value without one keeps its row. Steps are unique on ``on``."""
+    return keyed_join(series, steps, list(on), "left")

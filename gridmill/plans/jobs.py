@@ -3,26 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from gridmill.functions.columns import (
     all_of, drop_any_null, drop_for_parameter, kelvin_to_celsius, narrow, normalize_headers, quoted, rename,
 )
-from gridmill.functions.timecols import BERLIN, in_month, parse_hour_stamp, parse_iso, to_local, with_calendar_parts
+from gridmill.functions.timecols import (
+    BERLIN, as_utc, between, in_month, local_midnight, parse_hour_stamp, parse_iso, to_local, with_calendar_parts,
+)
 from gridmill.operators.periods import (
-    slice_closed_hours, slice_last_days, slice_next_days, slice_same_day, slice_trading_hours,
+    HOUR_KEY, closed_hours_end, slice_last_days, slice_next_days, slice_same_day, trading_hours,
 )
-from gridmill.operators.retention import expired_objects, purge
+from gridmill.operators.retention import drop_expired_partitions, expired_objects, purge
 from gridmill.operators.shape import dedup_prefer, union_sources
-from gridmill.schemas import FORECAST_ELEMENTS, KELVIN_COLUMNS, weather_parameter
+from gridmill.operators.stations import missing_stations
+from gridmill.schemas import FORECAST_ELEMENTS, GAS_MESSAGE, KELVIN_COLUMNS, LOAD_MESSAGE, weather_parameter
+from gridmill.session import checkpointed
 from gridmill.operators.ingest import as_message, merged_marks, to_publish
 from gridmill.sinks.lake import KEY, publish, read_ledger, write_once
 from gridmill.sources.forecast import forecast_wide, read_placemarks, read_steps
-from gridmill.streaming.feeds import stream_gas, stream_load
-from gridmill.streaming.sinks import load_incremental, read_marks, stream_write_once, write_marks
+from gridmill.sources.lake import path_exists
+from gridmill.streaming.sinks import land_messages, load_incremental, read_marks, write_marks
 
 
 # -- transforms ----------------------------------------------------------------------
@@ -70,16 +74,21 @@ def load_feed(history: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
 
 # -- jobs ------------------------------------------------------------------------------
 
+def run_id(as_of: datetime) -> str:
+    """Name of the lake batch of a run: a repeated run of the same instant replaces its own rows, any other adds to them."""
+    return f"run-{as_utc(as_of):%Y%m%dT%H%M%S}"
+
+
 def through_lake(rows: DataFrame, lake: str, feed: str, table: str, state: str, partition_col: str, at: datetime,
-                 batch_id: str, key: Sequence[str] = (KEY,)) -> DataFrame:
-    """Write keyed rows once to the lake, then load the new objects; returns the objects that failed.
+                 batch_id: str | None = None, key: Sequence[str] = (KEY,), keep_late: bool = False) -> DataFrame:
+    """Write keyed rows once to the lake, then load the open batches; returns the objects that failed.
 
     The rows are a slice of a parsed source and are needed twice, so they are
     kept instead of being parsed again.
     """
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_once(rows, lake, feed, batch_id, key)
+        write_once(rows, lake, feed, batch_id or run_id(at), key, keep_late)
     finally:
         rows.unpersist()
     return to_warehouse(rows, lake, feed, table, state, partition_col, at)
@@ -92,10 +101,18 @@ def to_warehouse(rows: DataFrame, lake: str, feed: str, table: str, state: str,
 
 
 def weather_forecast_job(spark: SparkSession, paths, lake: str, table: str, state: str, as_of: datetime,
-                         n_days: int = 3, stations=None, zipped: bool = False, batch_id: str = "run") -> DataFrame:
-    """Forecast files to the table of the next days. A key is a station and a day."""
-    wide = forecast_wide(read_placemarks(spark, paths, zipped), read_steps(spark, paths, zipped),
-                         list(FORECAST_ELEMENTS), stations).drop("file")
+                         n_days: int = 3, stations=None, zipped: bool = False, batch_id: str | None = None,
+                         strict: bool = True) -> DataFrame:
+    """Forecast files to the table of the next days. A key is a station and a day.
+
+    Unless ``strict`` is off, a malformed placemark or a requested station without one fails the run.
+    """
+    places = read_placemarks(spark, paths, zipped)
+    if strict and stations is not None:
+        absent = [r[0] for r in missing_stations(places, stations).limit(20).collect()]
+        if absent:
+            raise ValueError(f"no forecast for stations: {', '.join(map(str, absent))}")
+    wide = forecast_wide(places, read_steps(spark, paths, zipped), list(FORECAST_ELEMENTS), stations, strict).drop("file")
     rows = slice_next_days(transform_forecast(wide), "forecast_time", as_of, n_days)
     return through_lake(rows, lake, "weather_forecast", table, state, "forecast_time", as_of, batch_id,
                         ["station", KEY])
@@ -103,7 +120,7 @@ def weather_forecast_job(spark: SparkSession, paths, lake: str, table: str, stat
 
 def generation_job(spark: SparkSession, raw: DataFrame, lake: str, table: str, state: str, as_of: datetime,
                    month: tuple[int, int] | None = None, headers: Sequence | None = None,
-                   batch_id: str = "run") -> DataFrame:
+                   batch_id: str | None = None) -> DataFrame:
     """Generation table to the table of the last five days."""
     rows = transform_generation(raw, headers)
     if month is not None:
@@ -113,7 +130,7 @@ def generation_job(spark: SparkSession, raw: DataFrame, lake: str, table: str, s
 
 
 def historical_weather_job(spark: SparkSession, recent: DataFrame | None, historical: DataFrame | None, parameter: str,
-                           lake: str, table: str, state: str, as_of: datetime, batch_id: str = "run") -> DataFrame:
+                           lake: str, table: str, state: str, as_of: datetime, batch_id: str | None = None) -> DataFrame:
     """Two station tables to the table of the same calendar day in five years."""
     feed = f"historical_weather/{weather_parameter(parameter)[0]}"
     rows = transform_climate(merge_climate(recent, historical), parameter)
@@ -121,18 +138,50 @@ def historical_weather_job(spark: SparkSession, recent: DataFrame | None, histor
                         as_of, batch_id, ["station", KEY])
 
 
+def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.StructType, values: Sequence[str], feed: str, lake: str,
+                     table: str, state: str, as_of: datetime, first: datetime, end: datetime, tz: str = BERLIN) -> DataFrame:
+    """Land the new messages, then pass on all hours that have closed since the run before; returns the objects that failed.
+
+    Rows of an open hour wait in the landing table. The first run begins at
+    ``first``, any other where the one before it ended, so no hour is left out,
+    the last of a day neither. Rows for hours already passed on are counted as
+    late. Messages that cannot be used are in ``state``/quarantine.
+    """
+    parts = ("day", "month", "year", "hour", "minute")
+    land_messages(spark, source, schema, values, parts, f"{state}/landed", f"{state}/quarantine", f"{state}/consume")
+    stamp = int(as_utc(as_of).timestamp())
+    marks = T.StructType([T.StructField("end", T.TimestampType())])
+    stored = read_marks(spark, f"{state}/closed", stamp, marks)
+    begun = None if stored is None else stored.first()
+    since = as_utc(first) if begun is None else begun["end"].astimezone(timezone.utc)
+    until = max(as_utc(end), since)
+    # Late rows are looked for one day back.
+    low = since if begun is None else since - timedelta(days=1)
+    typed = T.StructType([T.StructField("date", T.TimestampType()), *[T.StructField(v, T.FloatType()) for v in values],
+                          *[T.StructField(p, T.ShortType() if p == "year" else T.ByteType()) for p in parts], T.StructField("landed_day", T.DateType())])
+    rows = spark.createDataFrame([], typed)
+    if path_exists(spark, f"{state}/landed"):
+        rows = spark.read.schema(typed).parquet(f"{state}/landed").filter(F.col("landed_day").between(low.date(), until.date()))
+    closed = rows.filter(between(F.col("date"), low, until)).select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
+    failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True)
+    write_marks(spark.createDataFrame([(until,)], marks), f"{state}/closed", stamp)
+    return failed
+
+
 def load_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime) -> DataFrame:
-    """Load messages to the table, completed hours of the as-of day."""
-    hours = slice_closed_hours(stream_load(spark, source), "date", as_of)
-    stream_write_once(hours, lake, "electricity/load", f"{state}/consume")
-    return to_warehouse(hours, lake, "electricity/load", table, state, "date", as_of)
+    """Load messages to the table: completed hours, from the first run's day on."""
+    end = closed_hours_end(as_of)
+    return closed_hours_job(spark, source, LOAD_MESSAGE, ["load"], "electricity/load", lake, table, state, as_of,
+                            local_midnight(end.date(), BERLIN), end)
 
 
 def gas_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime) -> DataFrame:
-    """Gas messages to the table, completed trading hours."""
-    hours = slice_trading_hours(stream_gas(spark, source), "date", as_of)
-    stream_write_once(hours, lake, "others/gas", f"{state}/consume")
-    return to_warehouse(hours, lake, "others/gas", table, state, "date", as_of)
+    """Gas messages to the table: completed trading hours, from the first run's trading day on."""
+    first, end = trading_hours(as_of)
+    return closed_hours_job(spark, source, GAS_MESSAGE, ["open_price", "close_price"], "others/gas", lake, table, state, as_of, first, end)
+
+
+SENT = T.StructField("sent", T.LongType())
 
 
 def publish_incremental(df: DataFrame, target, state: str, run: int, order: Sequence[str], field: str,
@@ -141,17 +190,27 @@ def publish_incremental(df: DataFrame, target, state: str, run: int, order: Sequ
     """Send the rows ahead of the stored marks and store the new marks as version ``run``.
 
     Sending comes first: a run that fails in between sends again. A folder
-    target gets one subfolder per run, which a repeated run replaces.
+    target gets one subfolder per run, which a repeated run replaces. Record
+    numbers go on from run to run. A repeated run starts from the marks and
+    numbers it had; the versions of later runs stay as they are.
     """
+    spark = df.sparkSession
     chosen = df.filter(all_of(*predicates))
-    stored = read_marks(df.sparkSession, state, run, df.select(*[quoted(c) for c in [*by, field]]).schema)
+    kinds = df.select(*[quoted(c) for c in [*by, field]]).schema
+    stored = read_marks(spark, f"{state}/marks", run, kinds)
     before = marks if stored is None else stored
-    records = as_message(to_publish(chosen, order, field, fields, by, before))
+    counted = T.StructType([*[kinds[c] for c in by], SENT])
+    numbers = read_marks(spark, f"{state}/sent", run, counted)
+    records = checkpointed(to_publish(chosen, order, field, fields, by, before, numbers=numbers))
+    messages = as_message(records)
     if isinstance(target, str):
-        publish(records, f"{target.rstrip('/')}/run={run}", mode="overwrite")
+        publish(messages, f"{target.rstrip('/')}/run={run}", mode="overwrite")
     else:
-        publish(records, target)
-    write_marks(merged_marks(before, chosen, field, by), state, run)
+        publish(messages, target)
+    new = records.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("sent"))
+    every = new if numbers is None else numbers.unionByName(new)
+    write_marks(every.groupBy(*[quoted(c) for c in by]).agg(F.sum("sent").alias("sent")), f"{state}/sent", run)
+    write_marks(merged_marks(before, chosen, field, by), f"{state}/marks", run)
 
 
 def cleanup_job(ledger: DataFrame, as_of: datetime, days: int = 7, dry_run: bool = True, **options) -> DataFrame:
@@ -161,3 +220,8 @@ def cleanup_job(ledger: DataFrame, as_of: datetime, days: int = 7, dry_run: bool
 
 def cleanup(spark: SparkSession, ledger_path: str, as_of: datetime, days: int = 7, **options) -> DataFrame:
     return cleanup_job(read_ledger(spark, ledger_path), as_of, days, **options)
+
+
+def expire_table(spark: SparkSession, table: str, date_col: str, as_of: datetime, days: int) -> list[str]:
+    """Table expiry as a step of a load run: drops the day folders older than ``days``; rows without a day stay."""
+    return drop_expired_partitions(spark, table, date_col, as_of, days)

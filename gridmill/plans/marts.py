@@ -57,7 +57,10 @@ def mart_generation_mix(generation: DataFrame, columns: Sequence[str] | None = N
 
     ``calendar`` puts the same month and day of all years together.
     """
-    cols = [c for c in (columns or GENERATION_COLUMNS) if c in generation.columns]
+    cols = list(columns or GENERATION_COLUMNS)
+    absent = [c for c in cols if c not in generation.columns]
+    if absent:
+        raise ValueError(f"generation types are missing: {', '.join(absent)}; name the types there are in columns")
     local = to_local("date", tz) if tz != "UTC" else F.col("date")
     if calendar:
         stored = {"month", "day"} <= set(generation.columns)

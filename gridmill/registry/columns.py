@@ -84,10 +84,10 @@ def _(spark, sf):
     return C.rename(e, {"event_id": "id", "ts": "forecast_time", "value": "wind_speed"})
 
 
-@query("drop_parameter_columns", "climate_recent", sql="""
-SELECT event_id, stations_id, ts, tt_tu, src_rank FROM climate_recent""")
+@query("drop_parameter_columns", "climate_all", sql="""
+SELECT event_id, stations_id, ts, tt_tu, src_rank FROM climate_all""")
 def _(spark, sf):
-    return C.drop_for_parameter(feeds.climate_recent(spark, sf), "TU")
+    return C.drop_for_parameter(feeds.climate_all(spark, sf), "TU")
 
 
 @query("select_fields", "load_raw", sql="SELECT date, load FROM load_raw")
@@ -227,11 +227,11 @@ def _(spark, sf):
 # -- text --------------------------------------------------------------------------
 
 @query("series_title", sql="""
-SELECT p_partkey, array_to_string(list_transform(string_split(
-         array_to_string(list_transform(string_split(replace(lower(p_brand || '_run-of_' || p_type), '_', ' '), ' '),
-           lambda w: upper(w[1]) || w[2:]), ' '), '-'), lambda w: upper(w[1]) || w[2:]), '-') AS title FROM part""")
+SELECT p_partkey, array_to_string(list_transform(range(1, length(name) + 1), lambda i:
+         CASE WHEN i > 1 AND regexp_matches(name[i - 1 : i - 1], '[a-z]') THEN name[i : i] ELSE upper(name[i : i]) END), '') AS title
+FROM (SELECT p_partkey, replace(lower(p_brand || '_run-of_2b/' || p_partkey || 'x_' || p_type), '_', ' ') AS name FROM part)""")
 def _(spark, sf):
-    name = F.lower(F.concat("p_brand", F.lit("_run-of_"), "p_type"))
+    name = F.lower(F.concat("p_brand", F.lit("_run-of_2b/"), F.col("p_partkey").cast("string"), F.lit("x_"), "p_type"))
     return feeds.table(spark, sf, "part").select("p_partkey", C.series_title(name).alias("title"))
 
 

@@ -24,9 +24,9 @@ def step_time(step):
     return F.timestamp_add("HOUR", step * STEP_HOURS, start)
 
 
-def load_messages(spark: SparkSession, sf: str, folder: str, rows: DataFrame | None = None) -> None:
+def load_messages(spark: SparkSession, sf: str, folder: str, rows: DataFrame | None = None, mode: str = "append") -> None:
     records = (feeds.load_raw(spark, sf) if rows is None else rows).select(iso_text("date").alias("date"), "load", "key_id")
-    publish(records, folder)
+    publish(records, folder, mode)
 
 
 def gas_messages(spark: SparkSession, sf: str, folder: str) -> None:
@@ -36,8 +36,8 @@ def gas_messages(spark: SparkSession, sf: str, folder: str) -> None:
     publish(records, folder)
 
 
-def climate_text(rows: DataFrame, folder: str) -> None:
-    """Station tables as published: ``;``, latin-1, padded numbers."""
+def climate_text(rows: DataFrame, folder: str, swapped: bool = False) -> None:
+    """Station tables as published: ``;``, latin-1, padded numbers; ``swapped`` exchanges two columns."""
     table = rows.select(
         F.format_string("%11d", "stations_id").alias("STATIONS_ID"),
         F.date_format("ts", "yyyyMMddHH").alias("MESS_DATUM"),
@@ -45,12 +45,14 @@ def climate_text(rows: DataFrame, folder: str) -> None:
         F.concat(F.lit("  "), F.col("tt_tu").cast("string")).alias("TT_TU"),
         F.lit("   55.0").alias("RF_TU"),
         F.col("eor"))
+    if swapped:
+        table = table.select("STATIONS_ID", "MESS_DATUM", "TT_TU", "QN_9", "RF_TU", "eor")
     (table.write.option("sep", ";").option("encoding", "ISO-8859-1").option("header", "true")
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(folder))
 
 
-def forecast_files(long: DataFrame, folder: str) -> None:
-    """One KML file per 100 stations and issue. A series holds at most one issue."""
+def forecast_files(long: DataFrame, folder: str, whole: bool = False) -> None:
+    """One KML file per 100 stations and issue. A series holds at most one issue; ``whole`` fills it up to the file's last step."""
     placed = long.withColumns({
         "bucket": F.floor(F.substring("station", 2, 20).cast("long") / STATIONS_PER_FILE),
         "issue": F.floor(F.col("step") / ISSUE_STEPS),
@@ -58,9 +60,16 @@ def forecast_files(long: DataFrame, folder: str) -> None:
     word = F.coalesce(F.col("value").cast("string"), F.lit("-"))
     series = placed.groupBy("bucket", "issue", "station", "element").agg(
         F.array_sort(F.collect_list(F.struct("step", word.alias("word")))).alias("points"))
+    # An issue may start without every station, its times still start at its first step.
+    span = placed.groupBy("bucket", "issue").agg(F.max("step").alias("last"))
+    words = F.transform("points", lambda p: p["word"])
+    if whole:
+        series = series.join(span, ["bucket", "issue"])
+        missing = F.col("last") - F.col("issue") * ISSUE_STEPS + 1 - F.size("points")
+        words = F.concat(words, F.array_repeat(F.lit("-"), missing.cast("int")))
     forecast = F.concat(
         F.lit('<dwd:Forecast dwd:elementName="'), F.col("element"), F.lit('"><dwd:value>   '),
-        F.array_join(F.transform("points", lambda p: p["word"]), "   "), F.lit("</dwd:value></dwd:Forecast>"))
+        F.array_join(words, "   "), F.lit("</dwd:value></dwd:Forecast>"))
     number = F.substring("station", 2, 20)
     placemarks = (
         series.groupBy("bucket", "issue", "station")
@@ -71,8 +80,6 @@ def forecast_files(long: DataFrame, folder: str) -> None:
             F.lit("</kml:ExtendedData><kml:Point><kml:coordinates>"), number,
             F.lit(".5,48.25,100.0</kml:coordinates></kml:Point></kml:Placemark>")).alias("line"))
     )
-    # An issue may start without every station, its times still start at its first step.
-    span = placed.groupBy("bucket", "issue").agg(F.max("step").alias("last"))
     steps = F.transform(F.sequence(F.col("issue") * ISSUE_STEPS, F.col("last").cast("long")), lambda s: F.concat(
         F.lit("<dwd:TimeStep>"), F.date_format(step_time(s.cast("int")), "yyyy-MM-dd'T'HH:mm:ss'.000Z'"),
         F.lit("</dwd:TimeStep>")))

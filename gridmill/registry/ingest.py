@@ -58,6 +58,51 @@ def _(spark, sf):
     return read_loaded(spark, f"{work}/table")
 
 
+@query("load_failures", "load_raw", sql=table_sql())
+def _(spark, sf):
+    """A batch whose rows have no date is not recorded; written again in order, it is loaded by the next run, and only then."""
+    lake, work = scratch(spark, "failures-lake"), scratch(spark, "failures")
+    rows = lake_rows(spark, sf)
+    schema = rows.drop("period_key").schema
+    go = lambda: load_incremental(spark, lake, "electricity/load", schema, f"{work}/table", f"{work}/state", "date", AS_OF)
+    late = rows.filter("area = 'error'").withColumn("period_key", F.concat("period_key", F.lit("-late")))
+    write_once(rows.filter("area <> 'error'"), lake, "electricity/load", "a")
+    write_once(late.withColumn("date", F.lit(None).cast("timestamp")), lake, "electricity/load", "b")
+    go()
+    write_once(late, lake, "electricity/load", "b")
+    go()
+    return read_loaded(spark, f"{work}/table")
+
+
+@query("load_two_feeds", "load_raw", sql=table_sql())
+def _(spark, sf):
+    """Two feeds into one table, one of them with a batch written and loaded twice: every row once."""
+    lake, work = scratch(spark, "feeds-lake"), scratch(spark, "feeds")
+    rows = lake_rows(spark, sf)
+    schema = rows.drop("period_key").schema
+    for feed, part in (("electricity/load", "area <> 'error'"), ("electricity/other", "area = 'error'"), ("electricity/load", "area <> 'error'")):
+        write_once(rows.filter(part), lake, feed, "a")
+        load_incremental(spark, lake, feed, schema, f"{work}/table", f"{work}/{feed}", "date", AS_OF)
+    return read_loaded(spark, f"{work}/table")
+
+
+@query("publish_old_run", "publish_raw", sql="""
+, ahead AS (SELECT * FROM (SELECT *, max(date) OVER (PARTITION BY source_id ORDER BY seq
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM publish_raw) WHERE top IS NULL OR date > top)
+SELECT source_id, strftime(date, '%Y-%m-%d %H:%M:%S') || '+00:00' AS date, load,
+       'record_' || CAST(row_number() OVER (PARTITION BY source_id ORDER BY seq) - 1 AS VARCHAR) AS key_id FROM ahead""")
+def _(spark, sf):
+    """Twelve runs, then the second one again: the same messages, numbered as before."""
+    folder = scratch(spark, "publish-old-run")
+    rows = feeds.publish_raw(spark, sf)
+    half = rows.agg(F.expr("max(seq) div 2")).first()[0]
+    for run in [*range(12), 1]:
+        part = rows if run else rows.filter(F.col("seq") <= half)
+        publish_incremental(part, f"{folder}/sent", f"{folder}/state", run, ["seq"], "date", ["date", "load"], ["source_id"])
+    schema = "source_id BIGINT, date STRING, load DOUBLE, key_id STRING"
+    return spark.read.text(f"{folder}/sent").select(F.from_json("value", schema).alias("m")).select("m.*")
+
+
 @query("publish_incremental", "publish_raw", sql="""
 , ahead AS (SELECT * FROM (SELECT *, max(date) OVER (PARTITION BY source_id ORDER BY seq
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top

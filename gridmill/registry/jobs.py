@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from gridmill import feeds
 from gridmill.feeds import AS_OF, AS_OF_LEDGER, AS_OF_SATURDAY, GENERATION_GIVEN
 from gridmill.functions.columns import rename
+from gridmill.functions.timecols import instant
 from gridmill.operators.shape import series_to_wide
 from gridmill.plans import jobs as J, marts as M
 from gridmill.registry import feeds as files
@@ -47,7 +50,7 @@ WHERE CAST({_FT} AS DATE) BETWEEN DATE '2024-01-18' AND DATE '2024-01-20'
 GROUP BY t.station, t.forecast_time""")
 def _(spark, sf):
     work = scratch(spark, "job-forecast")
-    files.forecast_files(feeds.forecast_long(spark, sf), f"{work}/in")
+    files.forecast_files(feeds.forecast_long(spark, sf), f"{work}/in", whole=True)
     J.weather_forecast_job(spark, f"{work}/in", f"{work}/lake", f"{work}/table", f"{work}/state", AS_OF)
     return read_loaded(spark, f"{work}/table")
 
@@ -64,6 +67,18 @@ def _(spark, sf):
     return read_loaded(spark, f"{work}/table")
 
 
+@query("job_generation_days", "generation_raw", sql=f"""
+SELECT event_id, CAST(date AS DATE) AS date, {", ".join(GENERATION_GIVEN)}, {_PARTS_BIG} FROM generation_raw
+WHERE CAST({_B} AS DATE) BETWEEN DATE '2024-01-11' AND DATE '2024-01-16'""")
+def _(spark, sf):
+    """Two runs on following days, the second one repeated: the union of their slices, every row once."""
+    work = scratch(spark, "job-generation-days")
+    headers = ["event_id", ("Date", ""), *[(c.replace("_", " "), "") for c in GENERATION_GIVEN]]
+    for as_of in (AS_OF - timedelta(days=1), AS_OF, AS_OF):
+        J.generation_job(spark, feeds.generation_raw(spark, sf), f"{work}/lake", f"{work}/table", f"{work}/state", as_of, headers=headers)
+    return read_loaded(spark, f"{work}/table")
+
+
 _MT = berlin("hour_start")
 
 
@@ -97,6 +112,21 @@ def _(spark, sf):
     return read_loaded(spark, f"{work}/table")
 
 
+@query("job_load_deliveries", "load_raw", sql=f"""
+SELECT CAST(date AS DATE) AS date, CAST(CAST(load AS FLOAT) AS DOUBLE) AS load, {_PARTS_UTC} FROM load_raw
+WHERE {_B} >= TIMESTAMP '2024-01-17 00:00:00' AND {_B} < TIMESTAMP '2024-01-18 16:00:00'""")
+def _(spark, sf):
+    """Three deliveries and runs over midnight: every hour once, those that were open at a run included."""
+    work = scratch(spark, "job-load-deliveries")
+    rows = feeds.load_raw(spark, sf)
+    cuts = [AS_OF, AS_OF + timedelta(hours=8), AS_OF + timedelta(days=1)]
+    for last, as_of in zip([None, *cuts[:2]], cuts):
+        part = F.col("date") < instant(as_of) if last is None else (F.col("date") >= instant(last)) & (F.col("date") < instant(as_of))
+        files.load_messages(spark, sf, f"{work}/in", rows.filter(part), mode="append")
+        J.load_job(spark, f"{work}/in", f"{work}/lake", f"{work}/table", f"{work}/state", as_of)
+    return read_loaded(spark, f"{work}/table")
+
+
 @query("job_gas", "gas_raw", sql=f"""
 SELECT CAST(date AS DATE) AS date, CAST(CAST(open_price AS FLOAT) AS DOUBLE) AS open_price,
        CAST(CAST(close_price AS FLOAT) AS DOUBLE) AS close_price, {_PARTS_UTC} FROM gas_raw
@@ -177,12 +207,12 @@ def _mix_sql(day: str) -> str:
 
 @query("mart_generation_mix", "generation_raw", sql=_mix_sql("CAST(date AS DATE)"))
 def _(spark, sf):
-    return M.mart_generation_mix(feeds.generation_raw(spark, sf), scale=2)
+    return M.mart_generation_mix(feeds.generation_raw(spark, sf), GENERATION_GIVEN, scale=2)
 
 
 @query("mart_generation_calendar", "generation_raw", sql=_mix_sql(f"make_date(2024, month({_B}), day({_B}))"))
 def _(spark, sf):
-    return M.mart_generation_mix(feeds.generation_raw(spark, sf), calendar=True, scale=2, tz="Europe/Berlin")
+    return M.mart_generation_mix(feeds.generation_raw(spark, sf), GENERATION_GIVEN, calendar=True, scale=2, tz="Europe/Berlin")
 
 
 @query("mart_weather_days", "forecast_long", sql=f"""

@@ -13,7 +13,7 @@ from gridmill.operators.stations import attach_steps
 from gridmill.registry import feeds as files
 from gridmill.registry.base import berlin, query
 from gridmill.schemas import LOAD_MESSAGE
-from gridmill.session import scratch
+from gridmill.session import checkpointed, scratch
 from gridmill.sinks import lake as K
 from gridmill.sources import climate, forecast, lake as S
 
@@ -64,13 +64,16 @@ def _(spark, sf):
     return S.read_records_csv(spark, folder, LOAD_MESSAGE)
 
 
-@query("climate_text_scan", "climate_recent", sql="""
+@query("climate_text_scan", "climate_all", sql="""
 SELECT CAST(stations_id AS INTEGER) AS "STATIONS_ID", date_trunc('hour', ts) AS measurement_time, 3.0::DOUBLE AS "QN_9",
-       tt_tu AS "TT_TU", 55.0::DOUBLE AS "RF_TU", eor FROM climate_recent""")
+       tt_tu AS "TT_TU", 55.0::DOUBLE AS "RF_TU", eor FROM climate_all""")
 def _(spark, sf):
     folder = scratch(spark, "climate-text")
-    files.climate_text(feeds.climate_recent(spark, sf), folder)
-    return climate.read_climate_text(spark, folder).select(
+    # Two deliveries, the second with its columns in another order.
+    rows = feeds.climate_all(spark, sf)
+    files.climate_text(rows.filter("event_id % 2 = 0"), f"{folder}/a")
+    files.climate_text(rows.filter("event_id % 2 = 1"), f"{folder}/b", swapped=True)
+    return climate.read_climate_text(spark, [f"{folder}/a", f"{folder}/b"]).select(
         "STATIONS_ID", parse_hour_stamp("MESS_DATUM").alias("measurement_time"), "QN_9", "TT_TU", "RF_TU", "eor")
 
 
@@ -98,8 +101,8 @@ def _(spark, sf):
 SELECT station, element, step, value, {files.STEP_TIME_SQL} AS forecast_time FROM forecast_long""")
 def _(spark, sf):
     long = feeds.forecast_long(spark, sf)
-    last = long.agg(F.max("step").alias("last"))
-    steps = last.select(F.explode(F.sequence(F.lit(0), "last")).alias("step")) \
+    last = long.agg(F.max("step")).first()[0]
+    steps = spark.range(0, (last or 0) + 1).select(F.col("id").cast("int").alias("step")) \
         .withColumn("forecast_time", files.step_time(F.col("step")))
     return attach_steps(long, steps, ["step"]).select("station", "element", "step", "value", "forecast_time")
 
@@ -198,6 +201,14 @@ def _(spark, sf):
     return K.read_ledger(spark, path)
 
 
+@query("read_lake_days", "load_raw", sql="""
+SELECT event_id, load FROM load_raw WHERE date >= TIMESTAMP '2024-01-10 00:00:00' AND date < TIMESTAMP '2024-01-13 00:00:00'""")
+def _(spark, sf):
+    lake = scratch(spark, "lake-days")
+    K.write_once(_daily(feeds.load_raw(spark, sf).select("event_id", "date", "load")), lake, "electricity/load", "first")
+    return S.read_lake(spark, lake, "electricity/load", days=("2024-01-10", "2024-01-12")).select("event_id", "load")
+
+
 # -- retention ---------------------------------------------------------------------
 
 _EXPIRED = "SELECT DISTINCT s3_key FROM processed_files WHERE processed_at < TIMESTAMP '1998-01-01 00:00:00'"
@@ -214,6 +225,25 @@ def _(spark, sf):
     return R.delete_batches(R.expired_objects(feeds.processed_files(spark, sf), AS_OF_LEDGER, 7))
 
 
+@query("purge_lake", "load_raw", sql="""
+SELECT strftime(date, '%Y-%m-%d') AS period_key, date < TIMESTAMP '2024-01-10 00:00:00' AS deleted, count(*) AS rows
+FROM load_raw GROUP BY 1, 2""")
+def _(spark, sf):
+    """Objects of old days are deleted, the others stay."""
+    lake = scratch(spark, "purge-lake")
+    rows = _daily(feeds.load_raw(spark, sf).select("event_id", "date"))
+    K.write_once(rows, lake, "electricity/load", "first")
+    day = F.regexp_extract("path", "period=([^/]+)/", 1).alias("day")
+    old = S.list_objects(spark, lake, "electricity/load/").select(F.col("path").alias("s3_key"), day).filter("day < '2024-01-10'")
+    report = R.purge(old.select("s3_key"), dry_run=False)
+    gone = report.select(F.regexp_extract("s3_key", "period=([^/]+)/", 1).alias("period_key"), (F.col("status") == "deleted").alias("deleted")).distinct()
+    gone = checkpointed(gone)
+    left = S.read_lake(spark, lake, "electricity/load/").select("period_key").distinct()
+    counts = rows.groupBy("period_key").agg(F.count(F.lit(1)).alias("rows"))
+    there = gone.unionByName(left.withColumn("deleted", F.lit(False)))
+    return counts.join(there, "period_key").select("period_key", "deleted", "rows")
+
+
 @query("ttl_retained", "load_raw", sql=f"SELECT * FROM ({_TABLE_SQL}) WHERE date >= DATE '2024-01-10'")
 def _(spark, sf):
     path = scratch(spark, "ttl")

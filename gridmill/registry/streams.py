@@ -12,7 +12,7 @@ from gridmill.registry.ingest import lake_rows, table_sql
 from gridmill.registry.shape import ADVANCE_SQL
 from gridmill.schemas import LOAD_MESSAGE
 from gridmill.session import scratch
-from gridmill.sinks.lake import late_counts, write_once
+from gridmill.sinks.lake import late_counts, publish, write_once
 from gridmill.sources.lake import read_lake
 from gridmill.sources.messages import RAW, read_messages
 from gridmill.streaming import feeds as T, sinks as K
@@ -56,6 +56,23 @@ def _(spark, sf):
     return spark.read.parquet(f"{work}/out")
 
 
+@query("stream_quarantine", "load_raw", sql="""
+SELECT 'no such JSON object' AS problem, '{"date": "' || strftime(date, '%Y-%m-%d %H:%M:%S') AS message FROM load_raw WHERE area = 'error'
+UNION ALL SELECT 'no time in date', '{"date":"never","load":1.0,"key_id":"' || key_id || '"}' FROM load_raw WHERE area = 'click'""")
+def _(spark, sf):
+    """Cut off messages and messages without a time, among good ones."""
+    work = scratch(spark, "quarantine")
+    rows = feeds.load_raw(spark, sf)
+    files.load_messages(spark, sf, f"{work}/in", rows.filter("area = 'view'"))
+    cut = F.concat(F.lit('{"date": "'), F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    rows.filter("area = 'error'").select(cut.alias("value")).write.mode("append").text(f"{work}/in")
+    untimed = rows.filter("area = 'click'").select(F.lit("never").alias("date"), F.lit(1.0).cast("double").alias("load"), "key_id")
+    publish(untimed, f"{work}/in")
+    K.land_messages(spark, f"{work}/in", LOAD_MESSAGE, ["load"], ("day", "month", "year", "hour", "minute"), f"{work}/landed",
+                    f"{work}/quarantine", f"{work}/checkpoint")
+    return K.read_quarantine(spark, f"{work}/quarantine")
+
+
 @query("stream_closed_hours", "load_raw", sql="""
 SELECT date_trunc('hour', date) AS hour_start, count(*) AS rows,
        CAST(sum(CAST(load AS DECIMAL(18,2))) AS DOUBLE) AS load

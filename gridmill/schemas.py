@@ -51,20 +51,19 @@ FORECAST_ELEMENTS = {
 }
 KELVIN_COLUMNS = ["temperature_2m", "temperature_max", "temperature_min"]
 
-# Station weather parameters. name -> (category, description,
-# technical columns that are dropped, suffix of the published archive).
+# Station weather parameters. name -> (category, technical columns that are dropped).
 WEATHER_PARAMETERS = {
-    "TU": ("air_temperature", "Temperature in °C", ["QN_9", "eor", "RF_TU"], "_akt"),
-    "SD": ("sun", "Sunshine Duration", ["QN_7", "eor"], "_akt"),
-    "FF": ("wind", "Wind Speed in km/h", ["QN_3", "eor"], "_akt"),
-    "ST": ("solar", "Solar Radiation", ["QN_592", "eor", "MESS_DATUM_WOZ", "ATMO_LBERG"], "_row"),
-    "F": ("wind_synop", "Synoptic Wind Data", ["QN_8", "eor"], "_akt"),
-    "VN": ("total_cloud_cover", "Total Cloud Cover", ["QN_8", "V_N_I"], "_akt"),
-    "R1": ("precipitation", "Precipitation in mm", ["QN_8", "WRTR", "RS_IND"], "_akt"),
+    "TU": ("air_temperature", ["QN_9", "eor", "RF_TU"]),
+    "SD": ("sun", ["QN_7", "eor"]),
+    "FF": ("wind", ["QN_3", "eor"]),
+    "ST": ("solar", ["QN_592", "eor", "MESS_DATUM_WOZ", "ATMO_LBERG"]),
+    "F": ("wind_synop", ["QN_8", "eor"]),
+    "VN": ("total_cloud_cover", ["QN_8", "V_N_I"]),
+    "R1": ("precipitation", ["QN_8", "WRTR", "RS_IND"]),
 }
 
 
-def weather_parameter(name: str) -> tuple[str, str, list[str], str]:
+def weather_parameter(name: str) -> tuple[str, list[str]]:
     if name not in WEATHER_PARAMETERS:
         raise ValueError(f"unknown weather parameter {name!r}; known: {', '.join(WEATHER_PARAMETERS)}")
     return WEATHER_PARAMETERS[name]

@@ -12,7 +12,7 @@ from gridmill.functions.timecols import instant
 from gridmill.operators.skew import keyed_join
 from gridmill.schemas import LEDGER
 from gridmill.sources.lake import (
-    data_path, delete_folder, delete_matching, folders, make_folder, meta_path, path_exists,
+    data_path, delete_folder, delete_matching, escaped, folders, make_folder, meta_path, path_exists,
 )
 
 KEY = "period_key"
@@ -31,16 +31,29 @@ def balanced(df: DataFrame, *cols: str) -> DataFrame:
 
 
 # A lake feed is laid out as data/<feed>/period=<day>/batch_id=<batch>/*.parquet.
-# Which keys are taken is kept beside it, one small folder per batch, so that
-# keys may be finer than folders: many hours or stations share the files of a day.
-
-def read_claims(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,)) -> DataFrame:
-    """Keys written so far and the batch that wrote them."""
+# Which keys are taken is kept beside it as claims/period=<day>/batch_id=<batch>,
+# so that keys may be finer than folders: many hours or stations share the files
+# of a day. A batch reads the claims of its own days only. done/<batch> says that
+# a batch is whole; what has no such mark is no part of the lake.
+
+def read_claims(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,),
+                days: Sequence[str] | None = None) -> DataFrame:
+    """Keys written so far and the batch that wrote them; ``days`` limits it to keys of these days."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*key, BATCH]])
     path = meta_path(lake, feed, "claims")
-    if not folders(spark, path):
+    paths = _claimed(spark, lake, feed, days)
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    stored = T.StructType([*schema.fields, T.StructField("period", T.StringType())])
+    return spark.read.schema(stored).option("basePath", path).parquet(*paths).select(*key, BATCH)
+
+
+def _claimed(spark: SparkSession, lake: str, feed: str, days: Sequence[str] | None) -> list[str]:
+    """Folders with claims, of all days or of the given ones."""
+    path = meta_path(lake, feed, "claims")
+    if days is None:
+        return [path] if folders(spark, path) else []
+    return [p for p in (f"{path}/period={escaped(d)}" for d in days) if path_exists(spark, p)]
 
 
 def existing_keys(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,)) -> DataFrame:
@@ -48,13 +61,19 @@ def existing_keys(spark: SparkSession, lake: str, feed: str, key: Sequence[str]
     return read_claims(spark, lake, feed, key).select(*key).distinct()
 
 
+def is_done(spark: SparkSession, lake: str, feed: str, batch_id: str) -> bool:
+    return path_exists(spark, f"{meta_path(lake, feed, 'done')}/{BATCH}={escaped(batch_id)}")
+
+
 def _remove_unfinished(spark: SparkSession, lake: str, feed: str, batch_id: str) -> None:
-    """Delete what batches that died before their claim have left in the lake."""
-    done = set(folders(spark, meta_path(lake, feed, "claims")))
+    """Delete what batches that died before their end have left in the lake. Only batches under way are listed."""
     for name in folders(spark, meta_path(lake, feed, "started")):
-        if name != f"{BATCH}={batch_id}" and name not in done:
+        if name == f"{BATCH}={escaped(batch_id)}":
+            continue
+        if not path_exists(spark, f"{meta_path(lake, feed, 'done')}/{name}"):
             delete_matching(spark, f"{data_path(lake, feed)}/period=*/{name}")
-            delete_folder(spark, f"{meta_path(lake, feed, 'started')}/{name}")
+            delete_matching(spark, f"{meta_path(lake, feed, 'claims')}/period=*/{name}")
+        delete_folder(spark, f"{meta_path(lake, feed, 'started')}/{name}")
 
 
 def write_once(df: DataFrame, lake: str, feed: str, batch_id: str, key: Sequence[str] = (KEY,),
@@ -63,29 +82,48 @@ def write_once(df: DataFrame, lake: str, feed: str, batch_id: str, key: Sequence
 
     ``period_key`` starts with its day, which names the folder; ``key`` lists
     the (text) columns that make a key. Rows for keys of earlier batches are
-    dropped; ``keep_late`` counts them per key. Data goes first, the claim
-    last: a batch that is repeated replaces its own files only, and what a
-    dead batch left behind is removed by the next one. One writer per feed.
-    Returns the keys of this batch.
+    dropped; ``keep_late`` counts them per key. Data goes first, then the claims
+    taken from the files written, then the mark that the batch is done: a batch
+    that is repeated replaces its own files only, and what a dead batch left
+    behind is removed by the next one. One writer per feed. Returns the keys of
+    this batch.
     """
     spark = df.sparkSession
     _remove_unfinished(spark, lake, feed, batch_id)
-    started = f"{meta_path(lake, feed, 'started')}/{BATCH}={batch_id}"
+    started = f"{meta_path(lake, feed, 'started')}/{BATCH}={escaped(batch_id)}"
     make_folder(spark, started)
 
-    mine = F.col(BATCH) == batch_id
-    earlier = read_claims(spark, lake, feed, key).filter(~mine).select(*key).distinct()
-    fresh = keyed_join(df, earlier, key, "left_anti")
-    placed = fresh.withColumns({"period": F.substring(KEY, 1, 10), BATCH: F.lit(batch_id)})
-    overwrite_partitions(balanced(placed, "period"), data_path(lake, feed), "period", BATCH)
+    placed = df.withColumn("period", F.substring(KEY, 1, 10))
+    # The days of a batch: its slice, not its rows.
+    days = [r[0] for r in placed.select("period").distinct().collect() if r[0] is not None]
+    earlier = read_claims(spark, lake, feed, key, days).filter(F.col(BATCH) != batch_id).select(*key).distinct()
+    # Days without any claim need no join, and so no shuffle by key.
+    known = bool(_claimed(spark, lake, feed, days))
+    fresh = (keyed_join(placed, earlier, key, "left_anti") if known else placed).withColumn(BATCH, F.lit(batch_id))
+    overwrite_partitions(balanced(fresh, "period"), data_path(lake, feed), "period", BATCH)
     if keep_late:
         late = keyed_join(df, earlier, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("late_rows"))
         late.write.mode("overwrite").parquet(f"{meta_path(lake, feed, 'late')}/{BATCH}={batch_id}")
-    claims = fresh.select(*key).distinct()
-    claims.write.mode("overwrite").parquet(f"{meta_path(lake, feed, 'claims')}/{BATCH}={batch_id}")
+    claims = _written(spark, lake, feed, batch_id, days, df.schema).select(*key, "period").distinct()
+    overwrite_partitions(claims.withColumn(BATCH, F.lit(batch_id)), meta_path(lake, feed, "claims"), "period", BATCH)
 
+    make_folder(spark, f"{meta_path(lake, feed, 'done')}/{BATCH}={escaped(batch_id)}")
     delete_folder(spark, started)
-    return read_claims(spark, lake, feed, key).filter(mine).select(*key)
+    return read_claims(spark, lake, feed, key, days).filter(F.col(BATCH) == batch_id).select(*key)
+
+
+def batch_objects(spark: SparkSession, lake: str, feed: str, batch_id: str) -> DataFrame:
+    """The objects of a batch: path, size, time."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .load(f"{data_path(lake, feed)}/period=*/{BATCH}={escaped(batch_id)}/").select("path", "length", "modificationTime"))
+
+
+def _written(spark: SparkSession, lake: str, feed: str, batch_id: str, days: Sequence[str], schema: T.StructType) -> DataFrame:
+    """What a batch has in the lake."""
+    base = data_path(lake, feed)
+    paths = [p for p in (f"{base}/period={escaped(d)}/{BATCH}={escaped(batch_id)}" for d in days) if path_exists(spark, p)]
+    stored = T.StructType([*schema.fields, T.StructField("period", T.StringType()), T.StructField(BATCH, T.StringType())])
+    return spark.read.schema(stored).option("basePath", base).parquet(*paths) if paths else spark.createDataFrame([], stored)
 
 
 def late_counts(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,)) -> DataFrame:

@@ -62,7 +62,7 @@ def xml_fragments(files: DataFrame, tags: list[str]) -> DataFrame:
     def read(batches):
         for path, archive in _members(batches):
             if len(archive.namelist()) != 1:
-                raise OSError(f"unexpected archive contents in {path}: {' '.join(archive.namelist())}")
+                raise OSError(f"{path} must hold one file, it holds {len(archive.namelist())}")
             with io.TextIOWrapper(archive.open(archive.namelist()[0]), encoding="utf-8") as f:
                 rest, found = "", []
                 while piece := f.read(PIECE):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridmill.functions.columns import parse_coordinates, split_series
 from gridmill.functions.timecols import parse_step
+from gridmill.operators.quality import forecast_problem
 from gridmill.operators.skew import keyed_join
 from gridmill.operators.stations import attach_steps, for_stations
 from gridmill.sources import archives
@@ -74,11 +75,12 @@ def step_table(steps: DataFrame) -> DataFrame:
 
 
 def forecast_wide(placemarks: DataFrame, steps: DataFrame, elements: Sequence[str],
-                  stations=None) -> DataFrame:
+                  stations=None, strict: bool = False) -> DataFrame:
     """One row per station and forecast time, one column per element.
 
     A placemark already holds all series of its station, so they are zipped
-    inside the row and nothing is grouped.
+    inside the row and nothing is grouped. Values beyond the forecast times
+    have no time. ``strict`` fails on the first malformed placemark instead.
     """
     def series(element: str):
         # A repeated element counts with its last series.
@@ -87,9 +89,13 @@ def forecast_wide(placemarks: DataFrame, steps: DataFrame, elements: Sequence[st
         return F.coalesce(values, F.array().cast("array<double>")).alias(element)
 
     chosen = for_stations(placemarks, stations)
-    # A row of steps holds a whole time axis, so far fewer of them are broadcast.
-    rows = keyed_join(chosen, steps, ["file"], "inner", max_rows=10_000)
-    zipped = rows.select("file", "station", F.col("steps").alias("forecast_time"), *[series(e) for e in elements])
+    rows = keyed_join(chosen, steps, ["file"], "left")
+    times = F.col("steps")
+    if strict:
+        problem = forecast_problem("steps")
+        message = F.concat(F.lit("malformed forecast ("), problem, F.lit(") of station "), F.coalesce("station", F.lit("?")), F.lit(" in "), F.col("file"))
+        times = F.when(problem.isNotNull(), F.raise_error(message).cast("array<timestamp>")).otherwise(times)
+    zipped = rows.select("file", "station", F.coalesce(times, F.array().cast("array<timestamp>")).alias("forecast_time"), *[series(e) for e in elements])
     return (zipped.select("file", "station", F.explode(F.arrays_zip("forecast_time", *elements)).alias("r"))
             .select("file", "station", "r.forecast_time", *[f"r.{e}" for e in elements]))
 

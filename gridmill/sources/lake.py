@@ -22,6 +22,11 @@ def _filesystem(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def escaped(value: str) -> str:
+    """A partition value as Spark writes it into a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^' or ord(c) < 32 or ord(c) == 127 else c for c in value)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     filesystem, jpath = _filesystem(spark, path)
     return bool(filesystem.exists(jpath))
@@ -55,8 +60,20 @@ def _under(lake: str, prefix: str) -> str:
     return f"{data_path(lake)}/{prefix.lstrip('/')}*"
 
 
-def read_lake(spark: SparkSession, lake: str, prefix: str = "", schema: T.StructType | None = None) -> DataFrame:
-    """All Parquet objects whose key starts with ``prefix``, with their file path."""
+def read_lake(spark: SparkSession, lake: str, prefix: str = "", schema: T.StructType | None = None,
+              days: tuple[str, str] | None = None) -> DataFrame:
+    """All Parquet objects whose key starts with ``prefix``, with their file path.
+
+    ``days`` (first and last, as yyyy-MM-dd) reads a feed's folders of these days only.
+    """
+    if days is not None:
+        # The feed's folder is the base, so its periods are partitions and the scan prunes them.
+        reader = spark.read.option("basePath", data_path(lake, prefix))
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, T.StructField("period", T.StringType()), T.StructField("batch_id", T.StringType())]))
+        df = reader.parquet(data_path(lake, prefix))
+        chosen = df.filter(F.col("period").cast("string").between(*days))
+        return chosen.drop(PANDAS_INDEX).select("*", F.col("_metadata.file_path").alias("file_path")).drop("period", "batch_id")
     reader = spark.read.option("recursiveFileLookup", "true")
     if schema is not None:
         reader = reader.schema(schema)

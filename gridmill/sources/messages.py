@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from gridmill.functions.timecols import parse_iso
+
 RAW = "_raw"
 
 
@@ -27,17 +29,18 @@ def message_stream(spark: SparkSession, source: str | Mapping, max_per_trigger:
     return reader.options(**source).load().select(F.col("value").cast("string").alias("value"))
 
 
-def parse_messages(raw: DataFrame, schema: T.StructType, fail_fast: bool = False) -> DataFrame:
+def parse_messages(raw: DataFrame, schema: T.StructType, fail_fast: bool = False, keep: str | None = None) -> DataFrame:
     """Message columns; text that is no such JSON object is kept in ``_raw``.
 
-    With ``fail_fast`` one bad message fails the run instead.
+    With ``fail_fast`` one bad message fails the run instead; ``keep`` names a column that stays beside the parsed ones.
     """
+    kept = [keep] if keep else []
     if fail_fast:
         parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
-        return raw.select(parsed.alias("m")).select("m.*")
+        return raw.select(*kept, parsed.alias("m")).select(*kept, "m.*")
     with_raw = T.StructType([*schema.fields, T.StructField(RAW, T.StringType())])
     parsed = F.from_json("value", with_raw, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW})
-    return raw.select(parsed.alias("m")).select("m.*")
+    return raw.select(*kept, parsed.alias("m")).select(*kept, "m.*")
 
 
 def read_messages(spark: SparkSession, source: str | Mapping, schema: T.StructType,
@@ -49,5 +52,13 @@ def good(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col(RAW).isNull()).drop(RAW) if RAW in messages.columns else messages
 
 
+def checked(messages: DataFrame, time_col: str, values: Sequence[str]) -> DataFrame:
+    """Messages with ``problem``: what is wrong with them, or null."""
+    problem = F.when(F.col(RAW).isNotNull(), "no such JSON object").when(parse_iso(time_col).isNull(), f"no time in {time_col}")
+    for c in values:
+        problem = problem.when(F.col(c).isNull(), f"no value in {c}")
+    return messages.withColumn("problem", problem)
+
+
 def quarantined(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col(RAW).isNotNull()).select(RAW)

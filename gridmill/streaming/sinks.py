@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmill.functions.columns import quoted, warehouse_cast
-from gridmill.operators.ingest import merged_marks
+from gridmill.operators.ingest import merged_marks, unprocessed
 from gridmill.operators.ordered import advance_only
-from gridmill.operators.quality import check_partition_column, partition_audit
+from gridmill.operators.quality import check_partition_column
 from gridmill.operators.skew import keyed_join
-from gridmill.sinks.lake import KEY, load_partitioned, overwrite_partitions, record_processed, write_once
-from gridmill.sources.lake import PANDAS_INDEX, data_path, delete_folder, folders, path_exists
-from gridmill.streaming.feeds import start
+from gridmill.session import checkpointed
+from gridmill.sinks.lake import (
+    BATCH, KEY, balanced, batch_objects, is_done, load_partitioned, overwrite_partitions, read_ledger, record_processed, write_once,
+)
+from gridmill.sources.lake import PANDAS_INDEX, data_path, delete_folder, escaped, folders, list_objects, path_exists
+from gridmill.sources.messages import checked, message_stream, parse_messages
+from gridmill.streaming.feeds import start, typed_messages
 
 
 def for_each_batch(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
@@ -46,29 +50,33 @@ def stream_write_once(stream: DataFrame, lake: str, feed: str, checkpoint: str,
 
 # -- high-water mark ---------------------------------------------------------------
 
-KEPT_VERSIONS = 10
-
-
 def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix("version=")) for n in folders(spark, path) if n.startswith("version="))
 
 
 def read_marks(spark: SparkSession, path: str, version: int, schema: T.StructType) -> DataFrame | None:
-    """The marks stored before ``version``."""
-    earlier = [v for v in _versions(spark, path) if v < version]
-    return spark.read.schema(schema).parquet(f"{path}/version={earlier[-1]}") if earlier else None
+    """The marks stored before ``version``.
+
+    They are those of the version before as a rule, so nothing is listed then.
+    All versions are kept: whoever asks for a version after others were stored
+    gets the marks it had at first.
+    """
+    before = version - 1
+    if not path_exists(spark, f"{path}/version={before}"):
+        earlier = [v for v in _versions(spark, path) if v < version]
+        if not earlier:
+            return None
+        before = earlier[-1]
+    return spark.read.schema(schema).parquet(f"{path}/version={before}")
 
 
 def write_marks(marks: DataFrame, path: str, version: int) -> None:
-    """Store the marks as a version and drop those no repeated batch can need."""
+    """Store the marks as a version."""
     marks.write.mode("overwrite").parquet(f"{path}/version={version}")
-    for old in _versions(marks.sparkSession, path):
-        if old <= version - KEPT_VERSIONS:
-            delete_folder(marks.sparkSession, f"{path}/version={old}")
 
 
 def stream_advance_only(stream: DataFrame, out: str, state: str, checkpoint: str, order: Sequence[str], field: str,
-                        by: Sequence[str], marks: DataFrame | None = None, hot_rows: int | None = None,
+                        by: Sequence[str], marks: DataFrame | None = None, splits: int | None = None,
                         every: str | None = None) -> StreamingQuery:
     """Rows ahead of their source's mark, across batches and restarts.
 
@@ -81,13 +89,43 @@ def stream_advance_only(stream: DataFrame, out: str, state: str, checkpoint: str
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = read_marks(batch.sparkSession, state, batch_id, mark_schema)
         before = marks if stored is None else stored
-        ahead = advance_only(batch, order, field, by, before, hot_rows=hot_rows, sized_by=batch)
+        ahead = advance_only(batch, order, field, by, before, splits=splits)
         overwrite_partitions(ahead.withColumn("batch_id", F.lit(batch_id)), out, "batch_id")
         write_marks(merged_marks(before, batch, field, by), state, batch_id)
 
     return for_each_batch(stream, checkpoint, handle, every)
 
 
+# -- messages to a landing table and a quarantine -----------------------------------------
+
+QUARANTINE = T.StructType([T.StructField("problem", T.StringType()), T.StructField("message", T.StringType())])
+
+
+def land_messages(spark: SparkSession, source: str | Mapping, schema: T.StructType, values: Sequence[str], parts: Sequence[str],
+                  landed: str, quarantine: str, checkpoint: str, every: str | None = None, **options) -> StreamingQuery:
+    """Good messages, typed, to a table of days; bad ones, as they came, to a quarantine with the reason.
+
+    Both are written per micro-batch, so a repeated one replaces its own files. Days are UTC dates of the messages.
+    """
+    raw = message_stream(spark, source, **options)
+    both = parse_messages(raw, schema, keep="value")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        judged = checked(batch, "date", values)
+        bad = judged.filter(F.col("problem").isNotNull())
+        overwrite_partitions(bad.select("problem", F.col("value").alias("message"), F.lit(batch_id).alias("batch_id")), quarantine, "batch_id")
+        good_rows = typed_messages(judged.filter(F.col("problem").isNull()), list(values), tuple(parts))
+        overwrite_partitions(balanced(good_rows.withColumns({"landed_day": F.to_date("date"), "batch_id": F.lit(batch_id)}), "landed_day"),
+                             landed, "landed_day", "batch_id")
+
+    return for_each_batch(both, checkpoint, handle, every)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that could not be used, and why."""
+    return spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE.names) if path_exists(spark, path) else spark.createDataFrame([], QUARANTINE)
+
+
 # -- lake to warehouse ---------------------------------------------------------------
 
 FAILURES = T.StructType([T.StructField("s3_key", T.StringType()), T.StructField("reason", T.StringType())])
@@ -97,46 +135,80 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FAILURES).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], FAILURES)
 
 
+def open_batches(spark: SparkSession, lake: str, prefix: str, ledger: str) -> list[str]:
+    """Finished lake batches with objects that the ledger does not hold, oldest object first."""
+    objects = list_objects(spark, lake, prefix.rstrip("/") + "/").select(F.col("path").alias("s3_key"), "modificationTime")
+    left = unprocessed(objects, read_ledger(spark, ledger)).withColumn(BATCH, F.url_decode(F.regexp_extract("s3_key", f"/{BATCH}=([^/]+)/", 1)))
+    # One row per batch under way, not per object.
+    rows = left.filter(F.col(BATCH) != "").groupBy(BATCH).agg(F.min("modificationTime").alias("first")).orderBy("first", BATCH).collect()
+    return [r[BATCH] for r in rows if is_done(spark, lake, prefix, r[BATCH])]
+
+
+def load_batch(spark: SparkSession, lake: str, prefix: str, batch_id: str, schema: T.StructType, table: str, ledger: str,
+               partition_col: str, at: datetime, failures: str | None = None) -> None:
+    """Load one lake batch as one load, whose id is that of the feed and the batch.
+
+    A batch that is loaded again, because it was written again or an object was
+    repaired, replaces its own rows. Objects that cannot be read, or hold no
+    usable date, year or month, are left out, not recorded, and listed in
+    ``failures``; so the next run tries them again.
+    """
+    load_id = f"{prefix.strip('/').replace('/', '.')}-{batch_id}"
+    objects = [r["path"] for r in batch_objects(spark, lake, prefix, batch_id).select("path").collect()]
+    # Damaged files give no rows here; they show as objects without any row.
+    rows = (spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*objects)
+            .drop(PANDAS_INDEX).select("*", F.col("_metadata.file_path").alias("s3_key")))
+    listed = spark.createDataFrame([(o,) for o in objects], "s3_key string")
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")  # noqa: E731  file:/x and file:///x are one name
+    audit = rows.groupBy(plain("s3_key").alias("name")).agg(
+        F.count(quoted(partition_col)).alias("dates"), F.count("year").alias("years"), F.count("month").alias("months"))
+    reason = (F.when(F.col("dates").isNull(), "no rows: damaged or empty").when(F.col("dates") == 0, f"no value in {partition_col}")
+              .when((F.col("years") == 0) | (F.col("months") == 0), "no year or month"))
+    audited = checkpointed(listed.withColumn("name", plain("s3_key")).join(audit, "name", "left").select("s3_key", "name", reason.alias("reason")))
+    bad = audited.filter(F.col("reason").isNotNull())
+    good = keyed_join(rows.withColumn("name", plain("s3_key")), bad.select("name"), ["name"], "left_anti").drop("s3_key", "name")
+    load_partitioned(warehouse_cast(good, partition_col), table, partition_col, load_id)
+    if failures:
+        delete_folder(spark, f"{failures}/load_id={escaped(load_id)}")
+        overwrite_partitions(bad.select("s3_key", "reason").withColumn("load_id", F.lit(load_id)), failures, "load_id")
+    record_processed(ledger, audited.filter(F.col("reason").isNull()), at, load_id)
+
+
+def load_open(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, ledger: str, partition_col: str,
+              at: datetime, failures: str | None = None, max_batches: int | None = None) -> list[str]:
+    """Load the open batches one after the other; ``max_batches`` leaves the rest to the next run. Returns their names."""
+    check_partition_column(schema, partition_col)
+    chosen = open_batches(spark, lake, prefix, ledger)[:max_batches]
+    for batch_id in chosen:
+        load_batch(spark, lake, prefix, batch_id, schema, table, ledger, partition_col, at, failures)
+    return chosen
+
+
 def stream_load_files(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, ledger: str,
                       checkpoint: str, partition_col: str, at: datetime, failures: str | None = None,
                       max_files: int | None = None, every: str | None = None) -> StreamingQuery:
-    """Load every new lake object into the table once.
+    """Load lake batches as their objects appear.
 
-    The checkpoint knows which objects were read; the ledger records them for
-    retention. Objects without any usable date, year or month are left out,
-    not recorded, and listed in ``failures``.
+    The stream sees names only; the ledger and the marks of finished batches
+    decide what is loaded. So a damaged object stops nothing, and a new
+    checkpoint loads nothing twice.
     """
     check_partition_column(schema, partition_col)
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.parquet(f"{data_path(lake, prefix)}").drop(PANDAS_INDEX) \
-        .select("*", F.col("_metadata.file_path").alias("s3_key"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"load-{batch_id}"
-        audit = batch.groupBy("s3_key").agg(
-            F.count(quoted(partition_col)).alias("dates"), F.count("year").alias("years"), F.count("month").alias("months"))
-        reason = (F.when(F.col("dates") == 0, f"no value in {partition_col}")
-                  .when((F.col("years") == 0) | (F.col("months") == 0), "no year or month"))
-        audited = audit.select("s3_key", reason.alias("reason"))
-        bad = audited.filter(F.col("reason").isNotNull())
-        good = batch
-        if not bad.isEmpty():
-            good = keyed_join(batch, bad.select("s3_key"), ["s3_key"], "left_anti")
-            if failures:
-                overwrite_partitions(bad.withColumn("load_id", F.lit(load_id)), failures, "load_id")
-        load_partitioned(warehouse_cast(good.drop("s3_key"), partition_col), table, partition_col, load_id)
-        record_processed(ledger, audited.filter(F.col("reason").isNull()), at, load_id)
-
-    return for_each_batch(files, checkpoint, handle, every)
+        load_open(batch.sparkSession, lake, prefix, schema, table, ledger, partition_col, at, failures)
+
+    names = reader.schema("path string, modificationTime timestamp, length long, content binary").load(data_path(lake, prefix)).select("path")
+    return for_each_batch(names, checkpoint, handle, every)
 
 
 def load_incremental(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, state: str,
-                     partition_col: str, at: datetime) -> DataFrame:
+                     partition_col: str, at: datetime, max_batches: int | None = None) -> DataFrame:
     """One run of the warehouse load; returns the objects that could not be loaded."""
-    stream_load_files(spark, lake, prefix, schema, table, f"{state}/ledger", f"{state}/checkpoint", partition_col, at,
-                      failures=f"{state}/failures")
+    load_open(spark, lake, prefix, schema, table, f"{state}/ledger", partition_col, at, f"{state}/failures", max_batches)
     return read_failures(spark, f"{state}/failures")
 
 

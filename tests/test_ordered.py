@@ -21,7 +21,7 @@ def sample(n=600, seed=7):
 
 
 SCHEMA = "by string, seq long, tie int, value double"
-HOT = [None, 40]
+HOT = [None, 7]
 
 
 def groups(data):
@@ -31,29 +31,29 @@ def groups(data):
     return found
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_row_index(spark, hot_rows):
+@pytest.mark.parametrize("splits", HOT)
+def test_row_index(spark, splits):
     data = sample()
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    got = {(r["by"], r["seq"]): r["i"] for r in row_index(df, ["seq"], ["by"], "i", hot_rows=hot_rows).collect()}
+    got = {(r["by"], r["seq"]): r["i"] for r in row_index(df, ["seq"], ["by"], "i", splits=splits).collect()}
     want = {(by, r[1]): i for by, rs in groups(data).items() for i, r in enumerate(rs)}
     assert got == want
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_number_records_without_group(spark, hot_rows):
+@pytest.mark.parametrize("splits", HOT)
+def test_number_records_without_group(spark, splits):
     data = sample()
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    got = {r["seq"]: r["key_id"] for r in number_records(df, ["seq"], hot_rows=hot_rows).collect()}
+    got = {r["seq"]: r["key_id"] for r in number_records(df, ["seq"], splits=splits).collect()}
     assert got == {i: f"record_{i}" for i in range(len(data))}
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
+@pytest.mark.parametrize("splits", HOT)
 @pytest.mark.parametrize("by", [["by"], []])
-def test_pct_change(spark, hot_rows, by):
+def test_pct_change(spark, splits, by):
     data = sample()
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    got = {r["seq"]: r["c"] for r in pct_change(df, ["seq"], "value", by, "c", hot_rows=hot_rows).collect()}
+    got = {r["seq"]: r["c"] for r in pct_change(df, ["seq"], "value", by, "c", splits=splits).collect()}
     for rs in (groups(data) if by else {None: sorted(data, key=lambda r: r[1])}).values():
         last = None
         for r in rs:
@@ -63,14 +63,14 @@ def test_pct_change(spark, hot_rows, by):
             last = now
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
+@pytest.mark.parametrize("splits", HOT)
 @pytest.mark.parametrize("with_marks", [False, True])
-def test_advance_only(spark, hot_rows, with_marks):
+def test_advance_only(spark, splits, with_marks):
     data = [r for r in sample() if r[3] is not None]
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
     start = {"hot": 12.0, "g1": 39.0, "absent": 5.0} if with_marks else {}
     marks = spark.createDataFrame(list(start.items()), "by string, value double") if with_marks else None
-    got = rows(advance_only(df, ["seq"], "value", ["by"], marks, hot_rows=hot_rows), "seq", "by", "value")
+    got = rows(advance_only(df, ["seq"], "value", ["by"], marks, splits=splits), "seq", "by", "value")
     want = []
     for by, rs in groups(data).items():
         top = start.get(by)
@@ -81,18 +81,18 @@ def test_advance_only(spark, hot_rows, with_marks):
     assert [(s, v) for s, _, v in got] == [(s, v) for s, _, v in sorted(want, key=lambda w: w[0])]
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_copies_of_one_time_are_split(spark, hot_rows):
+@pytest.mark.parametrize("splits", HOT)
+def test_copies_of_one_time_are_split(spark, splits):
     """All rows share one time; the second order column makes it unique."""
     df = spark.range(500).selectExpr("'s' AS by", "7 AS t", "id AS seq").repartition(4)
-    got = row_index(df, ["t", "seq"], ["by"], "i", hot_rows=hot_rows).where("i <> seq").count()
+    got = row_index(df, ["t", "seq"], ["by"], "i", splits=splits).where("i <> seq").count()
     assert got == 0
 
 
-def test_sized_by_and_bound(spark):
+def test_splits_and_bound(spark):
     df = spark.range(100).selectExpr("id % 3 AS by", "id AS seq")
     want = rows(row_index(df, ["seq"], ["by"], "i"))
-    assert rows(row_index(df, ["seq"], ["by"], "i", sized_by=df, hot_rows=10)) == want
+    assert rows(row_index(df, ["seq"], ["by"], "i", splits=5)) == want
     assert rows(row_index(df, ["seq"], ["by"], "i", group_bound=34)) == want
 
 
@@ -101,6 +101,6 @@ def test_hot_splits_do_not_meet_in_one_task(spark):
     from pyspark.sql import functions as F
 
     df = spark.range(2000).selectExpr("'hot' AS by", "id AS seq").repartition(4)
-    out = row_index(df, ["seq"], ["by"], "i", hot_rows=100)
+    out = row_index(df, ["seq"], ["by"], "i", splits=20)
     per_task = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert per_task < 2000

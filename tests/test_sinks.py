@@ -155,7 +155,7 @@ def test_purge_reports_failures_and_batch_size(spark):
 
 def test_delete_batches_over_hot_bound(spark):
     keys = spark.range(500).selectExpr("format_string('k%05d', id) AS s3_key").repartition(4)
-    got = rows(retention.delete_batches(keys, 30, hot_rows=60))
+    got = rows(retention.delete_batches(keys, 30, splits=6))
     assert got == [(f"k{i:05d}", i // 30) for i in range(500)]
 
 
@@ -219,7 +219,7 @@ def test_marks_survive_a_repeated_batch(spark, work):
     df = lambda *r: spark.createDataFrame(list(r), schema)
     go = lambda checkpoint: sinks.stream_advance_only(
         spark.readStream.schema(schema).parquet(f"{work}/in"), f"{work}/out", f"{work}/m", f"{work}/{checkpoint}",
-        ["seq"], "value", ["by"], marks=spark.createDataFrame([("y", 4)], "by string, value long"), hot_rows=2)
+        ["seq"], "value", ["by"], marks=spark.createDataFrame([("y", 4)], "by string, value long"), splits=3)
     df(("x", 1, 5), ("x", 2, 3), ("x", 3, 6), ("y", 1, 4), ("y", 2, 5)).coalesce(1).write.parquet(f"{work}/in")
     go("c")
     df(("x", 4, 6), ("x", 5, 8), ("z", 1, 1)).coalesce(1).write.mode("append").parquet(f"{work}/in")
@@ -230,11 +230,13 @@ def test_marks_survive_a_repeated_batch(spark, work):
     assert rows(marks) == [("x", 8), ("y", 5), ("z", 1)]
 
 
-def test_old_mark_versions_are_dropped(spark, work):
-    one = spark.createDataFrame([("x", 1)], "by string, value long")
+def test_marks_of_an_old_run_stay(spark, work):
+    one = lambda v: spark.createDataFrame([("x", v)], "by string, value long")
     for v in range(13):
-        sinks.write_marks(one, work, v)
-    assert sorted(int(n.split("=")[1]) for n in S.folders(spark, work)) == list(range(3, 13))
+        sinks.write_marks(one(v), work, v)
+    assert rows(sinks.read_marks(spark, work, 2, one(0).schema)) == [("x", 1)]
+    assert rows(sinks.read_marks(spark, work, 40, one(0).schema)) == [("x", 12)]
+    assert sinks.read_marks(spark, work, 0, one(0).schema) is None
 
 
 def test_publish_incremental_starts_from_stored_marks(spark, work):
@@ -246,6 +248,8 @@ def test_publish_incremental_starts_from_stored_marks(spark, work):
     go(rows_in, 1)
     sent = spark.read.text(f"{work}/sent").selectExpr("get_json_object(value, '$.load') AS load", "run")
     assert rows(sent.selectExpr("cast(load as double)", "run")) == [(0.0, 0), (1.0, 0), (2.0, 0), (3.0, 1), (4.0, 1)]
+    numbers = spark.read.text(f"{work}/sent").selectExpr("get_json_object(value, '$.key_id') AS k")
+    assert rows(numbers) == [(f"record_{i}",) for i in range(5)]
     assert schema
 
 
@@ -279,7 +283,9 @@ def test_gas_mart_over_two_years(spark):
 def test_generation_mix_calendar_uses_stored_parts(spark):
     df = spark.sql("SELECT timestamp'2023-02-01' AS date, 2 AS month, 29 AS day, '1.5' AS fossil_gas_actual_aggregated "
                    "UNION ALL SELECT timestamp'2024-02-01', 2, 29, 'n/e'")
-    got = marts.mart_generation_mix(df, calendar=True).collect()
+    got = marts.mart_generation_mix(df, ["fossil_gas_actual_aggregated"], calendar=True).collect()
+    with pytest.raises(ValueError, match="solar"):
+        marts.mart_generation_mix(df)
     assert [(r["day_label"], r["energy_title"], r["generated"]) for r in got] == [("Feb 29", "Fossil Gas Actual Aggregated", 1.5)]
 
 
