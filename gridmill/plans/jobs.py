@@ -150,13 +150,13 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     parts = ("day", "month", "year", "hour", "minute")
     land_messages(spark, source, schema, values, parts, f"{state}/landed", f"{state}/quarantine", f"{state}/consume")
     stamp = int(as_utc(as_of).timestamp())
-    marks = T.StructType([T.StructField("end", T.TimestampType())])
+    marks = T.StructType([T.StructField("begin", T.TimestampType()), T.StructField("end", T.TimestampType())])
     stored = read_marks(spark, f"{state}/closed", stamp, marks)
     begun = None if stored is None else stored.first()
-    since = as_utc(first) if begun is None else begun["end"].astimezone(timezone.utc)
+    begin, since = (as_utc(first),) * 2 if begun is None else (begun[c].astimezone(timezone.utc) for c in ("begin", "end"))
     until = max(as_utc(end), since)
-    # Late rows are looked for one day back.
-    low = since if begun is None else since - timedelta(days=1)
+    # Late rows are looked for one day back, but not before the first run's day.
+    low = max(begin, since - timedelta(days=1))
     typed = T.StructType([T.StructField("date", T.TimestampType()), *[T.StructField(v, T.FloatType()) for v in values],
                           *[T.StructField(p, T.ShortType() if p == "year" else T.ByteType()) for p in parts], T.StructField("landed_day", T.DateType())])
     rows = spark.createDataFrame([], typed)
@@ -164,7 +164,7 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
         rows = spark.read.schema(typed).parquet(f"{state}/landed").filter(F.col("landed_day").between(low.date(), until.date()))
     closed = rows.filter(between(F.col("date"), low, until)).select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
     failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True)
-    write_marks(spark.createDataFrame([(until,)], marks), f"{state}/closed", stamp)
+    write_marks(spark.createDataFrame([(begin, until)], marks), f"{state}/closed", stamp)
     return failed
 
 
