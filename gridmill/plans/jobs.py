@@ -12,7 +12,7 @@ from gridmill.functions.columns import (
     all_of, drop_any_null, drop_for_parameter, kelvin_to_celsius, narrow, normalize_headers, quoted, rename,
 )
 from gridmill.functions.timecols import (
-    BERLIN, as_utc, between, in_month, local_midnight, parse_hour_stamp, parse_iso, to_local, with_calendar_parts,
+    BERLIN, as_utc, between, in_month, instant, local_midnight, parse_hour_stamp, parse_iso, to_local, with_calendar_parts,
 )
 from gridmill.operators.periods import (
     HOUR_KEY, closed_hours_end, slice_last_days, slice_next_days, slice_same_day, trading_hours,
@@ -150,7 +150,7 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     parts = ("day", "month", "year", "hour", "minute")
     land_messages(spark, source, schema, values, parts, f"{state}/landed", f"{state}/quarantine", f"{state}/consume")
     stamp = int(as_utc(as_of).timestamp())
-    marks = T.StructType([T.StructField("begin", T.TimestampType()), T.StructField("end", T.TimestampType())])
+    marks = T.StructType([T.StructField("begin", T.TimestampType()), T.StructField("end", T.TimestampType()), T.StructField("batch", T.LongType())])
     stored = read_marks(spark, f"{state}/closed", stamp, marks)
     begun = None if stored is None else stored.first()
     begin, since = (as_utc(first),) * 2 if begun is None else (begun[c].astimezone(timezone.utc) for c in ("begin", "end"))
@@ -158,13 +158,19 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     # Late rows are looked for one day back, but not before the first run's day.
     low = max(begin, since - timedelta(days=1))
     typed = T.StructType([T.StructField("date", T.TimestampType()), *[T.StructField(v, T.FloatType()) for v in values],
-                          *[T.StructField(p, T.ShortType() if p == "year" else T.ByteType()) for p in parts], T.StructField("landed_day", T.DateType())])
+                          *[T.StructField(p, T.ShortType() if p == "year" else T.ByteType()) for p in parts],
+                          T.StructField("landed_day", T.DateType()), T.StructField("batch_id", T.LongType())])
     rows = spark.createDataFrame([], typed)
     if path_exists(spark, f"{state}/landed"):
         rows = spark.read.schema(typed).parquet(f"{state}/landed").filter(F.col("landed_day").between(low.date(), until.date()))
-    closed = rows.filter(between(F.col("date"), low, until)).select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
+    rows = rows.filter(between(F.col("date"), low, until))
+    seen = -1 if begun is None else begun["batch"]
+    last = rows.agg(F.max("batch_id")).first()[0]
+    # Rows before ``since`` were passed on, unless they have landed after that.
+    fresh = (F.col("date") >= instant(since)) | (F.col("batch_id") > seen)
+    closed = rows.filter(fresh).select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
     failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True)
-    write_marks(spark.createDataFrame([(begin, until)], marks), f"{state}/closed", stamp)
+    write_marks(spark.createDataFrame([(begin, until, seen if last is None else max(last, seen))], marks), f"{state}/closed", stamp)
     return failed
 
 
