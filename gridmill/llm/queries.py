@@ -42,7 +42,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
-@query("op4_neardup")
+#: All pairs that share a shingle, and all that is reachable: for small tables.
+NEAR_COPIES_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') AS w FROM documents),
+ n AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM d),
+ x AS (SELECT doc_id, len(s) AS n, unnest(s) AS one FROM n),
+ l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.one = b.one AND a.doc_id < b.doc_id
+       GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+ reach AS (SELECT doc_id AS node, doc_id AS label FROM documents UNION SELECT e.b, r.label FROM reach r JOIN e ON e.a = r.node)
+SELECT n.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+FROM n JOIN (SELECT node, min(label) AS component_id FROM reach GROUP BY node) c ON c.node = n.doc_id"""
+
+
+@query("op4_neardup", NEAR_COPIES_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_copies(table(spark, sf_dir, "documents"))
 
@@ -65,7 +79,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op5_linededup")
+LINE_RUNS_SQL = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no
+           FROM documents WHERE text IS NOT NULL),
+ k AS (SELECT doc_id, no, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t,
+              len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
+ f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS i, sum(n) OVER (PARTITION BY doc_id ORDER BY no) AS upto
+       FROM k WHERE n > 0),
+ w AS (SELECT a.doc_id, a.no AS first, a.i, min(b.i) AS j, min(b.no) AS last FROM f a JOIN f b
+       ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 10 GROUP BY 1, 2, 3),
+ c AS (SELECT w.doc_id, w.first, w.last, string_agg(f.t, chr(10) ORDER BY f.i) AS content
+       FROM w JOIN f ON f.doc_id = w.doc_id AND f.i BETWEEN w.i AND w.j GROUP BY 1, 2, 3),
+ o AS (SELECT content, doc_id AS od, first AS oa, last AS ob FROM c
+       QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, first) = 1),
+ r AS (SELECT doc_id, CASE WHEN doc_id = od THEN greatest(first, ob + 1) ELSE first END AS first, last
+       FROM c JOIN o USING (content) WHERE doc_id <> od OR first <> oa),
+ g AS (SELECT DISTINCT l.doc_id, l.no FROM l JOIN r ON r.doc_id = l.doc_id AND l.no BETWEEN r.first AND r.last),
+ m AS (SELECT l.*, g.no IS NOT NULL AS gone FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.no = l.no),
+ s AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY no), false) AS opens FROM m),
+ t AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT gone), '') AS text, count(*) AS n_lines,
+              count_if(gone) AS n_removed, count_if(opens) AS n_runs FROM s GROUP BY doc_id)
+SELECT d.doc_id, t.text, coalesce(t.n_lines, 0) AS n_lines, CAST(coalesce(t.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(t.n_runs, 0) AS INTEGER) AS n_runs
+FROM documents d LEFT JOIN t USING (doc_id)"""
+
+
+@query("op5_linededup", LINE_RUNS_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = linededup.delete_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "text", "n_lines", "n_removed", F.size("runs").alias("n_runs"))

@@ -4,12 +4,13 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from gridmill.llm import decontamination, extraction, graphs, licences, linededup, neardup, repeats
-from gridmill.llm.queries import QUERIES
+from gridmill.llm.queries import ORACLES, QUERIES
 
 from tests.conftest import rows as sorted_rows
 from tests.llm.conftest import SF, prose
@@ -368,3 +369,14 @@ def test_stages_on_odd_rows(spark, odd):
 
 def test_every_operator_has_its_query():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, tables, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    cursor = con.execute(ORACLES[name])
+    names = [d[0] for d in cursor.description]
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(cursor.fetchall())
