@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from gridmill.session import checkpointed
 
@@ -18,13 +18,16 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u")
         linked = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        now = checkpointed(linked.where("u > v").distinct())
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        # Count and sum of the links are taken while they are written.
+        seen = Observation()
+        now = checkpointed(linked.where("u > v").distinct().observe(
+            seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("total")))
+        state = seen.get
+        if state == before or not state["n"]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
         before = state

@@ -6,8 +6,8 @@ Registers of a union are the maxima of registers, so sketches of parts may be me
 
 1. One pass over the texts gives the size of each set, two sums that identify the set, and the sketch.
 2. Equal sets form one class. All further work is on classes, so a large group of exact copies costs one row.
-3. ``BANDS`` bands of ``ROWS`` registers are bucket keys. In each bucket every class meets the bucket's smallest and largest
-   class only. The pairs pass the likelihood test, are confirmed on whole sets, and connected.
+3. ``BANDS`` bands of ``ROWS`` registers are bucket keys. Of the smallest and largest classes of its buckets every class meets
+   three at most. The pairs pass the likelihood test, are confirmed on whole sets, and connected.
 4. Nodes that buckets tie together are a family. Where a family still holds several components, they are compared in
    blocks, the largest component not with itself. So a group that hangs together costs as many pairs as it has members.
 
@@ -36,7 +36,7 @@ SCALE, RATE, TOP = 1.02, 20.0, 65535
 #: Logarithm of the likelihood ratio at which a pair counts as refuted by its sketches.
 REFUTED = 20.0
 #: Nodes of a block in the comparison across components, and tasks that families of two blocks are dealt over.
-BLOCK, SHARED = 256, 2048
+BLOCK, SHARED = 1024, 2048
 
 _U = np.uint64
 _FACTORS = np.random.Generator(np.random.PCG64(7001)).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * _U(2) + _U(1)
@@ -161,15 +161,17 @@ def _linked(pairs: DataFrame, sketches: DataFrame, whole: DataFrame, percent: in
     return judged.join(side(whole, "a"), "a").join(side(whole, "b"), "b").mapInArrow(confirm, "a long, b long")
 
 
-def _across(stars: DataFrame, links: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """Links between components of one family: nodes that buckets tie together, directly or by way of others.
+def _across(ties: DataFrame, labels: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Pairs of components that a link joins, within families: components that buckets tie together, directly or not.
 
     The largest component of a family is not compared with itself. All others are cut into blocks, as it is, and a task gets
     two blocks. A node so travels once for each block it meets, not for each node, and only links leave the task, one for
     each two components.
     """
-    family = components(stars).select("node", F.col("label").alias("family"))
-    named = family.join(components(links), "node", "left").select("node", "family", F.coalesce("label", "node").alias("label"))
+    family = components(_renamed(ties, labels)).select(F.col("node").alias("label"), F.col("label").alias("family"))
+    # A component without any link is a node of its own.
+    every = labels.unionByName(family.select(F.col("label").alias("node"), "label")).distinct()
+    named = every.join(family, "label")
     sizes = named.groupBy("family", "label").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("family").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).where("top.n < n").select(
         "family", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / BLOCK).alias("n_main"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("n_rest"))
@@ -185,9 +187,9 @@ def _across(stars: DataFrame, links: DataFrame, whole: DataFrame, percent: int)
     group = F.when(F.col("blocks") > 2, F.xxhash64("family", "i", "j")).otherwise(F.pmod(F.xxhash64("family"), F.lit(SHARED)))
 
     def compare(table: pa.Table) -> pa.Table:
-        found: dict[tuple[int, int], tuple[int, int]] = {}
+        found: set[tuple[int, int]] = set()
         keys = list(zip(*(table.column(c).to_pylist() for c in ("family", "i", "j")), strict=True))
-        node, label = (table.column(c).to_pylist() for c in ("node", "label"))
+        label = table.column("label").to_pylist()
         first, second = (table.column(c).to_numpy() for c in ("first", "second"))
         sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
         places: dict[tuple, list[int]] = {}
@@ -198,8 +200,8 @@ def _across(stars: DataFrame, links: DataFrame, whole: DataFrame, percent: int)
             for x, y in _pairs([sets_[k] for k in left], [sets_[k] for k in right], percent):
                 p, q = left[x], right[y]
                 if label[p] != label[q]:
-                    found.setdefault((min(label[p], label[q]), max(label[p], label[q])), (node[p], node[q]))
-        pairs = list(found.values())
+                    found.add((min(label[p], label[q]), max(label[p], label[q])))
+        pairs = sorted(found)
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
     return met.join(whole, "node").withColumn("_group", group).groupBy("_group").applyInArrow(compare, "a long, b long")
@@ -262,12 +264,27 @@ def near_copies(docs: DataFrame, *, k: int = 3, percent: int = 85) -> DataFrame:
 
     whole = stored(docs.join(members, docs["doc_id"] == members["node"], "left_semi").mapInArrow(collect, "node long, set binary"), "sets")
 
-    stars = buckets.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(
-        buckets.select(F.col("node").alias("a"), F.col("high").alias("b"))).where("a < b").distinct()
-    links = stored(_linked(stars, sketches, whole, percent), "links")
+    # Of the ends of its buckets a class meets the first, the last, and the one with which it shares most buckets.
+    met = buckets.select("node", F.explode(F.array("low", "high")).alias("end")).where("node <> end").groupBy("node", "end").agg(F.count("*").alias("n"))
+    chosen_ends = met.groupBy("node").agg(F.array_distinct(F.array(F.min("end"), F.max("end"), F.max(F.struct("n", "end"))["end"])).alias("ends"))
+    tried = chosen_ends.select("node", F.explode("ends").alias("end")).select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
+    links = stored(_linked(tried, sketches, whole, percent), "links")
+    ties = buckets.select(F.col("low").alias("a"), F.col("node").alias("b")).where("a < b").distinct()
+    # From here on a component stands for its nodes.
     labels = components(links)
-    more = _across(stars, links, whole, percent)
-    final = components(links.unionByName(more).unionByName(same))
+    more = stored(_across(ties, labels, whole, percent).unionByName(_renamed(same, labels)), "more")
+    final = labels
+    if not more.isEmpty():
+        joined = components(more).select(F.col("node").alias("label"), F.col("label").alias("root"))
+        both = labels.unionByName(joined.select(F.col("label").alias("node"), "label")).distinct()
+        final = both.join(joined, "label", "left").select("node", F.coalesce("root", "label").alias("label")).groupBy("node").agg(F.min("label").alias("label"))
     return rows.select("doc_id", "n_shingles").join(final, rows["doc_id"] == final["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("label", "doc_id"), F.lit(True)).alias("kept"))
+
+
+def _renamed(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes as pairs of their components, those of two components only."""
+    name = lambda s: labels.select(F.col("node").alias(s), F.col("label").alias(f"{s}_label"))
+    named = pairs.join(name("a"), "a", "left").join(name("b"), "b", "left")
+    return named.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")).where("a <> b").distinct()
