@@ -7,7 +7,7 @@ edges that weigh more the closer they stand in the document tree. The minimum cu
 with the least total cost.
 
 A null or empty page has an empty text. Broken markup is read as browsers do: unclosed tags end with their container, stray
-end tags are skipped. Pages of one id or url are treated each for itself. A page is one row of one task; pages are spread.
+end tags are skipped. The text of drawings, templates and formula annotations is not read; that of formulas is. Pages of one id or url are treated each for itself. A page is one row of one task; pages are spread.
 Other columns are not read.
 """
 
@@ -24,21 +24,30 @@ from pyspark.sql import DataFrame, functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|template|iframe|noembed|noframes|xmp|svg|math|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+#: Elements whose content is not markup, with what ends them.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I) for t in "script style iframe noembed noframes xmp title".split()}
 _ATTR = re.compile(r"""\b(class|id|role|aria-label|hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACES = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-                   "strike strong sub sup time tt u var wbr".split())
+                   "strike strong sub sup time tt u var wbr "
+                   "math maction merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+                   "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+#: Elements whose text a reader does not see as text; they do not part the block around them.
+HIDDEN = frozenset("svg template annotation annotation-xml".split())
+#: Elements of a drawing that hold ordinary markup.
+EMBEDS = frozenset(("foreignobject", "desc"))
 #: Start tags that end an open paragraph, and elements that end an open one of their kind.
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main "
                    "menu nav ol p pre section table ul".split())
 ENDS_SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
              "option": ("option",)}
-SCOPE = frozenset("article aside body div footer header main nav section table ul ol dl form".split())
+#: Start tags that end an open drawing.
+ENDS_SVG = ENDS_P | frozenset("b big body br center code dd dt em embed head i img li meta s small span strong strike sub sup tt u var".split())
+SCOPE = frozenset("article aside body div footer header main nav section table ul ol dl form template foreignobject".split())
 MAIN = frozenset(("article", "main"))
 SIDE_TAGS = frozenset("nav footer aside form button select textarea menu dialog head noscript datalist fieldset".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
@@ -58,7 +67,7 @@ OPEN, INSIDE, OUTSIDE = 0, 1, -1
 
 
 class Node:
-    __slots__ = ("tag", "place", "sticky", "depth", "parent", "named")
+    __slots__ = ("tag", "place", "sticky", "depth", "parent", "named", "hidden", "foreign")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent = tag, parent
@@ -66,6 +75,8 @@ class Node:
         self.place = parent.place if parent else OPEN
         self.sticky = parent.sticky if parent else False
         self.named = parent.named if parent else False
+        self.hidden = tag in HIDDEN or parent is not None and parent.hidden
+        self.foreign = tag == "svg" or parent is not None and parent.foreign and tag not in EMBEDS
         names: set[str] = set()
         role = ""
         if attrs and not attrs.isspace():
@@ -111,7 +122,7 @@ def blocks(page: str) -> list[tuple[str, Block]]:
         now = Block(node)
 
     def text(raw: str) -> None:
-        if raw:
+        if raw and not node.hidden:
             if not now.pieces:
                 now.node = node
                 inner = node
@@ -138,26 +149,34 @@ def blocks(page: str) -> list[tuple[str, Block]]:
         return True
 
     last = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, last):
         text(page[last: m.start()])
         last = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
-        if tag not in INLINE:
+        if tag in RAW and not m["end"]:
+            if not (node.foreign and m["attrs"].endswith("/")):
+                last = RAW[tag].search(page, last).end()
+            continue
+        if tag in ENDS_SVG and not m["end"]:
+            while node.foreign:
+                leave(("svg",), frozenset())
+        parts = tag not in INLINE and tag not in HIDDEN and not node.hidden
+        if parts:
             close()
         if m["end"]:
-            leave((tag,), frozenset() if tag in SCOPE else SCOPE - {tag})
+            leave((tag,), frozenset() if tag in SCOPE or tag == "svg" else SCOPE - {tag})
         else:
             if tag in ENDS_P:
                 leave(("p",), SCOPE | {"button"})
             if tag in ENDS_SELF:
-                leave(ENDS_SELF[tag], {"ul", "ol", "dl", "table", "select"})
+                leave(ENDS_SELF[tag], {"ul", "ol", "dl", "table", "select", "template", "foreignobject"})
             if tag not in VOID and not m["attrs"].endswith("/"):
                 node = Node(tag, m["attrs"], node)
                 links += tag == "a"
-        if tag not in INLINE:
+        if parts:
             now = Block(node)
     text(page[last:])
     close()

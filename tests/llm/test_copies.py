@@ -268,6 +268,21 @@ def test_cut_is_the_cheapest_labelling():
             flow.tie(n, i, o) if o > 0 else flow.tie(i, n + 1, -o)
         for i, j, w in ties:
             flow.tie(i, j, w, w)
+@pytest.mark.parametrize(("inner", "want"), [
+    ("<svg-icon name='x'></svg-icon><p>Long text.</p><p>More</p>", "Long text.\nMore"),
+    ("<title-bar></title-bar><p>One.</p><math-field></math-field><template-x></template-x><p>Two</p>", "One.\nTwo"),
+    ("<p>One <svg class=i /> two.</p><p>Three <math/> four</p>", "One two.\nThree four"),
+    ("<p>One <svg><title/><style/><g><text>no</text></g></svg>two.</p><p>Three</p>", "One two.\nThree"),
+    ("<p>One.</p><svg><path d='M0'><p>Two.</p><p>Three</p>", "One.\nTwo.\nThree"),
+    ("<p>One <template><p>no</p><div>no</div></template>two.</p><p>Three</p>", "One two.\nThree"),
+    ("<p>One <svg><foreignObject><p>no</p></foreignObject></svg>two.</p>", "One two."),
+    ("<p>Since <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math> holds.</p>", "Since x=2 holds."),
+    ("<p>One.</p><script>if (a<b) '<p>no</p>'</script ><p>Two</p>", "One.\nTwo"),
+])
+def test_main_text_around_drawings_and_formulas(inner, want):
+    assert extraction.main_text(f"<article>{inner}</article>") == want
+
+
         cost = lambda x: sum(abs(o) for o, y in zip(odds, x, strict=True) if (o > 0) != y) + sum(w for i, j, w in ties if x[i] != x[j])
         best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
         assert abs(cost(flow.cut(n, n + 1)[:n]) - best) < 1e-6
