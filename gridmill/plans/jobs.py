@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -144,8 +144,10 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
 
     Rows of an open hour wait in the landing table. The first run begins at
     ``first``, any other where the one before it ended, so no hour is left out,
-    the last of a day neither. Rows for hours already passed on are counted as
-    late. Messages that cannot be used are in ``state``/quarantine.
+    the last of a day neither. Rows that land after their hour has closed are
+    looked for by landing batch, however late: those of hours passed on already
+    are counted as late, those of hours that had no rows are loaded. Messages
+    that cannot be used are in ``state``/quarantine.
     """
     parts = ("day", "month", "year", "hour", "minute")
     land_messages(spark, source, schema, values, parts, f"{state}/landed", f"{state}/quarantine", f"{state}/consume")
@@ -155,20 +157,20 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     begun = None if stored is None else stored.first()
     begin, since = (as_utc(first),) * 2 if begun is None else (begun[c].astimezone(timezone.utc) for c in ("begin", "end"))
     until = max(as_utc(end), since)
-    # Late rows are looked for one day back, but not before the first run's day.
-    low = max(begin, since - timedelta(days=1))
     typed = T.StructType([T.StructField("date", T.TimestampType()), *[T.StructField(v, T.FloatType()) for v in values],
                           *[T.StructField(p, T.ShortType() if p == "year" else T.ByteType()) for p in parts],
                           T.StructField("landed_day", T.DateType()), T.StructField("batch_id", T.LongType())])
     rows = spark.createDataFrame([], typed)
-    if path_exists(spark, f"{state}/landed"):
-        rows = spark.read.schema(typed).parquet(f"{state}/landed").filter(F.col("landed_day").between(low.date(), until.date()))
-    rows = rows.filter(between(F.col("date"), low, until))
     seen = -1 if begun is None else begun["batch"]
-    last = rows.agg(F.max("batch_id")).first()[0]
+    landed_after = F.col("batch_id") > seen
+    if path_exists(spark, f"{state}/landed"):
+        # Both are folders of the table: older days are read only where something has landed since.
+        rows = spark.read.schema(typed).parquet(f"{state}/landed").filter(
+            F.col("landed_day").between(begin.date(), until.date()) & ((F.col("landed_day") >= F.lit(since.date())) | landed_after))
     # Rows before ``since`` were passed on, unless they have landed after that.
-    fresh = (F.col("date") >= instant(since)) | (F.col("batch_id") > seen)
-    closed = rows.filter(fresh).select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
+    rows = rows.filter(between(F.col("date"), begin, until) & ((F.col("date") >= instant(since)) | landed_after))
+    last = rows.agg(F.max("batch_id")).first()[0]
+    closed = rows.select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
     failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True)
     write_marks(spark.createDataFrame([(begin, until, seen if last is None else max(last, seen))], marks), f"{state}/closed", stamp)
     return failed

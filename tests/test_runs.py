@@ -154,6 +154,20 @@ def test_open_hours_wait_for_the_next_run(spark, work):
     assert rows(K.late_counts(spark, f"{work}/lake", FEED), "late_rows")[-1] == (1,)
 
 
+def test_backlog_of_an_outage_is_loaded_or_counted(spark, work):
+    deliveries = [
+        (datetime(2024, 1, 17, 15, 30), [message("2024-01-17 14:10:00", 1)]),
+        (datetime(2024, 1, 20, 9, 30), [message("2024-01-20 07:10:00", 2)]),
+        (datetime(2024, 1, 21, 9, 30), [message("2024-01-17 14:20:00", 8), message("2024-01-17 20:10:00", 3), message("2024-01-18 11:10:00", 4)]),
+    ]
+    for as_of, lines in deliveries:
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{work}/in")
+        for _ in range(2):  # every run twice
+            jobs.load_job(spark, f"{work}/in", f"{work}/lake", f"{work}/t", f"{work}/s", as_of.replace(tzinfo=timezone.utc))
+    assert rows(sinks.read_loaded(spark, f"{work}/t"), "load") == [(1.0,), (2.0,), (3.0,), (4.0,)]
+    assert rows(K.late_counts(spark, f"{work}/lake", FEED), "late_rows")[-1] == (1,)
+
+
 def test_gas_over_a_weekend(spark, work):
     gas = lambda stamp, v: f'{{"date": "{stamp}+00:00", "open_price": {v}, "close_price": {v}, "key_id": "record_0"}}'
     lines = [gas("2024-01-19 10:00:00", 1), gas("2024-01-19 22:10:00", 2), gas("2024-01-22 09:00:00", 3)]
