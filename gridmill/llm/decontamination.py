@@ -5,7 +5,7 @@ One pass over the corpus counts the words of the items. A seed is rare if words
 fewer than ``RARE`` of the documents; so seeds stay rare however often an item itself was copied. The quarter of an item's seeds
 that is least likely is used in any case. A second pass looks the rare seeds up, joins the hits of a document and an item
 that stand together to passages, widens each by the length of the item, and aligns it word by word. A pair is reported if the
-score reaches ``LEAST`` of the score of a verbatim copy.
+score reaches ``LEAST`` of the score of a verbatim copy, or that of ``PASSAGE`` consecutive words of it, however long the item is.
 
 Items are read in blocks of at most ``BLOCK_BYTES`` of text, each broadcast in one pass over the whole corpus; so a larger
 benchmark takes more passes, not more memory. The counts of a block's words are as bounded.
@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from gridmill.llm.textarrays import LOWER, Texts, chunks, prefix_sums, shingles, span_hash
 
 SEED, LEAST = 3, 0.5
+#: Words of a verbatim excerpt that are reported from an item of any length.
+PASSAGE = 13
 RARE = 1e-3
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -172,7 +174,7 @@ def passages(texts: Texts, items: Items) -> Iterator[tuple[int, int, float, int,
             part, regions = regions[:take], regions[take:]
             for (d, a, _), (top, start, end) in zip(part, align([word[a:b] for _, a, b in part], items.words[k]), strict=True):
                 share = top / (MATCH * len(items.words[k]))
-                if share >= LEAST and share > found.get((d, k), (0.0,))[0]:
+                if (share >= LEAST or top >= MATCH * PASSAGE) and share > found.get((d, k), (0.0,))[0]:
                     found[d, k] = share, a + start - int(first_word[d]), a + end - int(first_word[d])
     for (d, k), rest in sorted(found.items()):
         yield d, k, *rest

@@ -159,6 +159,17 @@ def test_leaks_verbatim_and_edited(spark, docs):
     assert [r.doc_id for r in decontamination.clean(df, items).orderBy("doc_id").collect()] == [5, 6]
 
 
+def test_leaks_of_excerpts(spark, docs):
+    short, long = prose(300, 59), prose(301, 300)
+    items = spark.createDataFrame([(0, short), (1, long)], "item_id long, text string")
+    cut = lambda t, a, n: " ".join(t.split()[a: a + n])
+    around = lambda s, t: f"{prose(s, 80)} {t} {prose(s + 1, 80)}"
+    df = docs(around(1, cut(short, 20, 29)), around(3, cut(long, 90, 140)), around(5, cut(long, 200, 16)), around(7, cut(long, 40, 8)), prose(60, 400))
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.leaks(df, items).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 1)} and max(got.values()) < decontamination.LEAST
+    assert [r.doc_id for r in decontamination.clean(df, items).orderBy("doc_id").collect()] == [3, 4]
+
+
 def test_leaks_in_most_documents_and_blocks(spark, docs, monkeypatch):
     items = spark.createDataFrame([(k, prose(200 + k, 30)) for k in range(8)], "item_id long, text string")
     df = docs(*[f"{prose(k, 20)} {edited(prose(201, 30), 10, 4)}" for k in range(60)], prose(203, 30))
@@ -257,17 +268,6 @@ def test_main_text_of_broken_pages():
     assert len(extraction.main_text("<article>" + "<p>x y</p>" * 5000)) == 5000 * 4 - 1
 
 
-def test_cut_is_the_cheapest_labelling():
-    rng = np.random.default_rng(2)
-    for _ in range(20):
-        n = 7
-        odds = rng.normal(0, 1, n)
-        ties = [(i, j, float(rng.uniform(0, 1))) for i in range(n) for j in range(i) if rng.random() < 0.4]
-        flow = extraction.Flow(n + 2)
-        for i, o in enumerate(odds):
-            flow.tie(n, i, o) if o > 0 else flow.tie(i, n + 1, -o)
-        for i, j, w in ties:
-            flow.tie(i, j, w, w)
 @pytest.mark.parametrize(("inner", "want"), [
     ("<svg-icon name='x'></svg-icon><p>Long text.</p><p>More</p>", "Long text.\nMore"),
     ("<title-bar></title-bar><p>One.</p><math-field></math-field><template-x></template-x><p>Two</p>", "One.\nTwo"),
@@ -283,6 +283,17 @@ def test_main_text_around_drawings_and_formulas(inner, want):
     assert extraction.main_text(f"<article>{inner}</article>") == want
 
 
+def test_cut_is_the_cheapest_labelling():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        n = 7
+        odds = rng.normal(0, 1, n)
+        ties = [(i, j, float(rng.uniform(0, 1))) for i in range(n) for j in range(i) if rng.random() < 0.4]
+        flow = extraction.Flow(n + 2)
+        for i, o in enumerate(odds):
+            flow.tie(n, i, o) if o > 0 else flow.tie(i, n + 1, -o)
+        for i, j, w in ties:
+            flow.tie(i, j, w, w)
         cost = lambda x: sum(abs(o) for o, y in zip(odds, x, strict=True) if (o > 0) != y) + sum(w for i, j, w in ties if x[i] != x[j])
         best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
         assert abs(cost(flow.cut(n, n + 1)[:n]) - best) < 1e-6
