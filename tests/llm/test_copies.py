@@ -1,6 +1,7 @@
 """Near copies, line runs, leaks, licences, pages, repeated bytes and the pipeline: against brute force and on odd rows."""
 
 import hashlib
+import pathlib
 import re
 from collections import Counter, defaultdict
 
@@ -224,6 +225,25 @@ def test_licences(docs):
     assert got == {(0, "Apache-2.0"): 1, (1, "MIT"): 1, (2, "MIT"): 1, (2, "Proprietary"): 1, (4, "MIT"): 1, (6, "MIT"): 2}
 
 
+def test_licences_of_families(docs):
+    gnu = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU %s as published by the Free Software " \
+          "Foundation, either version %s of the License, or (at your option) any later version."
+    full = lambda name: (pathlib.Path(licences.__file__).parent / "licence_texts" / f"{name}.txt").read_text()
+    bsd = full("BSD")
+    cases = [("Licensed under CC BY 3.0.", "CC-BY-3.0"), ("Licensed under the MIT License.", "MIT"), ("under the GNU General Public License, version 2.", "GPL-2.0"),
+             ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"), (gnu % ("Affero General Public License", "3"), "AGPL-3.0-or-later"),
+             (gnu % ("Lesser General Public License", "3"), "LGPL-3.0-or-later"), (gnu % ("Lesser General Public License", "2.1"), "LGPL-2.1-or-later"),
+             (gnu % ("General Public License", "3"), "GPL-3.0-or-later"), (gnu % ("General Public License", "2"), "GPL-2.0-or-later"),
+             ("This work is licensed under the GNU General Public License, version 9.", None), ("Licensed under the Apache License, Version 7.0.", None),
+             ("SPDX-License-Identifier: EPL-2.0", "EPL-2.0"), (full("GPL-2"), "GPL-2.0"), (full("GPL-3"), "GPL-3.0"), (full("LGPL-2.1"), "LGPL-2.1"),
+             (full("GPL-3").replace("GNU General", "GNU Affero General"), "AGPL-3.0"), (full("CC0-1.0"), "CC0-1.0"), (full("MPL-2.0"), "MPL-2.0"),
+             (full("Apache-2.0"), "Apache-2.0"), (bsd[bsd.index("Redistribution"):], "BSD-3-Clause"),
+             (bsd[bsd.index("Redistribution"): bsd.index("3. Neither")] + bsd[bsd.index("THIS SOFTWARE"):], "BSD-2-Clause")]
+    df = docs(*[f"{prose(2 * k, 60)}\n{text}\n{prose(2 * k + 1, 60)}" for k, (text, _) in enumerate(cases)])
+    got = Counter((r.doc_id, r.licence) for r in licences.scan(df).collect())
+    assert got == {(k, name): 1 for k, (_, name) in enumerate(cases) if name}
+
+
 def test_licences_of_tables(tables):
     texts = {r.doc_id: r.text for r in tables.documents.collect()}
     marks = {"Apache-2.0": "Apache License, Version 2.0", "MIT": "Released under the MIT License", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0"}
