@@ -67,8 +67,8 @@ def forecast_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(F.col("event_type") == "purchase", "Rad1h").when(F.col("event_type") == "signup", "SunD1")
                .otherwise("N"))
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", element.alias("element"), "value")
-    # A user's events of one kind in order; the shape of these tables bounds them.
-    placed = row_index(rows, ["event_id"], ["user_id", "element"], "step", group_bound=1_000_000)
+    # A user's events of one kind in order; nothing bounds them, so the scan is cut inside a user.
+    placed = row_index(rows, ["event_id"], ["user_id", "element"], "step")
     return placed.select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("station"), "element",
         F.col("step").cast("int").alias("step"), F.when(F.col("value") >= 2, F.col("value")).alias("value"))

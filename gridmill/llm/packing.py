@@ -5,7 +5,7 @@ the squared number of open sequences with that gap smallest. The state is one co
 ``capacity`` steps whatever the number of sequences.
 
 Pieces are dealt over groups by a hash of document and piece; groups are packed apart, and the number of groups follows
-the number of documents. A group holds about ``GROUP`` pieces of random length, so what its last open sequences waste is
+the number of pieces. A group holds about ``GROUP`` pieces of random length, so what its last open sequences waste is
 a small share of it, and no key can make a group large: rows that repeat a document are dealt by their content as well.
 
 Null and empty texts are the end token alone. Rows of one document number are packed each for itself. Null document
@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from gridmill.session import checkpointed
+
 CAPACITY = 2048
 #: Pieces that are packed together.
 GROUP = 40_000
@@ -146,6 +148,6 @@ def pack(docs: DataFrame, *, group: int = GROUP, capacity: int = CAPACITY, **opt
 
     Join ``pieces`` to it on doc_id and piece to write the sequences themselves.
     """
-    n_groups = -(-docs.count() // group)
-    cut = pieces(docs, capacity=capacity, **options).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return place(cut, n_groups, capacity=capacity)
+    # Kept, as the number of groups follows that of the pieces: a long text has many.
+    cut = checkpointed(pieces(docs, capacity=capacity, **options).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return place(cut, -(-cut.count() // group), capacity=capacity)

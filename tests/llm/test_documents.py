@@ -13,6 +13,8 @@ import pytest
 from gridmill.llm import language, packing, quality, scoring
 from gridmill.llm.textarrays import chunks, word_hashes
 
+from tests.llm.conftest import prose
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -108,6 +110,12 @@ def test_packing_in_groups(tables):
     check_packing(packing.pack(tables.documents, group=30), [(r.doc_id, r.text) for r in tables.documents.collect()])
 
 
+def test_packing_groups_follow_the_pieces(docs):
+    got = packing.pack(docs(*[prose(k, 6000) for k in range(4)]), group=10).collect()
+    groups = {r.sequence_id >> 40 for r in got}
+    assert len(got) > 20 and len(groups) > 1
+
+
 def test_packing_odd_rows(odd):
     check_packing(packing.pack(odd), [(r.doc_id, r.text) for r in odd.collect()])
     assert packing.pack(odd.limit(0)).collect() == []

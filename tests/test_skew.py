@@ -5,6 +5,7 @@ import random
 import pytest
 
 from conftest import rows
+from gridmill import feeds
 from gridmill.operators.skew import keyed_join
 from gridmill.operators.stations import attach_steps, for_stations, missing_stations
 
@@ -64,3 +65,12 @@ def test_attach_steps(spark):
     steps = spark.createDataFrame([("f", 0, "t0"), ("f", 1, "t1"), ("g", 0, "u0")], "file string, step int, time string")
     assert rows(attach_steps(series, steps), "file", "step", "value", "time") == [
         ("f", 0, 1.0, "t0"), ("f", 1, None, "t1"), ("g", 0, 3.0, "u0"), ("g", 1, 4.0, None)]
+
+
+def test_steps_of_a_hot_user_are_cut(spark, work):
+    events = spark.range(0, 6_000, 1, 6).selectExpr("id AS event_id", "CASE WHEN id % 3 < 2 THEN 7 ELSE id END AS user_id", "'click' AS event_type",
+                                                    "CAST(id AS double) AS value")
+    events.write.parquet(f"{work}/events.parquet")
+    got = feeds.forecast_long(spark, work)
+    assert "_split" in got._jdf.queryExecution().toString()
+    assert sorted(r.step for r in got.where("station = 'U7'").collect()) == list(range(4_000))
