@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmill.llm import decontamination, extraction, language, licences, linededup, neardup, packing, quality, repeats, scoring
+from gridmill.llm import decontamination, extraction, language, licences, linededup, neardup, packing, periodic, quality, repeats, scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_licences")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every tenth document, by a hash of its number, go round from one of its words on; then runs of all documents."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = F.size("words").cast("long"), F.floor(h / 10)
+    p = 1 + F.floor((n - F.col("a")) / (3 + g % 8))
+    cycle = F.transform(F.sequence("a", n - 1), lambda i: F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    docs = docs.withColumn("a", F.when(n > 0, g % n)).withColumn("p", p)
+    docs = docs.withColumn("text", F.when(n > 0, F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), cycle), " ")).otherwise(F.col("text")))
+    rows = periodic.periodic_runs(docs)
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return rows.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.period")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
