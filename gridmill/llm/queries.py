@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmill.llm import decontamination, extraction, language, licences, linededup, neardup, packing, periodic, quality, repeats, scoring
+from gridmill.llm import bitslice, decontamination, extraction, language, lexical, licences, linededup, neardup, packing, periodic, quality, repeats, scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,39 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
         (-F.col("top.period")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.period")).alias("exponent_milli"),
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+PRODUCTS_SQL = r"""WITH v AS (SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+ x AS (SELECT row, vec_id, generate_subscripts(embedding, 1) AS d, unnest(embedding) AS c FROM v),
+ g AS (SELECT row FROM x GROUP BY row HAVING count(c) < count(*) OR bool_or(NOT isfinite(c::DOUBLE))),
+ i AS (SELECT row, vec_id, d, CAST(floor(64 * c::DOUBLE) AS BIGINT) AS c FROM x WHERE row NOT IN (SELECT row FROM g)),
+ s AS (SELECT a.row, a.vec_id AS query_id, b.vec_id, CAST(sum(a.c * b.c) AS BIGINT) AS score
+       FROM i a JOIN i b ON a.d = b.d AND a.row <> b.row WHERE a.vec_id % 20 = 0 GROUP BY a.row, a.vec_id, b.row, b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) <= 20"""
+
+
+@query("op12_products", PRODUCTS_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_products(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+RANKED_SQL = r"""WITH t AS (SELECT rowid AS row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)),
+ f AS (SELECT row, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+ n AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY row),
+ s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM n),
+ w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM f, s GROUP BY term, docs),
+ m AS (SELECT row, 100 - 90 + (90 * n * docs) // length AS m FROM n, s),
+ i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+ r AS (SELECT item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+       FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY item_id, doc_id, row)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10"""
+
+
+@query("op11_search", RANKED_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    return rows.select("item_id", "rank", "doc_id", "score")
