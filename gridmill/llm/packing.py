@@ -4,9 +4,9 @@ Documents become token pieces of at most ``capacity`` tokens. A piece goes where
 the squared number of open sequences with that gap smallest. The state is one counter per gap, so a choice costs
 ``capacity`` steps whatever the number of sequences.
 
-Pieces are dealt over groups by a hash of document and piece; groups are packed apart, and the number of groups follows
-the number of pieces. A group holds about ``GROUP`` pieces of random length, so what its last open sequences waste is
-a small share of it, and no key can make a group large: rows that repeat a document are dealt by their content as well.
+Pieces are dealt over groups by a hash of their row number in a written table; groups are packed apart, and the number of
+groups follows the number of pieces. A group holds about ``GROUP`` pieces of random length, so what its last open sequences waste
+is a small share of it. Nothing a piece holds decides its group, so no key and no repeated row can make a group large.
 
 Null and empty texts are the end token alone. Rows of one document number are packed each for itself. Null document
 numbers are kept. An empty table gives no rows. Other columns are not read.
@@ -128,7 +128,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
 
 def place(cut: DataFrame, n_groups: int, *, capacity: int = CAPACITY) -> DataFrame:
-    """Adds sequence_id and offset to token pieces that have doc_id, piece and length; other columns stay."""
+    """Adds sequence_id and offset to token pieces that have doc_id, piece and length; other columns stay.
+
+    ``cut`` is a table that is written already (a checkpoint, or files): its rows keep their numbers when a task is run again.
+    """
     kinds = cut.schema.fields
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", sequence_id long, offset long"
 
@@ -139,8 +142,9 @@ def place(cut: DataFrame, n_groups: int, *, capacity: int = CAPACITY) -> DataFra
         bins, offsets = sum_of_squares(table.column("length").to_numpy(), capacity)
         return table.append_column("sequence_id", pa.array(bins + (group << 40))).append_column("offset", pa.array(offsets))
 
-    deal = F.pmod(F.xxhash64(*[c for c in ("doc_id", "piece", "ids_crc32") if c in cut.columns]), F.lit(max(1, n_groups)))
-    return cut.withColumn("_group", deal).groupBy("_group").applyInArrow(pack, schema)
+    deal = F.pmod(F.xxhash64("_row"), F.lit(max(1, n_groups)))
+    numbered = cut.withColumn("_row", F.monotonically_increasing_id()).withColumn("_group", deal).drop("_row")
+    return numbered.groupBy("_group").applyInArrow(pack, schema)
 
 
 def pack(docs: DataFrame, *, group: int = GROUP, capacity: int = CAPACITY, **options) -> DataFrame:
