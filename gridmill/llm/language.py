@@ -68,8 +68,8 @@ def learn(docs: DataFrame, learns: Column) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_pydict({"lang": [name] * len(at), "bucket": pa.array(at, pa.int32()), "n": row[at]})
 
     counted = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    known = docs.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if known > MAX_LANGUAGES:  # a null counts as one of them
+    known = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if known > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     table = counted.toArrow()
     languages = sorted(set(table.column("lang").to_pylist()))

@@ -116,6 +116,23 @@ def test_packing_groups_follow_the_pieces(docs):
     assert len(got) > 20 and len(groups) > 1
 
 
+def test_held_out_languages_are_not_counted(spark, monkeypatch):
+    """Only the labels learnt from are bounded."""
+    rows = [(i, prose(i, 30), f"l{i % 3}" if not held(i, 4) else f"x{i}", "s") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    assert {r.lang_pred for r in language.identify(df).collect()} <= {"l0", "l1", "l2"}
+    with pytest.raises(ValueError):
+        language.identify(df.withColumn("lang", df.doc_id.cast("string")))
+
+
+def test_packing_deals_equal_rows(spark):
+    """Rows that are all alike fill as many groups as others."""
+    df = spark.createDataFrame([(7, "one two three")] * 4000, "doc_id long, text string")
+    groups = Counter(r.sequence_id >> 40 for r in packing.pack(df, group=400).collect())
+    assert len(groups) == 10 and max(groups.values()) < 800
+
+
 def test_packing_odd_rows(odd):
     check_packing(packing.pack(odd), [(r.doc_id, r.text) for r in odd.collect()])
     assert packing.pack(odd.limit(0)).collect() == []
