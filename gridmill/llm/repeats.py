@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridmill.llm.textarrays import Texts, chunks, mix, prefix_sums, signed, span_hash
 from gridmill.session import scratch
@@ -193,6 +193,11 @@ def repeats(blobs: list[bytes], length: int, step: int) -> tuple[np.ndarray, np.
     return head["c"][row], a + d1, a + d2 - 1
 
 
+def as_text(kept: str) -> Column:
+    """What is left as text. A cut may fall inside a character; what is left of it shows as the replacement character."""
+    return F.make_valid_utf8(F.col(kept).cast("string"))
+
+
 def removed(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, step: int = STEP) -> DataFrame:
     """doc_id, n_bytes, spans (start and end of maximal removed runs) and kept (remaining bytes) for every row."""
     spark = docs.sparkSession
