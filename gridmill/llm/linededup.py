@@ -3,6 +3,7 @@
 A line counts by its text without white space at its ends; lines without a word are passed over. The window at a line is the
 shortest run of lines from there on that has ``min_words`` words. Its fingerprint is its least line hash, the leftmost of
 equals. Equal runs have equal windows, so every repeated run of ``min_words`` words shares a fingerprint: nothing is missed.
+A line of ``min_words`` words is a window alone, so it goes wherever it stands again, whatever its neighbours are.
 
 1. One pass over the texts selects the fingerprints, each with the windows it stands for. Neighbouring windows mostly share one.
 2. Fingerprints that occur once are dropped by a count; positions of the others are joined.
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridmill.llm.textarrays import Texts, chunks, mix, prefix_sums, signed, span_hash
 
-MIN_WORDS = 10
+#: Shorter lines repeat by chance ("Les."); they go only with their neighbours.
+MIN_WORDS = 4
 
 _U = np.uint64
 

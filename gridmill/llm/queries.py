@@ -87,7 +87,7 @@ LINE_RUNS_SQL = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))
  f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS i, sum(n) OVER (PARTITION BY doc_id ORDER BY no) AS upto
        FROM k WHERE n > 0),
  w AS (SELECT a.doc_id, a.no AS first, a.i, min(b.i) AS j, min(b.no) AS last FROM f a JOIN f b
-       ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 10 GROUP BY 1, 2, 3),
+       ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 4 GROUP BY 1, 2, 3),
  c AS (SELECT w.doc_id, w.first, w.last, string_agg(f.t, chr(10) ORDER BY f.i) AS content
        FROM w JOIN f ON f.doc_id = w.doc_id AND f.i BETWEEN w.i AND w.j GROUP BY 1, 2, 3),
  o AS (SELECT content, doc_id AS od, first AS oa, last AS ob FROM c
