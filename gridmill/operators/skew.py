@@ -29,6 +29,22 @@ def keyed_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return large.join(small, list(on), how)
 
 
+def ahead_of(df: DataFrame, marks: DataFrame | None, by: Sequence[str], field: str) -> DataFrame:
+    """Rows above the mark of their source, and rows of sources without one; ``marks`` holds (by..., field), one row each.
+
+    A plain join in front of whatever orders the rows: old rows go before they are shuffled by order.
+    """
+    if marks is None:
+        return df
+    if not by:
+        mark = marks.agg(F.max(quoted(field))).first()[0]
+        return df if mark is None else df.filter(quoted(field) > F.lit(mark))
+    renamed = marks.select(*[quoted(c).alias(f"_m_{c}") for c in by], quoted(field).alias("_mark"))
+    same = reduce(lambda a, b: a & b, [quoted(c).eqNullSafe(quoted(f"_m_{c}")) for c in by])
+    joined = df.join(renamed, same, "left")
+    return joined.filter(F.col("_mark").isNull() | (quoted(field) > F.col("_mark"))).select(*[quoted(c) for c in df.columns])
+
+
 def ordered_scan(
     df: DataFrame,
     name: str,

@@ -18,15 +18,17 @@ from gridmill.operators.periods import (
     HOUR_KEY, closed_hours_end, slice_last_days, slice_next_days, slice_same_day, trading_hours,
 )
 from gridmill.operators.retention import drop_expired_partitions, expired_objects, purge
-from gridmill.operators.shape import dedup_prefer, union_sources
+from gridmill.operators.shape import current_mark, dedup_prefer, union_sources
+from gridmill.operators.skew import ahead_of
 from gridmill.operators.stations import missing_stations
 from gridmill.schemas import FORECAST_ELEMENTS, GAS_MESSAGE, KELVIN_COLUMNS, LOAD_MESSAGE, weather_parameter
 from gridmill.session import checkpointed
 from gridmill.operators.ingest import as_message, merged_marks, to_publish
-from gridmill.sinks.lake import KEY, publish, read_ledger, write_once
+from gridmill.sinks.lake import KEY, publish, read_ahead, read_ledger, write_once
+from gridmill.sinks.marks import last_row, read_counts, read_marks, write_counts, write_marks, write_row
 from gridmill.sources.forecast import forecast_wide, read_placemarks, read_steps
 from gridmill.sources.lake import path_exists
-from gridmill.streaming.sinks import land_messages, load_incremental, read_marks, write_marks
+from gridmill.streaming.sinks import land_messages, load_incremental
 
 
 # -- transforms ----------------------------------------------------------------------
@@ -153,8 +155,7 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     land_messages(spark, source, schema, values, parts, f"{state}/landed", f"{state}/quarantine", f"{state}/consume")
     stamp = int(as_utc(as_of).timestamp())
     marks = T.StructType([T.StructField("begin", T.TimestampType()), T.StructField("end", T.TimestampType()), T.StructField("batch", T.LongType())])
-    stored = read_marks(spark, f"{state}/closed", stamp, marks)
-    begun = None if stored is None else stored.first()
+    begun = last_row(spark, f"{state}/closed", stamp, marks)
     begin, since = (as_utc(first),) * 2 if begun is None else (begun[c].astimezone(timezone.utc) for c in ("begin", "end"))
     until = max(as_utc(end), since)
     typed = T.StructType([T.StructField("date", T.TimestampType()), *[T.StructField(v, T.FloatType()) for v in values],
@@ -172,7 +173,7 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     last = rows.agg(F.max("batch_id")).first()[0]
     closed = rows.select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
     failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True)
-    write_marks(spark.createDataFrame([(begin, until, seen if last is None else max(last, seen))], marks), f"{state}/closed", stamp)
+    write_row(spark.createDataFrame([(begin, until, seen if last is None else max(last, seen))], marks), f"{state}/closed", stamp)
     return failed
 
 
@@ -195,30 +196,46 @@ SENT = T.StructField("sent", T.LongType())
 def publish_incremental(df: DataFrame, target, state: str, run: int, order: Sequence[str], field: str,
                         fields: Sequence[str], by: Sequence[str] = (), marks: DataFrame | None = None,
                         predicates: Sequence[Column] = ()) -> None:
-    """Send the rows ahead of the stored marks and store the new marks as version ``run``.
-
-    Sending comes first: a run that fails in between sends again. A folder
-    target gets one subfolder per run, which a repeated run replaces. Record
-    numbers go on from run to run. A repeated run starts from the marks and
-    numbers it had; the versions of later runs stay as they are.
+    """Send the rows ahead of the stored marks and store the marks that rise as version ``run``.
+
+    Rows at or below their mark cannot be sent, so they go by a join with the
+    marks before anything is ordered: what is shuffled is what is new. Sending
+    comes first: a run that fails in between sends again. A folder target gets
+    one subfolder per run, which a repeated run replaces. Record numbers go on
+    from run to run. A repeated run starts from the marks and numbers it had;
+    the versions of later runs stay as they are.
     """
     spark = df.sparkSession
-    chosen = df.filter(all_of(*predicates))
     kinds = df.select(*[quoted(c) for c in [*by, field]]).schema
     stored = read_marks(spark, f"{state}/marks", run, kinds)
     before = marks if stored is None else stored
-    counted = T.StructType([*[kinds[c] for c in by], SENT])
-    numbers = read_marks(spark, f"{state}/sent", run, counted)
-    records = checkpointed(to_publish(chosen, order, field, fields, by, before, numbers=numbers))
-    messages = as_message(records)
+    above = ahead_of(df.filter(all_of(*predicates)), before, by, field)
+    numbers = read_counts(spark, f"{state}/sent", run, T.StructType([*[kinds[c] for c in by], SENT]))
+    kept = [*fields, *[c for c in [field] if c not in fields]]
+    records = checkpointed(to_publish(above, order, field, kept, by, numbers=numbers))
+    asked = records.select(*[quoted(c) for c in records.columns if c in {*by, *fields, "key_id"}])
+    messages = as_message(asked) if "date" in asked.columns else asked
     if isinstance(target, str):
         publish(messages, f"{target.rstrip('/')}/run={run}", mode="overwrite")
     else:
         publish(messages, target)
-    new = records.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("sent"))
-    every = new if numbers is None else numbers.unionByName(new)
-    write_marks(every.groupBy(*[quoted(c) for c in by]).agg(F.sum("sent").alias("sent")), f"{state}/sent", run)
-    write_marks(merged_marks(before, chosen, field, by), f"{state}/marks", run)
+    write_counts(records.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("sent")), f"{state}/sent", run)
+    # The newest row of a source is always sent unless the mark is newer.
+    raised = merged_marks(marks, records, field, by) if stored is None else current_mark(records, field, by)
+    write_marks(raised.select(*[quoted(c) for c in kinds.names]), f"{state}/marks", run)
+
+
+def publish_from_lake(spark: SparkSession, lake: str, feed: str, schema: T.StructType, target, state: str, run: int, order: Sequence[str],
+                      field: str, fields: Sequence[str], by: Sequence[str] = (), marks: DataFrame | None = None,
+                      predicates: Sequence[Column] = ()) -> None:
+    """As ``publish_incremental``, from a feed written with ``zones=(by, field)``.
+
+    Only files that may hold something above the marks are read: a run over a history of which little is new reads that little.
+    """
+    kinds = T.StructType([schema[c] for c in [*by, field]])
+    stored = read_marks(spark, f"{state}/marks", run, kinds)
+    rows = read_ahead(spark, lake, feed, schema, marks if stored is None else stored, by, field)
+    publish_incremental(rows, target, state, run, order, field, fields, by, marks, predicates)
 
 
 def cleanup_job(ledger: DataFrame, as_of: datetime, days: int = 7, dry_run: bool = True, **options) -> DataFrame:

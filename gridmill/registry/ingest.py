@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from gridmill.functions.timecols import to_local, with_calendar_parts
 from gridmill.operators import ingest as I
 from gridmill.registry.base import berlin, query
 from gridmill.session import scratch
-from gridmill.plans.jobs import publish_incremental
+from gridmill.plans.jobs import publish_from_lake, publish_incremental
 from gridmill.sinks.lake import write_once
 from gridmill.streaming.sinks import load_incremental, read_loaded
 
@@ -86,6 +87,18 @@ def _(spark, sf):
     return read_loaded(spark, f"{work}/table")
 
 
+@query("load_two_writers", "load_raw", sql=table_sql())
+def _(spark, sf):
+    """Two writers of one feed at once, with hours in common, and a load that finds what both have committed."""
+    lake, work = scratch(spark, "writers-lake"), scratch(spark, "writers")
+    rows = lake_rows(spark, sf)
+    parts = {"a": F.col("period_key") < "2024-01-20", "b": F.col("period_key") >= "2024-01-10"}
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda x: write_once(rows.filter(x[1]), lake, "electricity/load", x[0]), parts.items()))
+    load_incremental(spark, lake, "electricity/load", rows.drop("period_key").schema, f"{work}/table", f"{work}/state", "date", AS_OF)
+    return read_loaded(spark, f"{work}/table")
+
+
 @query("publish_old_run", "publish_raw", sql="""
 , ahead AS (SELECT * FROM (SELECT *, max(date) OVER (PARTITION BY source_id ORDER BY seq
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM publish_raw) WHERE top IS NULL OR date > top)
@@ -122,6 +135,27 @@ def _(spark, sf):
     return spark.read.text(f"{folder}/sent").select(F.from_json("value", schema).alias("m")).select("m.*")
 
 
+@query("publish_from_lake", "publish_raw", sql="""
+, late AS (SELECT *, date >= TIMESTAMP '1996-01-01' AS second FROM publish_raw),
+  ahead AS (SELECT * FROM (SELECT *, max(date) OVER (PARTITION BY source_id ORDER BY second, seq
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM late) WHERE top IS NULL OR date > top)
+SELECT source_id, strftime(date, '%Y-%m-%d %H:%M:%S') || '+00:00' AS date, load,
+       'record_' || CAST(row_number() OVER (PARTITION BY source_id ORDER BY second, seq) - 1 AS VARCHAR) AS key_id FROM ahead""")
+def _(spark, sf):
+    """Two batches of a lake feed, a run after each: the second run reads the files that zones and marks leave."""
+    folder, lake = scratch(spark, "publish-from-lake"), scratch(spark, "publish-lake")
+    rows = feeds.publish_raw(spark, sf)
+    # Folders by month: years of orders in one batch.
+    keyed = rows.withColumn("period_key", F.concat_ws("-", F.date_format("date", "yyyy-MM-'01'"), "source_id", "seq"))
+    second = F.col("date") >= F.lit("1996-01-01").cast("timestamp")
+    for run, part in enumerate((~second, second)):
+        write_once(keyed.filter(part), lake, "history", f"b{run}", zones=(["source_id"], "date"))
+        publish_from_lake(spark, lake, "history", rows.schema, f"{folder}/sent", f"{folder}/marks", run, ["seq"], "date",
+                          ["date", "load"], ["source_id"])
+    schema = "source_id BIGINT, date STRING, load DOUBLE, key_id STRING"
+    return spark.read.text(f"{folder}/sent").select(F.from_json("value", schema).alias("m")).select("m.*")
+
+
 @query("merged_marks", "publish_raw", sql="""
 SELECT source_id, greatest(max(date), TIMESTAMP '1997-01-01') AS date FROM publish_raw GROUP BY source_id""")
 def _(spark, sf):

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from gridmill.functions.columns import to_json_value
+from gridmill.functions.columns import quoted, to_json_value
 from gridmill.functions.timecols import instant
-from gridmill.operators.skew import keyed_join
+from gridmill.operators.skew import ahead_of, keyed_join
 from gridmill.schemas import LEDGER
+from gridmill.sinks.commits import ABANDONED, BATCH as COMMITTED, CommitLog
 from gridmill.sources.lake import (
     data_path, delete_folder, delete_matching, escaped, folders, make_folder, meta_path, path_exists,
 )
@@ -33,8 +36,12 @@ def balanced(df: DataFrame, *cols: str) -> DataFrame:
 # A lake feed is laid out as data/<feed>/period=<day>/batch_id=<batch>/*.parquet.
 # Which keys are taken is kept beside it as claims/period=<day>/batch_id=<batch>,
 # so that keys may be finer than folders: many hours or stations share the files
-# of a day. A batch reads the claims of its own days only. done/<batch> says that
-# a batch is whole; what has no such mark is no part of the lake.
+# of a day. A batch reads the claims of its own days only. The commit log says
+# which batches are whole; what it does not name is no part of the lake.
+
+#: Seconds after which a batch that has not been committed is given up, unless its writer says otherwise.
+LEASE = 6 * 3600
+
 
 def read_claims(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,),
                 days: Sequence[str] | None = None) -> DataFrame:
@@ -45,7 +52,9 @@ def read_claims(spark: SparkSession, lake: str, feed: str, key: Sequence[str] =
     if not paths:
         return spark.createDataFrame([], schema)
     stored = T.StructType([*schema.fields, T.StructField("period", T.StringType())])
-    return spark.read.schema(stored).option("basePath", path).parquet(*paths).select(*key, BATCH)
+    claims = spark.read.schema(stored).option("basePath", path).parquet(*paths)
+    live = CommitLog(spark, lake, feed).live(days).select(BATCH, "period")
+    return claims.join(live, [BATCH, "period"], "left_semi").select(*key, BATCH)
 
 
 def _claimed(spark: SparkSession, lake: str, feed: str, days: Sequence[str] | None) -> list[str]:
@@ -56,42 +65,71 @@ def _claimed(spark: SparkSession, lake: str, feed: str, days: Sequence[str] | No
     return [p for p in (f"{path}/period={escaped(d)}" for d in days) if path_exists(spark, p)]
 
 
-def existing_keys(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,)) -> DataFrame:
-    """Keys that are already in the lake."""
-    return read_claims(spark, lake, feed, key).select(*key).distinct()
+def existing_keys(spark: SparkSession, lake: str, feed: str, key: Sequence[str] = (KEY,),
+                  days: Sequence[str] | None = None) -> DataFrame:
+    """Keys that are already in the lake, of all days or of the given ones."""
+    return read_claims(spark, lake, feed, key, days).select(*key).distinct()
 
 
 def is_done(spark: SparkSession, lake: str, feed: str, batch_id: str) -> bool:
-    return path_exists(spark, f"{meta_path(lake, feed, 'done')}/{BATCH}={escaped(batch_id)}")
+    return CommitLog(spark, lake, feed).holds(batch_id)
+
 
+def _folder(lake: str, feed: str, kind: str, day: str, batch_id: str) -> str:
+    base = data_path(lake, feed) if kind == "data" else meta_path(lake, feed, kind)
+    return f"{base}/period={escaped(day)}/{BATCH}={escaped(batch_id)}"
 
-def _remove_unfinished(spark: SparkSession, lake: str, feed: str, batch_id: str) -> None:
-    """Delete what batches that died before their end have left in the lake. Only batches under way are listed."""
-    for name in folders(spark, meta_path(lake, feed, "started")):
-        if name == f"{BATCH}={escaped(batch_id)}":
+
+def _remove_abandoned(spark: SparkSession, lake: str, feed: str, log: CommitLog, own: str) -> None:
+    """Give up batches whose writers have died, and delete what they left. Only batches under way are listed.
+
+    Giving up is a commit. Either it comes first and the writer, should it live after all, finds it and stops; or
+    the batch comes first and stays.
+    """
+    marks = meta_path(lake, feed, "started")
+    for name in folders(spark, marks):
+        batch_id = unquote(name.removeprefix(f"{BATCH}="))
+        until = [int(x.removeprefix("until=")) for x in folders(spark, f"{marks}/{name}") if x.startswith("until=")]
+        if batch_id == own or max(until, default=0) > time.time():
             continue
-        if not path_exists(spark, f"{meta_path(lake, feed, 'done')}/{name}"):
-            delete_matching(spark, f"{data_path(lake, feed)}/period=*/{name}")
-            delete_matching(spark, f"{meta_path(lake, feed, 'claims')}/period=*/{name}")
-        delete_folder(spark, f"{meta_path(lake, feed, 'started')}/{name}")
+        last = log.last()
+        holds = log.holds(batch_id)
+        while not holds:
+            number, others = log.append({"kind": ABANDONED, "batch_id": batch_id, "days": []}, last)
+            if number is not None:
+                delete_matching(spark, f"{data_path(lake, feed)}/period=*/{name}")
+                delete_matching(spark, f"{meta_path(lake, feed, 'claims')}/period=*/{name}")
+                break
+            last = others[-1]["number"]
+            holds = any(c["batch_id"] == batch_id and c["kind"] == COMMITTED for c in others)
+        delete_folder(spark, f"{marks}/{name}")
 
 
 def write_once(df: DataFrame, lake: str, feed: str, batch_id: str, key: Sequence[str] = (KEY,),
-               keep_late: bool = False) -> DataFrame:
+               keep_late: bool = False, zones: tuple[Sequence[str], str] | None = None, lease: int = LEASE) -> DataFrame:
     """Write the rows of every key that no earlier batch has written.
 
     ``period_key`` starts with its day, which names the folder; ``key`` lists
     the (text) columns that make a key. Rows for keys of earlier batches are
     dropped; ``keep_late`` counts them per key. Data goes first, then the claims
-    taken from the files written, then the mark that the batch is done: a batch
-    that is repeated replaces its own files only, and what a dead batch left
-    behind is removed by the next one. One writer per feed. Returns the keys of
-    this batch.
+    taken from the files written, then the commit. A batch that is repeated
+    replaces its own files only.
+
+    Any number of writers may share a feed. The order of commits decides: who
+    finds others before it drops the keys they have taken, whatever was written
+    by then, and tries again. A batch not committed within ``lease`` seconds
+    counts as dead, and what it left is removed by the next writer.
+
+    ``zones`` (columns that name a source, and a field) keeps the field's range
+    by file and source, with which ``read_ahead`` finds files. Returns the keys
+    of this batch.
     """
     spark = df.sparkSession
-    _remove_unfinished(spark, lake, feed, batch_id)
+    log = CommitLog(spark, lake, feed)
+    _remove_abandoned(spark, lake, feed, log, batch_id)
     started = f"{meta_path(lake, feed, 'started')}/{BATCH}={escaped(batch_id)}"
-    make_folder(spark, started)
+    make_folder(spark, f"{started}/until={int(time.time()) + lease}")
+    last = log.last()
 
     placed = df.withColumn("period", F.substring(KEY, 1, 10))
     # The days of a batch: its slice, not its rows.
@@ -100,18 +138,87 @@ def write_once(df: DataFrame, lake: str, feed: str, batch_id: str, key: Sequence
     # Days without any claim need no join, and so no shuffle by key.
     known = bool(_claimed(spark, lake, feed, days))
     fresh = (keyed_join(placed, earlier, key, "left_anti") if known else placed).withColumn(BATCH, F.lit(batch_id))
-    overwrite_partitions(balanced(fresh, "period"), data_path(lake, feed), "period", BATCH)
+    _write_batch(fresh, lake, feed, batch_id, key, days, df.schema, zones)
     if keep_late:
-        late = keyed_join(df, earlier, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("late_rows"))
-        late.write.mode("overwrite").parquet(f"{meta_path(lake, feed, 'late')}/{BATCH}={batch_id}")
-    claims = _written(spark, lake, feed, batch_id, days, df.schema).select(*key, "period").distinct()
-    overwrite_partitions(claims.withColumn(BATCH, F.lit(batch_id)), meta_path(lake, feed, "claims"), "period", BATCH)
-
-    make_folder(spark, f"{meta_path(lake, feed, 'done')}/{BATCH}={escaped(batch_id)}")
+        _count_late(keyed_join(df, earlier, key, "left_semi"), lake, feed, batch_id, key)
+
+    while True:
+        written = [d for d in days if path_exists(spark, _folder(lake, feed, "data", d, batch_id))]
+        number, others = log.append({"kind": COMMITTED, "batch_id": batch_id, "days": written}, last)
+        if number is not None:
+            break
+        last = others[-1]["number"]
+        if any(c["kind"] == ABANDONED and c["batch_id"] == batch_id for c in others):
+            raise RuntimeError(f"batch {batch_id} of {feed} was not committed in time and has been given up; run it again")
+        rivals = {c["batch_id"]: c["days"] for c in others if c["kind"] == COMMITTED and c["batch_id"] != batch_id}
+        shared = [d for d in written if any(d in x for x in rivals.values())]
+        taken = read_claims(spark, lake, feed, key, shared).filter(F.col(BATCH).isin(list(rivals))).select(*key).distinct()
+        own = _own_claims(spark, lake, feed, batch_id, key, shared)
+        lost = [r[0] for r in keyed_join(own, taken, key, "left_semi").select("period").distinct().collect()]
+        if not lost:
+            continue
+        # The keys that others were first to commit are theirs: the days in question are written again without them.
+        left = [r[0] for r in keyed_join(own, taken, key, "left_anti").filter(F.col("period").isin(lost)).select("period").distinct().collect()]
+        for day in set(lost) - set(left):
+            delete_folder(spark, _folder(lake, feed, "data", day, batch_id))
+            delete_folder(spark, _folder(lake, feed, "claims", day, batch_id))
+        again = keyed_join(fresh.filter(F.col("period").isin(left)), taken, key, "left_anti")
+        _write_batch(again, lake, feed, batch_id, key, left, df.schema, zones, written)
+        if keep_late:
+            before = read_claims(spark, lake, feed, key, days).filter(F.col(BATCH) != batch_id).select(*key).distinct()
+            _count_late(keyed_join(df, before, key, "left_semi"), lake, feed, batch_id, key)
     delete_folder(spark, started)
     return read_claims(spark, lake, feed, key, days).filter(F.col(BATCH) == batch_id).select(*key)
 
 
+def _write_batch(fresh: DataFrame, lake: str, feed: str, batch_id: str, key: Sequence[str], days: Sequence[str], schema: T.StructType,
+                 zones: tuple[Sequence[str], str] | None, all_days: Sequence[str] | None = None) -> None:
+    """Data of some days, then their claims, then the zones of the whole batch, each taken from the files written."""
+    spark = fresh.sparkSession
+    overwrite_partitions(balanced(fresh, "period"), data_path(lake, feed), "period", BATCH)
+    claims = _written(spark, lake, feed, batch_id, days, schema).select(*key, "period").distinct()
+    overwrite_partitions(claims.withColumn(BATCH, F.lit(batch_id)), meta_path(lake, feed, "claims"), "period", BATCH)
+    if zones:
+        by, field = zones
+        rows = _written(spark, lake, feed, batch_id, days if all_days is None else all_days, schema)
+        found = rows.groupBy(F.col("_metadata.file_path").alias("file_path"), *[quoted(c) for c in by]).agg(
+            F.min(quoted(field)).alias("low"), F.max(quoted(field)).alias("high"), F.count(F.lit(1)).alias("rows"))
+        found.write.mode("overwrite").parquet(f"{meta_path(lake, feed, 'zones')}/{BATCH}={escaped(batch_id)}")
+
+
+def _own_claims(spark: SparkSession, lake: str, feed: str, batch_id: str, key: Sequence[str], days: Sequence[str]) -> DataFrame:
+    """Keys and days that a batch has written, committed or not."""
+    stored = T.StructType([T.StructField(c, T.StringType()) for c in [*key, "period", BATCH]])
+    paths = [p for p in (_folder(lake, feed, "claims", d, batch_id) for d in days) if path_exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], stored)
+    return spark.read.schema(stored).option("basePath", meta_path(lake, feed, "claims")).parquet(*paths)
+
+
+def _count_late(late: DataFrame, lake: str, feed: str, batch_id: str, key: Sequence[str]) -> None:
+    late.groupBy(*key).agg(F.count(F.lit(1)).alias("late_rows")).write.mode("overwrite") \
+        .parquet(f"{meta_path(lake, feed, 'late')}/{BATCH}={escaped(batch_id)}")
+
+
+def read_ahead(spark: SparkSession, lake: str, feed: str, schema: T.StructType, marks: DataFrame | None, by: Sequence[str], field: str) -> DataFrame:
+    """Rows of the files that may hold something above the marks, by the zones kept when they were written.
+
+    A file is read if one of its sources has no mark or a higher value than it. Batches written without zones are read whole.
+    """
+    live = CommitLog(spark, lake, feed).live()
+    path = meta_path(lake, feed, "zones")
+    fields = [*[schema[c] for c in by], T.StructField("low", schema[field].dataType), T.StructField("high", schema[field].dataType)]
+    kept = T.StructType([T.StructField("file_path", T.StringType()), *fields, T.StructField(BATCH, T.StringType())])
+    zoned = spark.read.schema(kept).parquet(path) if folders(spark, path) else spark.createDataFrame([], kept)
+    mine = zoned.join(live.select(BATCH).distinct(), BATCH, "left_semi")
+    open_ = ahead_of(mine, None if marks is None else marks.withColumnRenamed(field, "high"), by, "high")
+    # Names of the files to read, which the scan holds on the driver in any case.
+    paths = [r[0] for r in open_.select("file_path").distinct().collect()]
+    whole = live.join(zoned.select(BATCH).distinct(), BATCH, "left_anti").collect()
+    paths += [_folder(lake, feed, "data", r["period"], r[BATCH]) for r in whole]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def batch_objects(spark: SparkSession, lake: str, feed: str, batch_id: str) -> DataFrame:
     """The objects of a batch: path, size, time."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")

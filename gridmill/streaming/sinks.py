@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmill.functions.columns import quoted, warehouse_cast
-from gridmill.operators.ingest import merged_marks, unprocessed
+from gridmill.operators.ingest import merged_marks
 from gridmill.operators.ordered import advance_only
 from gridmill.operators.quality import check_partition_column
-from gridmill.operators.skew import keyed_join
+from gridmill.operators.shape import current_mark
+from gridmill.operators.skew import ahead_of, keyed_join
 from gridmill.session import checkpointed
+from gridmill.sinks.commits import CommitLog, read_position, write_position
 from gridmill.sinks.lake import (
-    BATCH, KEY, balanced, batch_objects, is_done, load_partitioned, overwrite_partitions, read_ledger, record_processed, write_once,
+    BATCH, KEY, balanced, load_partitioned, overwrite_partitions, record_processed, write_once,
 )
-from gridmill.sources.lake import PANDAS_INDEX, data_path, delete_folder, escaped, folders, list_objects, path_exists
+from gridmill.sinks.marks import read_marks, write_marks
+from gridmill.sources.lake import PANDAS_INDEX, data_path, delete_folder, escaped, path_exists
 from gridmill.sources.messages import checked, message_stream, parse_messages
 from gridmill.streaming.feeds import start, typed_messages
 
@@ -50,48 +53,26 @@ def stream_write_once(stream: DataFrame, lake: str, feed: str, checkpoint: str,
 
 # -- high-water mark ---------------------------------------------------------------
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(n.removeprefix("version=")) for n in folders(spark, path) if n.startswith("version="))
-
-
-def read_marks(spark: SparkSession, path: str, version: int, schema: T.StructType) -> DataFrame | None:
-    """The marks stored before ``version``.
-
-    They are those of the version before as a rule, so nothing is listed then.
-    All versions are kept: whoever asks for a version after others were stored
-    gets the marks it had at first.
-    """
-    before = version - 1
-    if not path_exists(spark, f"{path}/version={before}"):
-        earlier = [v for v in _versions(spark, path) if v < version]
-        if not earlier:
-            return None
-        before = earlier[-1]
-    return spark.read.schema(schema).parquet(f"{path}/version={before}")
-
-
-def write_marks(marks: DataFrame, path: str, version: int) -> None:
-    """Store the marks as a version."""
-    marks.write.mode("overwrite").parquet(f"{path}/version={version}")
-
-
 def stream_advance_only(stream: DataFrame, out: str, state: str, checkpoint: str, order: Sequence[str], field: str,
                         by: Sequence[str], marks: DataFrame | None = None, splits: int | None = None,
                         every: str | None = None) -> StreamingQuery:
     """Rows ahead of their source's mark, across batches and restarts.
 
-    The marks after batch n are stored as version n, so a repeated batch
-    starts from the same marks. Sources share the work of a batch even when
-    one of them holds most of its rows.
+    The marks that batch n raises are stored as version n, so a repeated batch
+    starts from the same marks, and a batch writes marks of its own sources
+    only. Sources share the work of a batch even when one of them holds most of
+    its rows; rows that are not above their mark go before the rest is ordered.
     """
     mark_schema = T.StructType([stream.schema[c] for c in [*by, field]])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = read_marks(batch.sparkSession, state, batch_id, mark_schema)
         before = marks if stored is None else stored
-        ahead = advance_only(batch, order, field, by, before, splits=splits)
+        above = ahead_of(batch, before, by, field)
+        ahead = advance_only(above, order, field, by, splits=splits)
         overwrite_partitions(ahead.withColumn("batch_id", F.lit(batch_id)), out, "batch_id")
-        write_marks(merged_marks(before, batch, field, by), state, batch_id)
+        raised = merged_marks(marks, above, field, by) if stored is None else current_mark(above, field, by)
+        write_marks(raised.select(*mark_schema.names), state, batch_id)
 
     return for_each_batch(stream, checkpoint, handle, every)
 
@@ -135,30 +116,26 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FAILURES).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], FAILURES)
 
 
-def open_batches(spark: SparkSession, lake: str, prefix: str, ledger: str) -> list[str]:
-    """Finished lake batches with objects that the ledger does not hold, oldest object first."""
-    objects = list_objects(spark, lake, prefix.rstrip("/") + "/").select(F.col("path").alias("s3_key"), "modificationTime")
-    left = unprocessed(objects, read_ledger(spark, ledger)).withColumn(BATCH, F.url_decode(F.regexp_extract("s3_key", f"/{BATCH}=([^/]+)/", 1)))
-    # One row per batch under way, not per object.
-    rows = left.filter(F.col(BATCH) != "").groupBy(BATCH).agg(F.min("modificationTime").alias("first")).orderBy("first", BATCH).collect()
-    return [r[BATCH] for r in rows if is_done(spark, lake, prefix, r[BATCH])]
-
-
 def load_batch(spark: SparkSession, lake: str, prefix: str, batch_id: str, schema: T.StructType, table: str, ledger: str,
-               partition_col: str, at: datetime, failures: str | None = None) -> None:
-    """Load one lake batch as one load, whose id is that of the feed and the batch.
+               partition_col: str, at: datetime, failures: str | None = None, days: Sequence[str] | None = None) -> int:
+    """Load one lake batch as one load, whose id is that of the feed and the batch; returns the number of objects that failed.
 
     A batch that is loaded again, because it was written again or an object was
     repaired, replaces its own rows. Objects that cannot be read, or hold no
     usable date, year or month, are left out, not recorded, and listed in
-    ``failures``; so the next run tries them again.
+    ``failures``; so the next run tries them again. ``days`` are the batch's, by its commit.
     """
     load_id = f"{prefix.strip('/').replace('/', '.')}-{batch_id}"
-    objects = [r["path"] for r in batch_objects(spark, lake, prefix, batch_id).select("path").collect()]
+    base = data_path(lake, prefix)
+    if days is None:
+        days = [r["period"] for r in CommitLog(spark, lake, prefix).live().filter(F.col(BATCH) == batch_id).collect()]
+    paths = [p for p in (f"{base}/period={escaped(d)}/{BATCH}={escaped(batch_id)}" for d in days) if path_exists(spark, p)]
+    if not paths:
+        return 0
     # Damaged files give no rows here; they show as objects without any row.
-    rows = (spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*objects)
+    rows = (spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*paths)
             .drop(PANDAS_INDEX).select("*", F.col("_metadata.file_path").alias("s3_key")))
-    listed = spark.createDataFrame([(o,) for o in objects], "s3_key string")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths).select(F.col("path").alias("s3_key"))
     plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")  # noqa: E731  file:/x and file:///x are one name
     audit = rows.groupBy(plain("s3_key").alias("name")).agg(
         F.count(quoted(partition_col)).alias("dates"), F.count("year").alias("years"), F.count("month").alias("months"))
@@ -166,43 +143,69 @@ def load_batch(spark: SparkSession, lake: str, prefix: str, batch_id: str, schem
               .when((F.col("years") == 0) | (F.col("months") == 0), "no year or month"))
     audited = checkpointed(listed.withColumn("name", plain("s3_key")).join(audit, "name", "left").select("s3_key", "name", reason.alias("reason")))
     bad = audited.filter(F.col("reason").isNotNull())
-    good = keyed_join(rows.withColumn("name", plain("s3_key")), bad.select("name"), ["name"], "left_anti").drop("s3_key", "name")
-    load_partitioned(warehouse_cast(good, partition_col), table, partition_col, load_id)
+    failed = bad.count()
+    good = keyed_join(rows.withColumn("name", plain("s3_key")), bad.select("name"), ["name"], "left_anti") if failed else rows.withColumn("name", F.lit(""))
+    load_partitioned(warehouse_cast(good.drop("s3_key", "name"), partition_col), table, partition_col, load_id)
     if failures:
         delete_folder(spark, f"{failures}/load_id={escaped(load_id)}")
         overwrite_partitions(bad.select("s3_key", "reason").withColumn("load_id", F.lit(load_id)), failures, "load_id")
     record_processed(ledger, audited.filter(F.col("reason").isNull()), at, load_id)
+    return failed
+
+
+def position_path(ledger: str) -> str:
+    """Where the loads of a ledger keep how far they have come."""
+    return f"{ledger.rstrip('/')}-position"
 
 
 def load_open(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, ledger: str, partition_col: str,
               at: datetime, failures: str | None = None, max_batches: int | None = None) -> list[str]:
-    """Load the open batches one after the other; ``max_batches`` leaves the rest to the next run. Returns their names."""
+    """Load what has been committed since the run before, and again the batches with objects that failed.
+
+    ``max_batches`` leaves the rest to the next run. Returns the names of the batches loaded. The commits behind the run's
+    position are all that is looked at, and the position moves on batch by batch.
+    """
     check_partition_column(schema, partition_col)
-    chosen = open_batches(spark, lake, prefix, ledger)[:max_batches]
-    for batch_id in chosen:
-        load_batch(spark, lake, prefix, batch_id, schema, table, ledger, partition_col, at, failures)
-    return chosen
+    place = position_path(ledger)
+    position = read_position(spark, place)
+    again = {b: days for b, days in position["again"]}
+    queue = [(b, days, None) for b, days in again.items()]
+    queue += [(c["batch_id"], c["days"], c["number"]) for c in CommitLog(spark, lake, prefix).after(position["number"])]
+    newest = {b: i for i, (b, _, _) in enumerate(queue)}
+    loaded: list[str] = []
+    for i, (batch_id, days, number) in enumerate(queue):
+        if newest[batch_id] == i:
+            if max_batches is not None and len(loaded) >= max_batches:
+                break
+            failed = load_batch(spark, lake, prefix, batch_id, schema, table, ledger, partition_col, at, failures, days)
+            again.pop(batch_id, None)
+            if failed:
+                again[batch_id] = days
+            loaded.append(batch_id)
+        # A batch that was committed again is loaded once, at its newest commit.
+        position = {"number": position["number"] if number is None else number, "again": list(again.items())}
+        write_position(spark, place, position)
+    return loaded
 
 
 def stream_load_files(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, ledger: str,
                       checkpoint: str, partition_col: str, at: datetime, failures: str | None = None,
                       max_files: int | None = None, every: str | None = None) -> StreamingQuery:
-    """Load lake batches as their objects appear.
+    """Load lake batches as they are committed.
 
-    The stream sees names only; the ledger and the marks of finished batches
-    decide what is loaded. So a damaged object stops nothing, and a new
-    checkpoint loads nothing twice.
+    The stream sees commits only, and the position of the loads decides what is
+    loaded. So a damaged object stops nothing, a new checkpoint loads nothing
+    twice, and the objects of the feed are never listed.
     """
     check_partition_column(schema, partition_col)
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         load_open(batch.sparkSession, lake, prefix, schema, table, ledger, partition_col, at, failures)
 
-    names = reader.schema("path string, modificationTime timestamp, length long, content binary").load(data_path(lake, prefix)).select("path")
-    return for_each_batch(names, checkpoint, handle, every)
+    return for_each_batch(reader.load(CommitLog(spark, lake, prefix).path), checkpoint, handle, every)
 
 
 def load_incremental(spark: SparkSession, lake: str, prefix: str, schema: T.StructType, table: str, state: str,
