@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridmill import feeds
 from gridmill.feeds import AS_OF
+from gridmill.functions.timecols import iso_text
 from gridmill.registry import feeds as files
 from gridmill.registry.base import query
 from gridmill.registry.ingest import lake_rows, table_sql
@@ -15,7 +16,10 @@ from gridmill.session import scratch
 from gridmill.sinks.lake import late_counts, publish, write_once
 from gridmill.sources.lake import read_lake
 from gridmill.sources.messages import RAW, read_messages
+from gridmill.sources.topic import commit_group
 from gridmill.streaming import feeds as T, sinks as K
+from gridmill.streaming.highwater import stream_high_water
+from gridmill.streaming.hours import stream_hours
 
 
 @query("stream_read_messages", "load_raw", sql="""
@@ -47,6 +51,39 @@ def _(spark, sf):
     return spark.read.parquet(f"{work}/out")
 
 
+@query("stream_load_with_bad", "load_raw", sql=f"""
+, l AS (SELECT date_trunc('second', date) AS date, load, key_id, area FROM load_raw)
+SELECT date, CAST(load AS FLOAT) AS load, {_PARTS}, NULL AS problem, NULL AS message FROM l WHERE area NOT IN ('error', 'click')
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no such JSON object', '{{"date": "' || strftime(date, '%Y-%m-%d %H:%M:%S') FROM l WHERE area = 'error'
+UNION ALL SELECT date, NULL, {_PARTS}, 'no value in load', '{{"date":"' || strftime(date, '%Y-%m-%d %H:%M:%S') || '+00:00"}}' FROM l WHERE area = 'click'""")
+def _(spark, sf):
+    """Good messages and bad ones in one stream: nothing is lost on the way."""
+    work = scratch(spark, "load-with-bad")
+    rows = feeds.load_raw(spark, sf).withColumn("date", F.date_trunc("second", "date"))
+    files.load_messages(spark, sf, f"{work}/in", rows.filter("area NOT IN ('error', 'click')"))
+    stamp = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
+    rows.filter("area = 'error'").select(F.concat(F.lit('{"date": "'), stamp).alias("value")).write.mode("append").text(f"{work}/in")
+    rows.filter("area = 'click'").select(F.concat(F.lit('{"date":"'), stamp, F.lit('+00:00"}')).alias("value")).write.mode("append").text(f"{work}/in")
+    T.to_files(T.stream_load(spark, f"{work}/in", bad="keep"), f"{work}/out", f"{work}/checkpoint")
+    return spark.read.parquet(f"{work}/out")
+
+
+@query("stream_topic", "load_raw", sql=f"""
+SELECT reader, date, CAST(load AS FLOAT) AS load, {_PARTS} FROM load_raw, (VALUES ('one'), ('two')) r(reader)""")
+def _(spark, sf):
+    """A topic read by two consumer groups, the first of them between deliveries and then with a new checkpoint."""
+    work = scratch(spark, "topic").removeprefix("file://").replace("file:/", "/")
+    rows = feeds.load_raw(spark, sf)
+    records = rows.select(iso_text("date").alias("date"), "load", "key_id", "area")
+    for n, part in enumerate(("area <> 'error'", "area = 'error'")):
+        publish(records.filter(part).drop("area"), {"topic": f"{work}/topic"})
+        read = T.to_files(T.stream_load(spark, {"topic": f"{work}/topic", "group": "one"}), f"{work}/out/reader=one/part={n}", f"{work}/one-{n}")
+        commit_group(read, f"{work}/topic", "one")
+    T.to_files(T.stream_load(spark, {"topic": f"{work}/topic", "group": "two"}), f"{work}/out/reader=two/part=0", f"{work}/two")
+    parts = [spark.read.parquet(f"{work}/out/reader={r}/part={n}").withColumn("reader", F.lit(r)) for r, n in (("one", 0), ("one", 1), ("two", 0))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("stream_gas", "gas_raw", sql=f"""
 SELECT date, CAST(open_price AS FLOAT) AS open_price, CAST(close_price AS FLOAT) AS close_price, {_PARTS} FROM gas_raw""")
 def _(spark, sf):
@@ -87,6 +124,28 @@ def _(spark, sf):
     return spark.read.parquet(f"{work}/out")
 
 
+@query("stream_hours_with_late", "load_raw", sql="""
+, h AS (SELECT date_trunc('hour', date) AS hour_start, CAST(load AS DECIMAL(18,2)) AS load, area = 'error' AS second FROM load_raw),
+  w AS (SELECT (max(date) FILTER (WHERE area <> 'error')) - INTERVAL 1 HOUR AS first, max(date) - INTERVAL 1 HOUR AS last FROM load_raw),
+  r AS (SELECT h.*, second AND hour_start + INTERVAL 1 HOUR <= first AS late, last FROM h, w)
+SELECT hour_start, CAST(count_if(NOT late) AS BIGINT) AS rows, CAST(count_if(late) AS BIGINT) AS late_rows,
+       coalesce(CAST(sum(load) FILTER (WHERE NOT late) AS DOUBLE), 0) AS load
+FROM r WHERE late OR hour_start + INTERVAL 1 HOUR <= last GROUP BY hour_start""")
+def _(spark, sf):
+    """Two deliveries: of the second, what belongs to hours closed by then is given as late."""
+    work = scratch(spark, "hours-with-late")
+    rows = feeds.load_raw(spark, sf).select("date", "load", "area")
+    for part in ("area <> 'error'", "area = 'error'"):
+        rows.filter(part).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{work}/in")
+        T.to_files(stream_hours(stream, "date", "load"), f"{work}/out", f"{work}/checkpoint")
+    found = spark.read.parquet(f"{work}/out")
+    return found.groupBy("hour_start").agg(
+        F.coalesce(F.sum(F.when(~F.col("late"), F.col("rows"))), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("late"), F.col("rows"))), F.lit(0)).alias("late_rows"),
+        F.coalesce(F.sum(F.when(~F.col("late"), F.col("load"))), F.lit(0.0)).alias("load"))
+
+
 @query("stream_write_once", "load_raw", sql="""
 , keyed AS (SELECT area = 'error' AS second, strftime((date AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin',
                    '%Y-%m-%d-%H') AS period_key FROM load_raw),
@@ -122,6 +181,19 @@ def _(spark, sf):
     return spark.read.parquet(f"{work}/out").drop("batch_id")
 
 
+@query("stream_high_water", "publish_raw", sql=ADVANCE_SQL.format(where=""))
+def _(spark, sf):
+    """The marks as keyed state: two deliveries in order, the second after a restart."""
+    work = scratch(spark, "stream-high-water")
+    rows = feeds.publish_raw(spark, sf)
+    early = F.col("seq") <= F.lit(rows.agg(F.expr("max(seq) div 2")).first()[0])
+    for part in (early, ~early):
+        rows.filter(part).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{work}/in")
+        T.to_files(stream_high_water(stream, ["seq"], "date", ["source_id"]), f"{work}/out", f"{work}/checkpoint")
+    return spark.read.parquet(f"{work}/out").drop("notice")
+
+
 @query("stream_load_files", "load_raw", sql=table_sql())
 def _(spark, sf):
     lake, work = scratch(spark, "load-files-lake"), scratch(spark, "load-files")

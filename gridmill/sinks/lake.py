@@ -17,6 +17,7 @@ from gridmill.sinks.commits import ABANDONED, BATCH as COMMITTED, CommitLog
 from gridmill.sources.lake import (
     data_path, delete_folder, delete_matching, escaped, folders, make_folder, meta_path, path_exists,
 )
+from gridmill.sources.topic import register
 
 KEY = "period_key"
 BATCH = "batch_id"
@@ -288,10 +289,12 @@ def record_processed(path: str, keys: DataFrame, at: datetime, load_id: str) ->
 # -- messages and files --------------------------------------------------------------
 
 def publish(df: DataFrame, target: str | Mapping, mode: str = "append") -> None:
-    """One JSON message per row, to a folder or to a topic given by its writer options."""
+    """One JSON message per row, to a folder of files, a topic in a folder (``{"topic": path}``) or one of a broker, by its writer options."""
     messages = to_json_value(df)
     if isinstance(target, str):
         messages.write.mode(mode).text(target)
+    elif "topic" in target:
+        messages.write.format(register(df.sparkSession)).mode("append").options(**target).save()
     else:
         messages.write.format("kafka").options(**target).save()
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gridmill.functions.timecols import parse_iso
+from gridmill.sources.topic import register
 
 RAW = "_raw"
 
@@ -14,15 +15,18 @@ RAW = "_raw"
 def message_stream(spark: SparkSession, source: str | Mapping, max_per_trigger: int | None = None) -> DataFrame:
     """Raw message text as a streaming table with one column ``value``.
 
-    ``source`` is a folder of message files, or the options of a topic
-    (``{"kafka.bootstrap.servers": ..., "subscribe": ...}``), which is read
-    from its earliest offset and then from the checkpoint.
+    ``source`` is a folder of message files, or the options of a topic: one in
+    a folder (``{"topic": path, "group": name}``) or of a broker
+    (``{"kafka.bootstrap.servers": ..., "subscribe": ...}``). A topic is read
+    from its group's or the earliest offset and then from the checkpoint.
     """
     if isinstance(source, str):
         reader = spark.readStream.format("text")
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
         return reader.load(source)
+    if "topic" in source:
+        return spark.readStream.format(register(spark)).options(**source).load().select("value")
     reader = spark.readStream.format("kafka").option("startingOffsets", "earliest")
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)

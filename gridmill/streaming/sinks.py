@@ -23,6 +23,7 @@ from gridmill.sinks.lake import (
 from gridmill.sinks.marks import read_marks, write_marks
 from gridmill.sources.lake import PANDAS_INDEX, data_path, delete_folder, escaped, path_exists
 from gridmill.sources.messages import checked, message_stream, parse_messages
+from gridmill.sources.topic import commit_group
 from gridmill.streaming.feeds import start, typed_messages
 
 
@@ -99,7 +100,10 @@ def land_messages(spark: SparkSession, source: str | Mapping, schema: T.StructTy
         overwrite_partitions(balanced(good_rows.withColumns({"landed_day": F.to_date("date"), "batch_id": F.lit(batch_id)}), "landed_day"),
                              landed, "landed_day", "batch_id")
 
-    return for_each_batch(both, checkpoint, handle, every)
+    query = for_each_batch(both, checkpoint, handle, every)
+    if not every and not isinstance(source, str) and "topic" in source and "group" in source:
+        commit_group(query, source["topic"], source["group"])
+    return query
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
