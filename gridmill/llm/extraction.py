@@ -16,15 +16,17 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)", re.S | re.I)
+#: What follows the name of a tag. Nothing is tried twice, so one attempt takes no longer than the text it looks at.
+_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_MARKS = re.compile(r"[>\"']")
 #: Elements whose content is not markup, with what ends them.
 RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I) for t in "script style iframe noembed noframes xmp title".split()}
 _ATTR = re.compile(r"""\b(class|id|role|aria-label|hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -49,25 +51,29 @@ ENDS_SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 ENDS_SVG = ENDS_P | frozenset("b big body br center code dd dt em embed head i img li meta s small span strong strike sub sup tt u var".split())
 SCOPE = frozenset("article aside body div footer header main nav section table ul ol dl form template foreignobject".split())
 MAIN = frozenset(("article", "main"))
-SIDE_TAGS = frozenset("nav footer aside form button select textarea menu dialog head noscript datalist fieldset".split())
+SIDE_TAGS = frozenset("nav footer aside button select textarea menu dialog head noscript datalist fieldset".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 SIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adslot banner sponsor sponsored promo promotion popup modal overlay cookie cookies consent "
     "gdpr notice notices alert warning nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer foot masthead topbar toolbar "
     "header social share sharing related recommended recommendations newsletter subscribe subscription signup login search widget paywall "
     "pagination pager disclaimer copyright tags toc skip".split())
+#: Of these, names that a part of an article may have as well: a section of that name within one is looked at for its text.
+SECTION_NAMES = frozenset("related discussion feedback reader notice notices warning alert disclaimer search foot side".split())
 COMMENT_NAMES = frozenset("comment comments commentlist respond reply replies discussion disqus reader feedback".split())
 CONTENT_NAMES = frozenset("article content main post entry story body text prose".split())
 
 #: Log-odds that a block is content, and the weights of the edges between blocks.
 W_BIAS, W_MAIN, W_SIDE, W_CONTENT, W_LINKS, W_LENGTH, W_STOP, W_HEADING = -0.6, 7.0, -12.0, 1.5, -4.0, 0.35, 0.5, 0.4
+#: Of a section of an article whose name may be that of boilerplate.
+W_DOUBT = 1.0
 E_NEXT, E_SAME = 0.8, 0.6
 #: Context of a block: within the article, in boilerplate, or open.
 OPEN, INSIDE, OUTSIDE = 0, 1, -1
 
 
 class Node:
-    __slots__ = ("tag", "place", "sticky", "depth", "parent", "named", "hidden", "foreign")
+    __slots__ = ("tag", "place", "sticky", "depth", "parent", "named", "hidden", "foreign", "doubt", "form", "holds")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent = tag, parent
@@ -75,6 +81,10 @@ class Node:
         self.place = parent.place if parent else OPEN
         self.sticky = parent.sticky if parent else False
         self.named = parent.named if parent else False
+        self.doubt = parent.doubt if parent else False
+        # The innermost form around, or this one; whether a form holds the main element of the page.
+        self.form = self if tag == "form" else parent.form if parent else None
+        self.holds = False
         self.hidden = tag in HIDDEN or parent is not None and parent.hidden
         self.foreign = tag == "svg" or parent is not None and parent.foreign and tag not in EMBEDS
         names: set[str] = set()
@@ -87,12 +97,17 @@ class Node:
                 elif key.lower() == "role":
                     role = value.strip().lower()
         whole = tag not in INLINE and tag not in ("html", "body")
-        if whole and names & COMMENT_NAMES:
+        if tag == "section" and self.place == INSIDE and not self.sticky and names & SECTION_NAMES and not names & ((SIDE_NAMES | COMMENT_NAMES) - SECTION_NAMES):
+            self.doubt = True
+        elif whole and names & COMMENT_NAMES:
             self.place, self.sticky = OUTSIDE, True
         elif tag in SIDE_TAGS or role in SIDE_ROLES:
             self.place, self.sticky = OUTSIDE, True
         elif (tag in MAIN or role in MAIN) and not names & SIDE_NAMES:
             self.place = self.place if self.sticky else INSIDE
+            form = None if self.sticky or parent is None else parent.form
+            while form is not None:
+                form.holds, form = True, form.parent.form
         elif tag == "header" or whole and names & SIDE_NAMES and not (names & CONTENT_NAMES and self.place == INSIDE):
             self.place = OUTSIDE
         elif tag == "h1" and parent is not None and parent.tag == "header" and parent.parent is not None and parent.parent.place == INSIDE:
@@ -102,10 +117,32 @@ class Node:
 
 
 class Block:
-    __slots__ = ("node", "pieces", "linked", "heading")
+    __slots__ = ("node", "pieces", "linked", "heading", "place")
 
     def __init__(self, node: Node):
-        self.node, self.pieces, self.linked, self.heading = node, [], 0, False
+        self.node, self.pieces, self.linked, self.heading, self.place = node, [], 0, False, OPEN
+
+
+class TagEnds:
+    """Where tags end, for a page in which one does not: all answers by one pass from the end."""
+
+    def __init__(self, page: str, first: int):
+        at = [m.start() for m in _MARKS.finditer(page, first)]
+        end = [-1] * (len(at) + 1)
+        following = {'"': len(at), "'": len(at)}  # the next mark of each kind
+        for i in range(len(at) - 1, -1, -1):
+            c = page[at[i]]
+            if c == ">":
+                end[i] = at[i]
+            else:
+                close = following[c]
+                end[i] = end[close + 1] if close < len(at) else -1
+                following[c] = i
+        self.at, self.end = at, end
+
+    def after(self, place: int) -> int:
+        """The next > that is not quoted, if quoting begins at ``place``; -1 without one."""
+        return self.end[bisect_left(self.at, place)]
 
 
 def blocks(page: str) -> list[tuple[str, Block]]:
@@ -148,17 +185,29 @@ def blocks(page: str) -> list[tuple[str, Block]]:
         node = at.parent
         return True
 
-    last = 0
-    while m := _TOKEN.search(page, last):
+    last = seek = 0
+    ends: TagEnds | None = None
+    while m := _TOKEN.search(page, seek):
+        tag, attrs, stop = m["tag"], "", m.end()
+        if tag is not None:
+            rest = None if ends else _REST.match(page, stop)
+            if rest is None:
+                ends = ends or TagEnds(page, stop)
+                close_at = ends.after(stop)
+                if close_at < 0:  # no tag, but text
+                    seek = stop
+                    continue
+            else:
+                close_at = rest.end() - 1
+            attrs, stop = page[stop: close_at], close_at + 1
         text(page[last: m.start()])
-        last = m.end()
-        tag = m["tag"]
+        last = seek = stop
         if tag is None:
             continue
         tag = tag.lower()
         if tag in RAW and not m["end"]:
-            if not (node.foreign and m["attrs"].endswith("/")):
-                last = RAW[tag].search(page, last).end()
+            if not (node.foreign and attrs.endswith("/")):
+                last = seek = RAW[tag].search(page, last).end()
             continue
         if tag in ENDS_SVG and not m["end"]:
             while node.foreign:
@@ -173,26 +222,48 @@ def blocks(page: str) -> list[tuple[str, Block]]:
                 leave(("p",), SCOPE | {"button"})
             if tag in ENDS_SELF:
                 leave(ENDS_SELF[tag], {"ul", "ol", "dl", "table", "select", "template", "foreignobject"})
-            if tag not in VOID and not m["attrs"].endswith("/"):
-                node = Node(tag, m["attrs"], node)
+            if tag not in VOID and not attrs.endswith("/"):
+                node = Node(tag, attrs, node)
                 links += tag == "a"
         if parts:
             now = Block(node)
     text(page[last:])
     close()
+    settle(out)
     return out
 
 
+def settle(found: list[tuple[str, Block]]) -> None:
+    """The places of blocks, with forms told apart: one that holds the main element, or half of all text, is the page's frame."""
+    total = sum(len(t) for t, b in found if b.node.place != OUTSIDE)
+    mass: dict[int, int] = {}
+    for t, b in found:
+        form = b.node.form if b.node.place != OUTSIDE else None
+        while form is not None:
+            mass[id(form)] = mass.get(id(form), 0) + len(t)
+            form = form.parent.form
+    for _, b in found:
+        b.place = b.node.place
+        form = b.node.form
+        while form is not None and b.place != OUTSIDE:
+            # Within an article a form is a form.
+            frame = form.holds or form.parent.place != INSIDE and 2 * mass.get(id(form), 0) >= total
+            b.place = b.place if frame else OUTSIDE
+            form = form.parent.form
+
+
 def log_odds(text: str, block: Block) -> float:
     """Log-odds of a block being content."""
     length = len(text)
     raw = max(1, sum(map(len, block.pieces)))
     odds = W_BIAS + W_LINKS * min(1.0, block.linked / raw) + W_LENGTH * (math.log1p(length) - 3) + W_HEADING * block.heading
     odds += W_STOP * (text[-1] in ".!?…。\"”'")
-    if block.node.place == INSIDE:
+    if block.place == INSIDE and block.node.doubt:
+        return odds + W_DOUBT
+    if block.place == INSIDE:
         # What the markup calls the article is content, whatever it looks like.
         return max(odds, 0.0) + W_MAIN
-    return odds + W_SIDE if block.node.place == OUTSIDE else odds + W_CONTENT * block.node.named
+    return odds + W_SIDE if block.place == OUTSIDE else odds + W_CONTENT * block.node.named
 
 
 def container(node: Node) -> Node:
@@ -288,11 +359,11 @@ def labels(found: list[tuple[str, Block]]) -> list[bool]:
             flow.tie(n, i, o)
         else:
             flow.tie(i, n + 1, -o)
-        if i:
+        if i and found[i - 1][1].place == found[i][1].place:  # what the markup parts is not tied
             w = E_NEXT / (1 + distance(own[i - 1], own[i]))
             flow.tie(i - 1, i, w, w)
         j = latest.get(id(own[i]))
-        if j is not None and j < i - 1:
+        if j is not None and j < i - 1 and found[j][1].place == found[i][1].place:
             flow.tie(j, i, E_SAME, E_SAME)
         latest[id(own[i])] = i
     return flow.cut(n, n + 1)[:n]
