@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import math
 import re
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridmill.functions.columns import quoted
 from gridmill.functions.timecols import as_utc, instant
 from gridmill.operators.ordered import row_index
+from gridmill.session import checkpointed
 from gridmill.sources.lake import delete_folder, folders
 
 DELETE_BATCH = 1000
@@ -76,26 +77,59 @@ def store_uri(path: str) -> tuple[str, str]:
     return f"{scheme}://{host}/", f"/{name}" if scheme in ("hdfs", "viewfs") else name
 
 
+def requests(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
+    """The keys of one delete call after the other, from rows ordered by call; a call may begin in one batch of rows and end in the next."""
+    call, held = None, []
+    for part in parts:
+        for number, key in zip(part.column("batch").to_pylist(), part.column("s3_key").to_pylist(), strict=True):
+            if number != call and held:
+                yield call, held
+                held = []
+            call = number
+            held.append(key)
+    if held:
+        yield call, held
+
+
+def answered(delete: Callable[[list[str]], list[str | None]], paths: list[str], attempts: int, wait: float) -> list[str | None]:
+    """The last answer for every path; what failed is asked for again, and nothing else."""
+    errors = list(delete(paths))
+    for attempt in range(1, attempts):
+        failed = [i for i, e in enumerate(errors) if e is not None]
+        if not failed:
+            break
+        time.sleep(wait * 2 ** (attempt - 1))
+        for i, error in zip(failed, delete([paths[i] for i in failed]), strict=True):
+            errors[i] = error
+    return errors
+
+
 def purge(keys: DataFrame, size: int = DELETE_BATCH, dry_run: bool = True, prefix: str = "",
           delete: Callable[[list[str]], list[str | None]] = delete_files,
-          splits: int | None = None) -> DataFrame:
-    """Delete expired objects in batches on the executors; one status row per key."""
-    batches = delete_batches(keys, size, splits)
+          splits: int | None = None, attempts: int = 3, wait: float = 0.5, tasks: int | None = None) -> DataFrame:
+    """Delete expired objects on the executors, ``size`` keys a call; one row per key with the store's answer.
+
+    ``delete`` takes the paths of one call and answers for each: null, or an error text. A store that deletes many objects
+    by one request gives its own; the default deletes one by one. Keys that failed are tried ``attempts`` times. The keys
+    are computed once, the deletions are done when this returns, and the report can be read again without deleting again.
+    ``tasks`` are at most eight a core: calls wait for the store, and tasks take many calls each.
+    """
+    batches = delete_batches(keys if dry_run else checkpointed(keys), size, splits)
     if dry_run:
         return batches.select("s3_key", "batch", F.lit("expired").alias("status"), F.lit(None).cast("string").alias("error"))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for _, chunk in part.groupby("batch", sort=False):
-                for start in range(0, len(chunk), size):
-                    piece = chunk.iloc[start:start + size]
-                    errors = delete([prefix + k for k in piece["s3_key"]])
-                    yield piece.assign(status=["deleted" if e is None else "failed" for e in errors], error=errors)
-
-    # Deleting waits on the store, not on data volume: the number of tasks follows the number of calls.
-    calls = math.ceil(keys.count() / size)
-    spread = batches.repartition(max(1, calls), "batch")
-    return spread.mapInPandas(run, "s3_key string, batch long, status string, error string")
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for call, names in requests(parts):
+            errors = answered(delete, [prefix + k for k in names], attempts, wait)
+            yield pa.RecordBatch.from_pydict({
+                "s3_key": names, "batch": pa.array([call] * len(names), pa.int64()),
+                "status": ["deleted" if e is None else "failed" for e in errors], "error": pa.array(errors, pa.string())})
+
+    numbered = checkpointed(batches)
+    calls = (numbered.agg(F.max("batch")).first()[0] or 0) + 1
+    most = tasks or 8 * keys.sparkSession.sparkContext.defaultParallelism
+    spread = numbered.repartition(min(calls, most), "batch").sortWithinPartitions("batch", "s3_key")
+    return checkpointed(spread.mapInArrow(run, "s3_key string, batch long, status string, error string"))
 
 
 def expire_partitions(df: DataFrame, date_col: str, as_of: datetime, days: int) -> DataFrame:

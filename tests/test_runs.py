@@ -253,3 +253,32 @@ def test_batch_numbers_need_no_single_task(spark):
     keys = spark.range(1000).selectExpr("format_string('k%05d', id) AS s3_key").repartition(4)
     got = retention.delete_batches(keys, 10)
     assert rows(got) == [(f"k{i:05d}", i // 10) for i in range(1000)]
+
+
+def test_one_call_for_a_thousand_keys(spark):
+    """Calls follow the number of keys, whatever tasks they fall to; keys are computed once, failed ones alone are asked for again."""
+    calls, asked, made = (spark.sparkContext.accumulator(0) for _ in range(3))
+
+    def store(paths):
+        calls.add(1)
+        asked.add(len(paths))
+        return ["busy" if p.endswith("7") and len(paths) > 200 else None for p in paths]
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    keys = spark.range(25_500).selectExpr("format_string('k%06d', id) AS s3_key").repartition(5).mapInArrow(count, "s3_key string")
+    report = retention.purge(keys, size=1000, dry_run=False, delete=store, wait=0, tasks=3)
+    assert report.groupBy("status").count().collect() == [("deleted", 25_500)]
+    assert rows(report.groupBy("batch").count().selectExpr("count").distinct()) == [(500,), (1000,)]
+    assert calls.value == 26 + 26 and asked.value == 25_500 + 2550
+    assert made.value == 25_500
+
+
+def test_answers_after_the_last_attempt(spark):
+    keys = spark.range(5).selectExpr("concat('k', id) AS s3_key")
+    report = retention.purge(keys, size=2, dry_run=False, delete=lambda p: ["denied" if x == "k3" else None for x in p], wait=0)
+    assert rows(report.filter("status = 'failed'"), "s3_key", "error") == [("k3", "denied")]
+    assert retention.purge(keys.limit(0), dry_run=False, wait=0).count() == 0
