@@ -120,6 +120,11 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FAILURES).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], FAILURES)
 
 
+def load_name(prefix: str, batch_id: str) -> str:
+    """The id of the load of a lake batch: that of the feed and the batch."""
+    return f"{prefix.strip('/').replace('/', '.')}-{batch_id}"
+
+
 def load_batch(spark: SparkSession, lake: str, prefix: str, batch_id: str, schema: T.StructType, table: str, ledger: str,
                partition_col: str, at: datetime, failures: str | None = None, days: Sequence[str] | None = None) -> int:
     """Load one lake batch as one load, whose id is that of the feed and the batch; returns the number of objects that failed.
@@ -129,7 +134,7 @@ def load_batch(spark: SparkSession, lake: str, prefix: str, batch_id: str, schem
     usable date, year or month, are left out, not recorded, and listed in
     ``failures``; so the next run tries them again. ``days`` are the batch's, by its commit.
     """
-    load_id = f"{prefix.strip('/').replace('/', '.')}-{batch_id}"
+    load_id = load_name(prefix, batch_id)
     base = data_path(lake, prefix)
     if days is None:
         days = [r["period"] for r in CommitLog(spark, lake, prefix).live().filter(F.col(BATCH) == batch_id).collect()]

@@ -2,14 +2,14 @@
 
 import threading
 import time
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from gridmill.operators.skew import ahead_of
-from gridmill.plans import jobs
+from gridmill.plans import jobs, refresh
 from gridmill.sinks import commits, lake as K, marks
 from gridmill.sinks.commits import ABANDONED, CommitLog
 from gridmill.sources import lake as S
@@ -253,3 +253,53 @@ def test_batches_without_zones_are_read_whole(spark, work):
     late = spark.createDataFrame([(f"s{i}",) for i in range(4)], "src string").selectExpr("src", "timestamp'2030-01-01' AS date")
     assert K.read_ahead(spark, work, FEED, schema, late, ["src"], "date").count() == 50
     assert K.read_ahead(spark, work, FEED, schema, None, ["src"], "date").count() == 60
+
+
+# -- marts kept up to date ---------------------------------------------------------------
+
+def test_a_refresh_reads_the_days_that_changed(spark, work, monkeypatch):
+    lake, table, ledger, mart = f"{work}/lake", f"{work}/t", f"{work}/s/ledger", f"{work}/mart"
+    schema = dated(spark, 1).drop("period_key").schema
+    read, plain = [], refresh.read_days
+
+    def watched(*args, **options):
+        out = plain(*args, **options)
+        read.append(len({f.split("/date=")[1][:10] for f in out.inputFiles()}))
+        return out
+
+    monkeypatch.setattr(refresh, "read_days", watched)
+
+    def run(batch, day, *values):
+        K.write_once(dated(spark, *values, day=day), lake, FEED, batch)
+        sinks.load_incremental(spark, lake, FEED, schema, table, f"{work}/s", "date", AT)
+        return refresh.refresh_mart(spark, lake, FEED, table, ledger, mart, f"{work}/m", daily)
+
+    daily = lambda df: df.groupBy(F.to_date("date").alias("day")).agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+    for n in range(1, 6):
+        assert run(f"b{n}", f"2024-01-0{n}", n, n + 10) == [f"2024-01-0{n}"]
+    assert run("late", "2024-01-03", 100) == ["2024-01-03"]
+    assert read == [1] * 6
+    whole = daily(sinks.read_loaded(spark, table)).selectExpr("cast(day AS date) AS day", "v", "n")
+    assert rows(refresh.read_mart(spark, mart).select("day", "v", "n")) == rows(whole)
+    assert refresh.refresh_mart(spark, lake, FEED, table, ledger, mart, f"{work}/m", daily) == []
+    # A mart that begins later is computed at once from all that was loaded.
+    assert len(refresh.refresh_mart(spark, lake, FEED, table, ledger, f"{work}/mart2", f"{work}/m2", daily)) == 5
+    assert rows(refresh.read_mart(spark, f"{work}/mart2").select("day", "v", "n")) == rows(whole)
+    assert refresh.read_mart(spark, mart, date(2024, 1, 4)).count() == 2
+
+
+def test_a_commit_that_is_not_loaded_waits(spark, work):
+    lake, table, ledger = f"{work}/lake", f"{work}/t", f"{work}/s/ledger"
+    schema = dated(spark, 1).drop("period_key").schema
+    go = lambda: refresh.refresh_mart(spark, lake, FEED, table, ledger, f"{work}/mart", f"{work}/m", lambda df: df.select("date", "v").withColumnRenamed("date", "day"))
+    K.write_once(dated(spark, 1), lake, FEED, "a")
+    assert go() == []
+    bad = dated(spark, 2).selectExpr("period_key", "cast(null AS timestamp) AS date", "v", "year", "month")
+    K.write_once(bad, lake, FEED, "b")
+    sinks.load_incremental(spark, lake, FEED, schema, table, f"{work}/s", "date", AT)
+    assert go() == ["2024-01-05"]
+    assert commits.read_position(spark, f"{work}/m") == {"number": 2, "again": [["b", ["2024-01-05"]]]}
+    K.write_once(dated(spark, 2), lake, FEED, "b")
+    sinks.load_incremental(spark, lake, FEED, schema, table, f"{work}/s", "date", AT)
+    assert go() == ["2024-01-05"]
+    assert rows(refresh.read_mart(spark, f"{work}/mart"), "v") == [(1,), (2,)]
