@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -28,7 +28,7 @@ from gridmill.sinks.lake import KEY, publish, read_ahead, read_ledger, write_onc
 from gridmill.sinks.marks import last_row, read_counts, read_marks, write_counts, write_marks, write_row
 from gridmill.sources.forecast import forecast_wide, read_placemarks, read_steps
 from gridmill.sources.lake import path_exists
-from gridmill.streaming.sinks import land_messages, load_incremental
+from gridmill.streaming.sinks import land_messages, landing_log, load_incremental
 
 
 # -- transforms ----------------------------------------------------------------------
@@ -148,13 +148,15 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     ``first``, any other where the one before it ended, so no hour is left out,
     the last of a day neither. Rows that land after their hour has closed are
     looked for by landing batch, however late: those of hours passed on already
-    are counted as late, those of hours that had no rows are loaded. Messages
-    that cannot be used are in ``state``/quarantine.
+    are counted as late, those of hours that had no rows are loaded. A run reads
+    the days since the run before and the days that landings since then have
+    added to; other folders of the landing table are not listed. Messages that
+    cannot be used are in ``state``/quarantine.
     """
     parts = ("day", "month", "year", "hour", "minute")
     land_messages(spark, source, schema, values, parts, f"{state}/landed", f"{state}/quarantine", f"{state}/consume")
     stamp = int(as_utc(as_of).timestamp())
-    marks = T.StructType([T.StructField("begin", T.TimestampType()), T.StructField("end", T.TimestampType()), T.StructField("batch", T.LongType())])
+    marks = T.StructType([T.StructField("begin", T.TimestampType()), T.StructField("end", T.TimestampType()), T.StructField("batch", T.LongType()), T.StructField("number", T.LongType())])
     begun = last_row(spark, f"{state}/closed", stamp, marks)
     begin, since = (as_utc(first),) * 2 if begun is None else (begun[c].astimezone(timezone.utc) for c in ("begin", "end"))
     until = max(as_utc(end), since)
@@ -164,16 +166,19 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     rows = spark.createDataFrame([], typed)
     seen = -1 if begun is None else begun["batch"]
     landed_after = F.col("batch_id") > seen
-    if path_exists(spark, f"{state}/landed"):
-        # Both are folders of the table: older days are read only where something has landed since.
-        rows = spark.read.schema(typed).parquet(f"{state}/landed").filter(
-            F.col("landed_day").between(begin.date(), until.date()) & ((F.col("landed_day") >= F.lit(since.date())) | landed_after))
+    number = 0 if begun is None else begun["number"]
+    landings = landing_log(spark, f"{state}/landed").after(number)
+    days = {(since + timedelta(days=k)).date().isoformat() for k in range((until.date() - since.date()).days + 1)}
+    days |= {d for c in landings for d in c["days"] if begin.date().isoformat() <= d <= until.date().isoformat()}
+    paths = [p for p in (f"{state}/landed/landed_day={d}" for d in sorted(days)) if path_exists(spark, p)]
+    if paths:
+        rows = spark.read.schema(typed).option("basePath", f"{state}/landed").parquet(*paths)
     # Rows before ``since`` were passed on, unless they have landed after that.
     rows = rows.filter(between(F.col("date"), begin, until) & ((F.col("date") >= instant(since)) | landed_after))
     last = rows.agg(F.max("batch_id")).first()[0]
     closed = rows.select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
     failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True)
-    write_row(spark.createDataFrame([(begin, until, seen if last is None else max(last, seen))], marks), f"{state}/closed", stamp)
+    write_row(spark.createDataFrame([(begin, until, seen if last is None else max(last, seen), landings[-1]["number"] if landings else number)], marks), f"{state}/closed", stamp)
     return failed
 
 

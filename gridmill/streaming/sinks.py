@@ -99,6 +99,12 @@ def land_messages(spark: SparkSession, source: str | Mapping, schema: T.StructTy
         good_rows = typed_messages(judged.filter(F.col("problem").isNull()), list(values), tuple(parts))
         overwrite_partitions(balanced(good_rows.withColumns({"landed_day": F.to_date("date"), "batch_id": F.lit(batch_id)}), "landed_day"),
                              landed, "landed_day", "batch_id")
+        days = [str(r[0]) for r in good_rows.select(F.to_date("date")).distinct().collect()]
+        log = landing_log(batch.sparkSession, landed)
+        number, last = None, log.last()
+        while number is None:
+            number, others = log.append({"kind": "batch", "batch_id": str(batch_id), "days": days}, last)
+            last = others[-1]["number"] if others else last
 
     query = for_each_batch(both, checkpoint, handle, every)
     if not every and not isinstance(source, str) and "topic" in source and "group" in source:
@@ -106,6 +112,11 @@ def land_messages(spark: SparkSession, source: str | Mapping, schema: T.StructTy
     return query
 
 
+def landing_log(spark: SparkSession, landed: str) -> CommitLog:
+    """Which days each landing has added to, so that nobody lists the landing table."""
+    return CommitLog(spark, f"{landed}-index", "landed")
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Messages that could not be used, and why."""
     return spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE.names) if path_exists(spark, path) else spark.createDataFrame([], QUARANTINE)

@@ -168,6 +168,19 @@ def test_backlog_of_an_outage_is_loaded_or_counted(spark, work):
     assert rows(K.late_counts(spark, f"{work}/lake", FEED), "late_rows")[-1] == (1,)
 
 
+def test_runs_list_the_days_of_new_landings_only(spark, work, monkeypatch):
+    asked = []
+    plain = jobs.path_exists
+    monkeypatch.setattr(jobs, "path_exists", lambda spark, path: asked.append(path) or plain(spark, path))
+    for day in range(10, 16):
+        lines = [message(f"2024-01-{day} 07:10:00", day)] + ([message("2024-01-11 09:00:00", 1)] if day == 15 else [])
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{work}/in")
+        asked.clear()
+        jobs.load_job(spark, f"{work}/in", f"{work}/lake", f"{work}/t", f"{work}/s", datetime(2024, 1, day, 9, 30, tzinfo=timezone.utc))
+    assert sorted(p[-10:] for p in asked) == ["2024-01-11", "2024-01-14", "2024-01-15"]
+    assert rows(sinks.read_loaded(spark, f"{work}/t"), "load") == [(1.0,), *[(float(d),) for d in range(10, 16)]]
+
+
 def test_gas_over_a_weekend(spark, work):
     gas = lambda stamp, v: f'{{"date": "{stamp}+00:00", "open_price": {v}, "close_price": {v}, "key_id": "record_0"}}'
     lines = [gas("2024-01-19 10:00:00", 1), gas("2024-01-19 22:10:00", 2), gas("2024-01-22 09:00:00", 3)]
