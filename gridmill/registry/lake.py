@@ -77,6 +77,26 @@ def _(spark, sf):
         "STATIONS_ID", parse_hour_stamp("MESS_DATUM").alias("measurement_time"), "QN_9", "TT_TU", "RF_TU", "eor")
 
 
+@query("climate_archive_scan", "climate_all", sql="""
+SELECT CAST(stations_id AS INTEGER) AS "STATIONS_ID", date_trunc('hour', ts) AS measurement_time, 3.0::DOUBLE AS "QN_9",
+       tt_tu AS "TT_TU", 55.0::DOUBLE AS "RF_TU", eor FROM climate_all""")
+def _(spark, sf):
+    folder = scratch(spark, "climate-archives")
+    files.climate_archives(feeds.climate_all(spark, sf), folder)
+    return climate.read_climate_archives(spark, f"{folder}/*.zip", "TU").select(
+        "STATIONS_ID", parse_hour_stamp("MESS_DATUM").alias("measurement_time"), "QN_9", "TT_TU", "RF_TU", "eor")
+
+
+@query("forecast_kmz_scan", "forecast_long", sql=f"""
+SELECT station, element, CAST(step % {files.ISSUE_STEPS} AS INTEGER) AS step, value, {files.STEP_TIME_SQL} AS forecast_time
+FROM forecast_long""")
+def _(spark, sf):
+    folder = scratch(spark, "forecast-kmz")
+    files.forecast_files(feeds.forecast_long(spark, sf), f"{folder}/kml")
+    files.as_kmz(f"{folder}/kml", f"{folder}/kmz", spark)
+    return forecast.read_forecast_xml(spark, f"{folder}/kmz", zipped=True).drop("file")
+
+
 @query("forecast_xml_scan", "forecast_long", sql=f"""
 SELECT station, element, CAST(step % {files.ISSUE_STEPS} AS INTEGER) AS step, value, {files.STEP_TIME_SQL} AS forecast_time
 FROM forecast_long""")

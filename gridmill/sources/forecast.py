@@ -1,4 +1,4 @@
-"""Station forecasts: KML files or single-member KMZ archives."""
+"""Station forecasts: KML files, each read by as many tasks as its size needs, or single-member KMZ archives."""
 
 from __future__ import annotations
 
@@ -24,8 +24,17 @@ _STEPS = "`dwd:TimeStep` array<string>"
 
 
 def _xml(spark: SparkSession, paths, tag: str, schema: str) -> DataFrame:
-    return (spark.read.format("xml").option("rowTag", tag).schema(schema).load(paths)
-            .select("*", F.col("_metadata.file_path").alias("file")))
+    """Elements of plain files. A file is read as records that end with a placemark, so a large one is cut over many tasks.
+
+    The forecast times stand before the first placemark, in the record that ends with it.
+    """
+    closing = f"</{PLACEMARK_TAG}>"
+    records = spark.read.option("lineSep", closing).text(paths).select(
+        F.concat("value", F.lit(closing)).alias("value"), F.col("_metadata.file_path").alias("file"))
+    start, end = F.locate(f"<{tag}", F.col("value")), F.locate(f"</{tag}>", F.col("value"))
+    fragment = F.substr("value", start, end - start + len(tag) + 3)
+    return (records.filter((start > 0) & (end > start)).select("file", F.from_xml(fragment, schema, {"rowTag": tag}).alias("x"))
+            .select("x.*", "file"))
 
 
 def _zipped(spark: SparkSession, paths, tag: str, schema: str) -> DataFrame:

@@ -70,6 +70,24 @@ def test_large_kmz_is_read_in_pieces(spark, work, monkeypatch):
     assert forecast.read_steps(spark, f"{work}/f.kmz", True).count() == 1
 
 
+def test_one_large_file_is_read_by_many_tasks(spark, work):
+    """Records are cut at placemarks wherever a task begins; the forecast times stand in the first one."""
+    os.makedirs(work)
+    many = [PLACE.format(name=str(i), station=f"Süd {i}", coords="1,2,3", body=series("TTT", "1 2 3") * (1 + i % 7)) for i in range(4000)]
+    open(f"{work}/f.kml", "w").write(kml(many))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        places = forecast.read_placemarks(spark, work)
+        assert places.rdd.getNumPartitions() > 8
+        assert sorted(r["station"] for r in places.select("station").collect()) == sorted(f"Süd {i}" for i in range(4000))
+        assert forecast.read_steps(spark, work).count() == 1
+        assert forecast.read_forecast_xml(spark, work).filter("forecast_time IS NOT NULL").count() == 3 * sum(1 + i % 7 for i in range(4000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_kmz_with_two_members_fails(spark, work):
     os.makedirs(work)
     as_kmz(f"{work}/f.kmz", kml([FIRST]), members=2)
