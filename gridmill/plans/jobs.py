@@ -82,29 +82,34 @@ def run_id(as_of: datetime) -> str:
 
 
 def through_lake(rows: DataFrame, lake: str, feed: str, table: str, state: str, partition_col: str, at: datetime,
-                 batch_id: str | None = None, key: Sequence[str] = (KEY,), keep_late: bool = False) -> DataFrame:
+                 batch_id: str | None = None, key: Sequence[str] = (KEY,), keep_late: bool = False,
+                 keep_days: int | None = None) -> DataFrame:
     """Write keyed rows once to the lake, then load the open batches; returns the objects that failed.
 
     The rows are a slice of a parsed source and are needed twice, so they are
-    kept instead of being parsed again.
+    kept instead of being parsed again. With ``keep_days`` the load drops the
+    table's days that are older.
     """
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_once(rows, lake, feed, batch_id or run_id(at), key, keep_late)
     finally:
         rows.unpersist()
-    return to_warehouse(rows, lake, feed, table, state, partition_col, at)
+    return to_warehouse(rows, lake, feed, table, state, partition_col, at, keep_days)
 
 
 def to_warehouse(rows: DataFrame, lake: str, feed: str, table: str, state: str, partition_col: str,
-                 at: datetime) -> DataFrame:
-    """Load the new lake objects of a feed, whose schema is that of the rows written."""
-    return load_incremental(rows.sparkSession, lake, feed, rows.drop(KEY).schema, table, state, partition_col, at)
+                 at: datetime, keep_days: int | None = None) -> DataFrame:
+    """Load the new lake objects of a feed, whose schema is that of the rows written; then drop expired days of the table."""
+    failed = load_incremental(rows.sparkSession, lake, feed, rows.drop(KEY).schema, table, state, partition_col, at)
+    if keep_days is not None:
+        expire_table(rows.sparkSession, table, partition_col, at, keep_days)
+    return failed
 
 
 def weather_forecast_job(spark: SparkSession, paths, lake: str, table: str, state: str, as_of: datetime,
                          n_days: int = 3, stations=None, zipped: bool = False, batch_id: str | None = None,
-                         strict: bool = True) -> DataFrame:
+                         strict: bool = True, keep_days: int | None = None) -> DataFrame:
     """Forecast files to the table of the next days. A key is a station and a day.
 
     Unless ``strict`` is off, a malformed placemark or a requested station without one fails the run.
@@ -117,31 +122,32 @@ def weather_forecast_job(spark: SparkSession, paths, lake: str, table: str, stat
     wide = forecast_wide(places, read_steps(spark, paths, zipped), list(FORECAST_ELEMENTS), stations, strict).drop("file")
     rows = slice_next_days(transform_forecast(wide), "forecast_time", as_of, n_days)
     return through_lake(rows, lake, "weather_forecast", table, state, "forecast_time", as_of, batch_id,
-                        ["station", KEY])
+                        ["station", KEY], keep_days=keep_days)
 
 
 def generation_job(spark: SparkSession, raw: DataFrame, lake: str, table: str, state: str, as_of: datetime,
                    month: tuple[int, int] | None = None, headers: Sequence | None = None,
-                   batch_id: str | None = None) -> DataFrame:
+                   batch_id: str | None = None, keep_days: int | None = None) -> DataFrame:
     """Generation table to the table of the last five days."""
     rows = transform_generation(raw, headers)
     if month is not None:
         rows = rows.filter(in_month("date", *month))
     return through_lake(slice_last_days(rows, "date", as_of), lake, "electricity/generation", table, state, "date",
-                        as_of, batch_id)
+                        as_of, batch_id, keep_days=keep_days)
 
 
 def historical_weather_job(spark: SparkSession, recent: DataFrame | None, historical: DataFrame | None, parameter: str,
-                           lake: str, table: str, state: str, as_of: datetime, batch_id: str | None = None) -> DataFrame:
+                           lake: str, table: str, state: str, as_of: datetime, batch_id: str | None = None,
+                           keep_days: int | None = None) -> DataFrame:
     """Two station tables to the table of the same calendar day in five years."""
     feed = f"historical_weather/{weather_parameter(parameter)[0]}"
     rows = transform_climate(merge_climate(recent, historical), parameter)
     return through_lake(slice_same_day(rows, "measurement_time", as_of), lake, feed, table, state, "measurement_time",
-                        as_of, batch_id, ["station", KEY])
+                        as_of, batch_id, ["station", KEY], keep_days=keep_days)
 
 
 def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.StructType, values: Sequence[str], feed: str, lake: str,
-                     table: str, state: str, as_of: datetime, first: datetime, end: datetime, tz: str = BERLIN) -> DataFrame:
+                     table: str, state: str, as_of: datetime, first: datetime, end: datetime, tz: str = BERLIN, keep_days: int | None = None) -> DataFrame:
     """Land the new messages, then pass on all hours that have closed since the run before; returns the objects that failed.
 
     Rows of an open hour wait in the landing table. The first run begins at
@@ -177,22 +183,25 @@ def closed_hours_job(spark: SparkSession, source: str | Mapping, schema: T.Struc
     rows = rows.filter(between(F.col("date"), begin, until) & ((F.col("date") >= instant(since)) | landed_after))
     last = rows.agg(F.max("batch_id")).first()[0]
     closed = rows.select("date", *values, *parts).withColumn(KEY, F.date_format(to_local("date", tz), HOUR_KEY))
-    failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True)
+    failed = through_lake(closed, lake, feed, table, state, "date", as_of, keep_late=True, keep_days=keep_days)
     write_row(spark.createDataFrame([(begin, until, seen if last is None else max(last, seen), landings[-1]["number"] if landings else number)], marks), f"{state}/closed", stamp)
     return failed
 
 
-def load_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime) -> DataFrame:
+def load_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime,
+             keep_days: int | None = None) -> DataFrame:
     """Load messages to the table: completed hours, from the first run's day on."""
     end = closed_hours_end(as_of)
     return closed_hours_job(spark, source, LOAD_MESSAGE, ["load"], "electricity/load", lake, table, state, as_of,
-                            local_midnight(end.date(), BERLIN), end)
+                            local_midnight(end.date(), BERLIN), end, keep_days=keep_days)
 
 
-def gas_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime) -> DataFrame:
+def gas_job(spark: SparkSession, source: str | Mapping, lake: str, table: str, state: str, as_of: datetime,
+            keep_days: int | None = None) -> DataFrame:
     """Gas messages to the table: completed trading hours, from the first run's trading day on."""
     first, end = trading_hours(as_of)
-    return closed_hours_job(spark, source, GAS_MESSAGE, ["open_price", "close_price"], "others/gas", lake, table, state, as_of, first, end)
+    return closed_hours_job(spark, source, GAS_MESSAGE, ["open_price", "close_price"], "others/gas", lake, table, state, as_of, first, end,
+                            keep_days=keep_days)
 
 
 SENT = T.StructField("sent", T.LongType())

@@ -81,6 +81,18 @@ def _(spark, sf):
     return read_loaded(spark, f"{work}/table")
 
 
+@query("job_generation_kept", "generation_raw", sql=f"""
+SELECT event_id, CAST(date AS DATE) AS date, {", ".join(GENERATION_GIVEN)}, {_PARTS_BIG} FROM generation_raw
+WHERE CAST({_B} AS DATE) BETWEEN DATE '2024-01-09' AND DATE '2024-01-16' AND CAST(date AS DATE) >= DATE '2024-01-12'""")
+def _(spark, sf):
+    """Two runs, the table's days older than five dropped by the load."""
+    work = scratch(spark, "job-generation-kept")
+    headers = ["event_id", ("Date", ""), *[(c.replace("_", " "), "") for c in GENERATION_GIVEN]]
+    for as_of in (AS_OF - timedelta(days=3), AS_OF):
+        J.generation_job(spark, feeds.generation_raw(spark, sf), f"{work}/lake", f"{work}/table", f"{work}/state", as_of, headers=headers, keep_days=5)
+    return read_loaded(spark, f"{work}/table")
+
+
 _MT = berlin("hour_start")
 
 
