@@ -219,7 +219,8 @@ def removed(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, step: in
                         "hi": pa.array(hi, pa.int32()), "g": signed(g), "c": signed(c)})
 
     seen = keyed.select("row", "text").mapInArrow(find, "row long, pos long, lo int, hi int, g long, c long")
-    twice = seen.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join below has plain shuffles on both sides and adaptive execution may cut the part of a common passage.
+    twice = stored(seen.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "twice")
     open_ = stored(seen.join(twice, "g", "left_semi").select("row", "pos", "lo", "hi", "c"), "anchors")
     around = open_.groupBy("c").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos", "lo", "hi")).alias("at"))
     around = stored(around.select("c", "n", "at.*"), "surroundings")
