@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridmill.llm.textarrays import Texts, chunks, mix, prefix_sums, signed, span_hash
+from gridmill.session import scratch
 
 #: Shorter lines repeat by chance ("Les."); they go only with their neighbours.
 MIN_WORDS = 4
@@ -80,7 +81,10 @@ def later_runs(rows: DataFrame, min_words: int) -> DataFrame:
 
     seen = rows.select("doc_id", "row", "text").mapInArrow(
         select, "doc_id long, row long, print long, windows array<struct<first:long,last:long,content:long>>")
-    shared = seen.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    # Written, so that the join below has plain shuffles on both sides and adaptive execution may cut the part of a common line.
+    path = scratch(rows.sparkSession, "prints")
+    seen.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print").write.parquet(path)
+    shared = rows.sparkSession.read.parquet(path)
     joined = seen.join(shared, "print", "left_semi").select("doc_id", "row", F.explode("windows").alias("w")).select("doc_id", "row", "w.*").distinct()
     place = F.struct("doc_id", "row", "first", "last")
     origin = joined.groupBy("content").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").select("content", "origin")
