@@ -28,6 +28,10 @@ MAX_LANGUAGES = 1024
 PENALTY = 1.5
 ROUNDS = 8
 UNKNOWN = "und"
+#: Evidence (nats a trigram over trigrams that are all alike likely) below which no learnt language explains a text.
+NO_LANGUAGE = -0.9
+#: Trigrams without evidence for or against that every text has besides its own: a short one tells little.
+PRIOR = 48
 
 #: Letters as they are or lower-cased, all else of ASCII as a gap between words.
 SYMBOL = np.zeros(256, np.uint8)
@@ -93,12 +97,16 @@ def _mixture(like: np.ndarray, first: np.ndarray, size: np.ndarray, allowed: np.
     return share, np.add.reduceat(np.log(np.maximum(total, 1e-300)), first)
 
 
-def infer(texts: Texts, logp: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents with words, their proportions over all languages, and the certainty of the leading one."""
+def infer(texts: Texts, logp: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents with words, their proportions over all languages, the certainty of the leading one, and the evidence.
+
+    Evidence is the mean log-likelihood of a trigram in the chosen languages beyond that of trigrams that are all alike likely,
+    drawn towards 0 for short texts.
+    """
     bucket, first, doc = grams(texts)
     n = logp.shape[1]
     if not len(bucket) or not n:
-        return np.zeros(0, np.int64), np.zeros((0, n)), np.zeros(0)
+        return np.zeros(0, np.int64), np.zeros((0, n)), np.zeros(0), np.zeros(0)
     word = np.add.reduceat(logp[bucket], first, axis=0).astype(np.float64)
     begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     size = np.diff(np.r_[begin, len(doc)])
@@ -134,15 +142,18 @@ def infer(texts: Texts, logp: np.ndarray, penalty: float = PENALTY, rounds: int
         share[won], score[won] = chosen[wins], gain[wins]
         certain[won] = 1
         open_docs = won[(share[won] > 0).sum(axis=1) < n]
-    return doc[begin], share, certain
+    trigrams = np.add.reduceat(np.diff(np.r_[first, len(bucket)]), begin)
+    return doc[begin], share, certain, (np.maximum(top, score) + trigrams * np.log(BUCKETS)) / (trigrams + PRIOR)
 
 
 def predict(docs: DataFrame, languages: list[str], logp: np.ndarray, *, penalty: float = PENALTY) -> DataFrame:
-    """The columns of ``docs`` with lang_pred, score, langs and proportions (the chosen languages, largest first).
+    """The columns of ``docs`` with lang_pred, score, langs and proportions (the chosen languages, largest first), and evidence.
+
+    Evidence is null without a letter; below ``NO_LANGUAGE`` the text is none of the languages, whichever is nearest.
 
     A text is only read, not returned: give it under a second name to keep it.
     Columns named like a new one are replaced."""
-    docs = docs.drop("lang_pred", "score", "langs", "proportions", "_lettered")
+    docs = docs.drop("lang_pred", "score", "langs", "proportions", "evidence", "_lettered")
     columns = [c for c in docs.columns if c != "text"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
     model = docs.sparkSession.sparkContext.broadcast((languages, logp))
@@ -153,21 +164,22 @@ def predict(docs: DataFrame, languages: list[str], logp: np.ndarray, *, penalty:
             for texts in chunks(batch.column("text")):
                 lettered = pc.fill_null(batch.column("_lettered").slice(texts.first, texts.n), False).to_numpy(zero_copy_only=False)
                 pred, score = [UNKNOWN] * texts.n, np.zeros(texts.n)
-                langs, parts = [[] for _ in range(texts.n)], [[] for _ in range(texts.n)]
-                found, share, certain = infer(texts, table, penalty)
+                langs, parts, evidence = [[] for _ in range(texts.n)], [[] for _ in range(texts.n)], [None] * texts.n
+                found, share, certain, likely = infer(texts, table, penalty)
                 order = np.argsort(-share, axis=1, kind="stable")
                 for i, doc in enumerate(found.tolist()):
                     if lettered[doc]:
                         chosen = [k for k in order[i].tolist() if share[i, k] > 0]
                         pred[doc], score[doc] = names[chosen[0]], min(1.0, share[i, chosen[0]] * certain[i])
-                        langs[doc], parts[doc] = [names[k] for k in chosen], share[i, chosen].tolist()
+                        langs[doc], parts[doc], evidence[doc] = [names[k] for k in chosen], share[i, chosen].tolist(), float(likely[i])
                 kept = [batch.column(c).slice(texts.first, texts.n) for c in columns]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(pred, pa.string()), pa.array(score), pa.array(langs, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float64()))],
-                    names=[*columns, "lang_pred", "score", "langs", "proportions"])
+                    [*kept, pa.array(pred, pa.string()), pa.array(score), pa.array(langs, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float64())),
+                     pa.array(evidence, pa.float64())],
+                    names=[*columns, "lang_pred", "score", "langs", "proportions", "evidence"])
 
     return docs.withColumn("_lettered", F.col("text").rlike(r"\p{L}")).mapInArrow(
-        label, f"{kinds}, lang_pred string, score double, langs array<string>, proportions array<double>")
+        label, f"{kinds}, lang_pred string, score double, langs array<string>, proportions array<double>, evidence double")
 
 
 def held_out(parts: int) -> Column:
@@ -176,7 +188,7 @@ def held_out(parts: int) -> Column:
 
 
 def identify(docs: DataFrame, parts: int = 4) -> DataFrame:
-    """Learns from the rows that are not held out and predicts all: doc_id, held_out, lang_pred, score, langs, proportions."""
+    """Learns from the rows that are not held out and predicts all: doc_id, held_out, lang_pred, score, langs, proportions, evidence."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     languages, logp = learn(docs, ~held_out(parts))
-    return predict(docs.select("doc_id", "text"), languages, logp).select("doc_id", held_out(parts).alias("held_out"), "lang_pred", "score", "langs", "proportions")
+    return predict(docs.select("doc_id", "text"), languages, logp).select("doc_id", held_out(parts).alias("held_out"), "lang_pred", "score", "langs", "proportions", "evidence")

@@ -2,6 +2,7 @@
 
 import hashlib
 import pathlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -419,6 +420,15 @@ def test_pipeline(spark, tables):
     assert got == kept - leaked
 
 
+def test_language_stage_rejects_what_no_language_explains(spark, tables):
+    rng = random.Random(4)
+    noise = [(90_000 + i, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 11))) for _ in range(80)), "en", "s", 0) for i in range(5)]
+    docs = tables.documents.select(*corpus_pipeline.COLUMNS)
+    kept = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs.unionAll(spark.createDataFrame(noise, docs.schema)), SF).collect()}
+    assert not kept & {n[0] for n in noise}
+    assert kept >= {r.doc_id for r in docs.collect() if len(re.findall("[a-z]", r.text or "")) > 0.5 * len(r.text or "x")}
+
+
 def test_stages_on_odd_rows(spark, odd):
     columns = list(corpus_pipeline.COLUMNS)
     for name, stage in corpus_pipeline.STAGES:
@@ -427,7 +437,7 @@ def test_stages_on_odd_rows(spark, odd):
             assert name == "packing" or got.columns == columns
             assert name == "packing" or got.count() <= df.count()
     kept = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, odd, SF).collect()}
-    assert not kept & {0, 1, 2, 3} and {6, 8, 70, 73, None} <= kept
+    assert not kept & {0, 1, 2, 3} and {6, 8, 73, None} <= kept and not kept & {70, 72}  # one letter over and over, in no learnt language
     assert sorted_rows(corpus_pipeline.STAGES[2][1](spark, odd.where("doc_id in (6, 7, 70, 71)"), SF), "doc_id") == [(6,), (6,), (70,)]
 
 

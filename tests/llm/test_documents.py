@@ -126,6 +126,20 @@ def test_held_out_languages_are_not_counted(spark, monkeypatch):
         language.identify(df.withColumn("lang", df.doc_id.cast("string")))
 
 
+def test_no_language_explains_random_letters(spark):
+    """Learnt from the given documents: random letters go, clean held-out documents stay, whatever their length."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    noise = [(10_000 + i, " ".join("".join(rng.choice(letters, int(rng.integers(4, 12)))) for _ in range(n))) for i, n in enumerate([60, 100, 300, 3000])]  # few words tell little here
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    languages, logp = language.learn(docs, ~language.held_out(4))
+    held = docs.where(language.held_out(4)).select("doc_id", "text")
+    got = {r.doc_id: r.evidence for r in language.predict(held.unionAll(spark.createDataFrame(noise, held.schema)), languages, logp).collect()}
+    assert all(got[i] < language.NO_LANGUAGE for i, _ in noise)
+    clean = [got[r.doc_id] for r in held.collect() if r.text and len(re.findall("[a-z]", r.text)) > 0.5 * len(r.text)]
+    assert len(clean) > 20 and min(clean) > language.NO_LANGUAGE
+
+
 def test_packing_deals_equal_rows(spark):
     """Rows that are all alike fill as many groups as others."""
     df = spark.createDataFrame([(7, "one two three")] * 4000, "doc_id long, text string")
