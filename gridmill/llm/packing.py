@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,8 @@ class Encoder:
 
     def __init__(self, name: str, ranks: str | None):
         import public_tokenizers
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(public_tokenizers.path(name))
+        self.file = public_tokenizers.path(name)
         self.fast = None
         if ranks:
             import regex
@@ -56,6 +56,13 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
             self.other = regex.compile(r"[^\x00-ɏ]|<\|")
 
+    @cached_property
+    def exact(self):
+        """The tokenizer file, read when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is not None and not self.other.search(text):
             return np.asarray(self.fast.encode_ordinary(text), "<u4")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once. A longer single text is handled alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
