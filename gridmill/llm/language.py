@@ -146,16 +146,16 @@ def infer(texts: Texts, logp: np.ndarray, penalty: float = PENALTY, rounds: int
     return doc[begin], share, certain, (np.maximum(top, score) + trigrams * np.log(BUCKETS)) / (trigrams + PRIOR)
 
 
-def predict(docs: DataFrame, languages: list[str], logp: np.ndarray, *, penalty: float = PENALTY) -> DataFrame:
+def predict(docs: DataFrame, languages: list[str], logp: np.ndarray, *, penalty: float = PENALTY, keep_text: bool = False) -> DataFrame:
     """The columns of ``docs`` with lang_pred, score, langs and proportions (the chosen languages, largest first), and evidence.
 
     Evidence is null without a letter; below ``NO_LANGUAGE`` the text is none of the languages, whichever is nearest.
 
-    A text is only read, not returned: give it under a second name to keep it.
+    A text is only read, not returned, unless ``keep_text`` is set.
     Columns named like a new one are replaced."""
     docs = docs.drop("lang_pred", "score", "langs", "proportions", "evidence", "_lettered")
-    columns = [c for c in docs.columns if c != "text"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
+    columns = [c for c in docs.columns if keep_text or c != "text"]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in columns)
     model = docs.sparkSession.sparkContext.broadcast((languages, logp))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
