@@ -18,10 +18,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents go that have no letter, or that no learnt language explains: their letters are as good as random."""
     docs = docs.select(*COLUMNS)
     languages, logp = language.learn(docs, F.lit(True))
-    found = language.predict(docs.withColumn("_kept", F.col("text")), languages, logp)
+    found = language.predict(docs, languages, logp, keep_text=True)
     explained = (F.col("lang_pred") != language.UNKNOWN) & (F.col("evidence") >= language.NO_LANGUAGE)
-    return found.where(explained | F.lit(not languages) & F.col("_kept").rlike(r"\p{L}")).select(
-        *[F.col("_kept").alias(c) if c == "text" else c for c in COLUMNS])
+    return found.where(explained | F.lit(not languages) & F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
