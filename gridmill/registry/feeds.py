@@ -149,5 +149,8 @@ def forecast_files(long: DataFrame, folder: str, whole: bool = False) -> None:
         F.lit("</dwd:ForecastTimeSteps></dwd:ProductDefinition></kml:ExtendedData>")).alias("line"))
     foot = span.select("bucket", "issue", F.lit(2).alias("place"), F.lit("</kml:Document></kml:kml>").alias("line"))
     lines = head.unionAll(placemarks).unionAll(foot)
-    (lines.repartition("bucket", "issue").sortWithinPartitions("bucket", "issue", "place", "line")
-     .select("line", "bucket", "issue").write.partitionBy("bucket", "issue").text(folder))
+    # A file is a row, of at most 100 stations by 240 steps. Lines that are only repartitioned may be dealt anew when a join before
+    # them turns out to be small, and a file would come in parts.
+    (lines.groupBy("bucket", "issue").agg(F.array_sort(F.collect_list(F.struct("place", "line"))).alias("lines"))
+     .select(F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"), "bucket", "issue")
+     .write.partitionBy("bucket", "issue").text(folder))

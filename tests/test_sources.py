@@ -7,7 +7,9 @@ import pytest
 
 from conftest import rows
 from gridmill.operators.quality import malformed_rows
+from gridmill.registry import feeds as files
 from gridmill.schemas import FORECAST_ELEMENTS, LOAD_MESSAGE
+from gridmill.session import checkpointed
 from gridmill.sources import climate, forecast
 from gridmill.sources.lake import read_records_csv
 from gridmill.sources.messages import parse_messages
@@ -88,6 +90,26 @@ def test_one_large_file_is_read_by_many_tasks(spark, work):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_forecast_files_are_written_whole(spark, work, whole):
+    long = checkpointed(spark.range(1500 * 5 * 80).selectExpr(
+        "concat('U', id % 1500) AS station", "concat('E', id div 1500 % 5) AS element", "cast(id div 7500 AS int) AS step", "cast(id AS double) AS value"))
+    # The join of the series with the last steps turns out to be small only when it runs, as with tables of unknown size.
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m", "spark.sql.shuffle.partitions": "24"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        files.forecast_files(long, f"{work}/in", whole=whole)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    found = spark.read.text(f"{work}/in", wholetext=True).collect()
+    assert sorted((r["bucket"], r["issue"]) for r in found) == [(b, 0) for b in range(15)]
+    for r in found:
+        assert r["value"].startswith("<?xml") and r["value"].endswith("</kml:kml>\n") and r["value"].count("<kml:Placemark>") == 100
+
+
 def test_kmz_with_two_members_fails(spark, work):
     os.makedirs(work)
     as_kmz(f"{work}/f.kmz", kml([FIRST]), members=2)
