@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import zipfile
+from collections.abc import Callable
 
 import pandas as pd
 from pyarrow import fs
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gridmill import feeds
 from gridmill.functions.timecols import iso_text
 from gridmill.operators.retention import store_uri
-from gridmill.sinks.lake import publish
+from gridmill.sinks.lake import balanced, publish
 
 STEP_HOURS = 6
 ISSUE_STEPS = 240
@@ -62,8 +63,9 @@ def climate_text(rows: DataFrame, folder: str, swapped: bool = False) -> None:
 def climate_archives(rows: DataFrame, folder: str) -> None:
     """Station tables as zip archives with a data member and another one; a station may have several.
 
-    A task writes the rows it is given at a time, so no station has to fit into one. Names follow from the task, so one that
-    is repeated replaces its archives.
+    Rows of a station go to one task, or to a few if they are many, so there are about as many archives as stations. A task
+    writes the rows it is given at a time, so no station has to fit into one. Names follow from the task, so one that is
+    repeated replaces its archives.
     """
     text = rows.select(
         F.format_string("%05d", "stations_id").alias("station"),
@@ -71,42 +73,48 @@ def climate_archives(rows: DataFrame, folder: str) -> None:
                     F.concat(F.lit("  "), F.col("tt_tu").cast("string")), F.lit("   55.0"), F.col("eor")).alias("line"))
 
     def write(parts):
-        task = TaskContext.get().partitionId()
+        task, put = TaskContext.get().partitionId(), _zips(folder)
         for n, part in enumerate(parts):
             for station, lines in part.groupby("station")["line"]:
                 body = "\r\n".join(["STATIONS_ID;MESS_DATUM;QN_9;TT_TU;RF_TU;eor", *lines]) + "\r\n"
-                _write_zip(f"{folder}/stundenwerte_TU_{station}_{task}_{n}.zip", {
+                put(f"stundenwerte_TU_{station}_{task}_{n}.zip", {
                     f"Metadaten_Geographie_{station}.txt": "Größe;Höhe\r\n".encode("latin-1"),
                     f"produkt_tu_stunde_20240101_20240131_{station}.txt": body.encode("latin-1")})
-                yield pd.DataFrame({"n": [len(lines)]})
+            yield pd.DataFrame({"n": [len(part)]})
 
     # The archives are written by this action.
-    text.sortWithinPartitions("station").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    balanced(text, "station").sortWithinPartitions("station", "line").mapInPandas(write, "n long").agg(F.sum("n")).collect()
 
 
 def as_kmz(folder: str, target: str, spark: SparkSession) -> None:
     """Every file of a folder as a KMZ archive of one member."""
     def write(parts):
+        put = _zips(target)
         for part in parts:
             for path, content in zip(part["path"], part["content"], strict=True):
                 name = hashlib.sha256(path.encode()).hexdigest()[:24]
-                _write_zip(f"{target}/{name}.kmz", {f"{name}.kml": content})
-                yield pd.DataFrame({"n": [1]})
+                put(f"{name}.kmz", {f"{name}.kml": content})
+            yield pd.DataFrame({"n": [len(part)]})
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
     files.mapInPandas(write, "n long").agg(F.sum("n")).collect()
 
 
-def _write_zip(path: str, members: dict[str, bytes]) -> None:
-    root, name = store_uri(path)
+def _zips(folder: str) -> Callable[[str, dict[str, bytes]], None]:
+    """What writes an archive of a folder, whose store is opened once."""
+    root, base = store_uri(folder)
     store = fs.FileSystem.from_uri(root)[0]
-    store.create_dir(name.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(name) as out:
+    store.create_dir(base, recursive=True)
+
+    def put(name: str, members: dict[str, bytes]) -> None:
         held = io.BytesIO()
         with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
             for member, content in members.items():
                 z.writestr(member, content)
-        out.write(held.getvalue())
+        with store.open_output_stream(f"{base}/{name}") as out:
+            out.write(held.getvalue())
+
+    return put
 
 
 def forecast_files(long: DataFrame, folder: str, whole: bool = False) -> None:

@@ -27,6 +27,12 @@ def escaped(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^' or ord(c) < 32 or ord(c) == 127 else c for c in value)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark's readers name it."""
+    filesystem, jpath = _filesystem(spark, path)
+    return filesystem.makeQualified(jpath).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     filesystem, jpath = _filesystem(spark, path)
     return bool(filesystem.exists(jpath))

@@ -10,7 +10,7 @@ from gridmill.operators.quality import malformed_rows
 from gridmill.registry import feeds as files
 from gridmill.schemas import FORECAST_ELEMENTS, LOAD_MESSAGE
 from gridmill.session import checkpointed
-from gridmill.sources import climate, forecast
+from gridmill.sources import archives, climate, forecast
 from gridmill.sources.lake import read_records_csv
 from gridmill.sources.messages import parse_messages
 
@@ -154,6 +154,38 @@ def test_climate_archives(spark, work):
         climate.read_climate_archives(spark, f"{work}/*.zip", "XX")
 
 
+def test_small_archives_are_parsed_together(spark, work):
+    """Tables that would read otherwise beside others are parsed alone; folders below are no part of the pattern."""
+    def put(name, text):
+        with zipfile.ZipFile(f"{work}/{name}.zip", "w") as z:
+            z.writestr(f"produkt_tu_stunde_{os.path.basename(name)}.txt", text)
+
+    os.makedirs(f"{work}/below/p=1")
+    put("a_1", "A; B\r\n1;x\r\n2;y")
+    put("a_2", "A; B\r\n\r\n3; z \r\n4;\r\n")
+    put("a_3", "B;A\nq;5\n")
+    put("a_4", 'A; B\n6;"p;\nr"\n')
+    put("a_5", "A; B\n")
+    put("a_6", "A; B\r7;w\r")
+    put("below/a_7", "A; B\n8;v\n")
+    put("below/p=1/a_8", "A; B\n9;u\n")
+    found = archives.archives(spark, f"{work}/*.zip")
+    assert found.count() == 6 and len(found.inputFiles()) == 8  # one listing of the folder
+    assert archives.csv_headers(found, "produkt", "latin-1").count() == 6
+    got = archives.csv_rows(found.coalesce(1), "produkt", ["A", "B"], "latin-1", ";")
+    assert rows(got) == [("1", "x"), ("2", "y"), ("3", "z"), ("4", None), ("5", "q"), ("6", "p;\nr"), ("7", "w")]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        archives.archives(spark, f"{work}/c*.zip").count()
+
+
+def test_a_station_has_an_archive_or_two(spark, work):
+    """Rows of a station that come in many tasks go to one."""
+    rows_in = spark.range(0, 4000, 1, 16).selectExpr("id % 50 AS stations_id", "timestamp'2024-01-05 00:00:00' AS ts", "1.5D AS tt_tu", "'eor' AS eor")
+    files.climate_archives(rows_in, f"{work}/z")
+    assert 50 <= len([f for f in os.listdir(f"{work}/z") if f.endswith(".zip")]) <= 100
+    assert climate.read_climate_archives(spark, f"{work}/z/*.zip", "TU").count() == 4000
+
+
 def test_climate_text(spark, work):
     os.makedirs(work)
     open(f"{work}/t.txt", "wb").write(TABLE.encode("latin-1"))
