@@ -60,6 +60,22 @@ def test_state_equals_marks_in_tables(spark, work):
     assert rows(spark.read.parquet(f"{work}/out"), "by", "seq") == rows(spark.read.parquet(f"{work}/out2"), "by", "seq")
 
 
+def test_marks_of_times_and_large_numbers_are_exact(spark, work):
+    """Microseconds stay, and numbers beyond 2^53 beside nulls are not rounded."""
+    schema = "by string, seq long, value timestamp, n long"
+    sql = "SELECT by, seq, timestampadd(MICROSECOND, us, timestamp'2024-10-27 00:59:59.999999Z') AS value, n FROM VALUES {} AS t(by, seq, us, n)"
+    def run(values, field, out):
+        spark.sql(sql.format(values)).coalesce(1).write.mode("append").parquet(f"{work}/in-{out}")
+        stream = spark.readStream.schema(schema).parquet(f"{work}/in-{out}")
+        T.to_files(stream_high_water(stream, ["seq"], field, ["by"]), f"{work}/{out}", f"{work}/c-{out}")
+        return rows(spark.read.parquet(f"{work}/{out}"), "seq")
+
+    run("('x', 1, 0, 1L), ('x', 2, 0, 1L), ('x', 3, 3600000000, 1L)", "value", "t")
+    assert run("('x', 4, 3599999999, 1L), ('x', 5, 3600000001, null)", "value", "t") == [(1,), (3,), (5,)]
+    assert rows(spark.read.parquet(f"{work}/t").selectExpr("unix_micros(value) - 1729990799999999"), ) == [(0,), (3600000000,), (3600000001,)]
+    assert run("('x', 1, 0, 9007199254740992L), ('x', 2, 0, null), ('x', 3, 0, 9007199254740993L)", "n", "n") == [(1,), (3,)]
+
+
 def test_silent_sources_are_named(spark, work):
     feed(spark, work, ("x", 1, 5), ("y", 1, 7))
     query = high_water(spark, work, every="1 second", silent_after=4)
