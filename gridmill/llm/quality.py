@@ -1,8 +1,8 @@
 """Quality rules and an isolation forest over their statistics.
 
 Rule statistics are counted over whole texts in arrays. The forest isolates a document by random splits of its
-statistics: a short mean path is an odd document. Trees grow on a bounded sample of labelled good rows; the length of
-path below which a document goes is set from the labelled rows of that sample.
+statistics: a short mean path is an odd document. Each tree grows on its own few labelled good rows, as the method has
+it; the length of path below which a document goes is set from all labelled rows.
 
 A null text has no word and fails the base rules, as does any text of fewer than ten words. Without labels of both
 kinds nothing but the base rules removes rows. Repeated rows are judged alike. Other columns are not read.
@@ -13,13 +13,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from gridmill.llm.textarrays import SPACE, Texts, chunks, counts_by, marked_runs, prefix_sums, repeated, shingles, span_hash
+from gridmill.session import checkpointed
 
-#: Labelled rows that the forest and its threshold may use.
-MAX_LABELLED = 20_000
+#: Trees, and the good rows that one of them grows on.
 TREES, SUBSAMPLE = 128, 256
 #: Share of good labelled rows that the threshold may remove.
 MAX_GOOD_LOST = 0.003
@@ -159,35 +161,59 @@ def base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = MAX_LABELLED, max_good_lost: float = MAX_GOOD_LOST) -> tuple[Forest | None, float]:
-    """A forest and the score above which a document goes, from at most ``max_labelled`` labelled rows picked by hash."""
-    one = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    picked = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    # The picked rows are at most max_labelled pairs of numbers.
-    known = measured(docs.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_semi")).where(~base_failed())
-    rows = known.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).select("quality", "shares").toArrow()
-    good = rows.column("quality").to_numpy() > 0
-    if not len(good) or good.all() or good.sum() < 2:
-        return None, 1.0
-    shares = np.array(rows.column("shares").to_pylist())
-    order = np.lexsort(shares.T)  # the same forest in whatever order the rows arrive
-    good, shares = good[order], shares[order]
-    forest = Forest(shares[good], shares.min(axis=0), shares.max(axis=0))
-    score = forest.score(shares)
-    levels = np.unique(score)
-    above = lambda x: len(x) - np.searchsorted(np.sort(x), levels, side="right")
-    lost, caught = above(score[good]) / good.sum(), above(score[~good]) / (~good).sum()
-    gain = np.where(lost <= max_good_lost, caught - lost, -1.0)
-    return forest, float(levels[gain.argmax()])
-
+def fit(rows: DataFrame, labels: DataFrame, *, max_good_lost: float = MAX_GOOD_LOST) -> tuple[Forest | None, float]:
+    """A forest and the score above which a document goes. ``rows`` are measured documents.
 
-def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """doc_id, the counts, base_failed, anomaly (the forest's score) and kept for every row."""
-    forest, limit = fit(docs, labels, **options)
-    rows = measured(docs).withColumn("base_failed", base_failed())
-    if forest is None:
-        return rows.withColumn("anomaly", F.lit(0.0)).withColumn("kept", ~F.col("base_failed")).drop("shares")
-    held = docs.sparkSession.sparkContext.broadcast(forest)
+    A tree grows on its own ``SUBSAMPLE`` good rows, as the method has it; they are dealt from as many rows, in order of a hash
+    of the id, as all trees take. The box of values, the scores and the threshold are those of all labelled rows.
+    """
+    one = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
+    known = (rows.where(~base_failed()).select("doc_id", "shares").join(one, "doc_id").dropDuplicates(["doc_id"])
+             .select("doc_id", (F.col("quality") > 0).alias("good"), "shares").persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        sides = [F.array(*[side(F.col("shares")[k]) for k in range(len(SHARES))]) for side in (F.min, F.max)]
+        n_good, n_bad, low, high = known.agg(F.count_if("good"), F.count_if(~F.col("good")), *sides).first()
+        if n_good < 2 or not n_bad:
+            return None, 1.0
+        picked = known.where("good").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TREES * SUBSAMPLE).select("shares").toArrow()
+        shares = np.array(picked.column("shares").to_pylist())
+        shares = shares[np.lexsort(shares.T)]  # the same forest in whatever order the rows arrive
+        forest = Forest(shares, np.array(low), np.array(high))
+        return forest, _threshold(scored(known, forest, "doc_id long, good boolean"), n_good, n_bad, max_good_lost)
+    finally:
+        known.unpersist()
+
+
+def _threshold(rows: DataFrame, n_good: int, n_bad: int, max_good_lost: float) -> float:
+    """The score whose larger ones take most bad rows less good ones, in shares, and at most so many good ones; the least of equals.
+
+    Levels are cut into ranges of scores; how many rows lie above a range is one pair of numbers for each.
+    """
+    levels = rows.groupBy("anomaly").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    # The range of a level must not change when a task is run again.
+    cut = checkpointed(levels.repartitionByRange("anomaly").withColumn("part", F.spark_partition_id()))
+    sums = cut.groupBy("part").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("anomaly").alias("top")).collect()
+    sums.sort(key=lambda r: -r["top"])
+    above, good, bad = {}, 0, 0
+    for r in sums:
+        above[r["part"]] = good, bad
+        good, bad = good + r["good"], bad + r["bad"]
+
+    def best(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("anomaly")
+        more = [after + frame[k].sum() - frame[k].cumsum() for k, after in zip(("good", "bad"), above[frame["part"].iloc[0]])]
+        lost, caught = more[0] / n_good, more[1] / n_bad
+        gain = np.where(lost <= max_good_lost, caught - lost, -1.0)
+        at = int(gain.argmax())
+        return pd.DataFrame({"gain": [gain[at]], "level": [frame["anomaly"].iloc[at]]})
+
+    found = cut.groupBy("part").applyInPandas(best, "gain double, level double").collect()
+    return min(found, key=lambda r: (-r["gain"], r["level"]))["level"]
+
+
+def scored(rows: DataFrame, forest: Forest, schema: str) -> DataFrame:
+    """Rows, whose columns are those of the schema and the statistics, with the forest's score instead of the statistics."""
+    held = rows.sparkSession.sparkContext.broadcast(forest)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,5 +221,15 @@ def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
             kept = batch.drop_columns(["shares"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(held.value.score(flat))], names=[*kept.schema.names, "anomaly"])
 
-    scored = rows.mapInArrow(score, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, anomaly double")
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= limit))
+    return rows.mapInArrow(score, f"{schema}, anomaly double")
+
+
+def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """doc_id, the counts, base_failed, anomaly (the forest's score) and kept for every row."""
+    found = measured(docs)
+    forest, limit = fit(found, labels, **options)
+    rows = found.withColumn("base_failed", base_failed())
+    if forest is None:
+        return rows.withColumn("anomaly", F.lit(0.0)).withColumn("kept", ~F.col("base_failed")).drop("shares")
+    judged = scored(rows, forest, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean")
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= limit))

@@ -238,6 +238,25 @@ def test_quality_odd_rows(odd, spark):
     assert quality.judge(odd.limit(0), labels).collect() == []
 
 
+def test_quality_threshold_is_that_of_all_labelled_rows(spark):
+    """More labelled rows than a sample would hold: the threshold is the best one over every one of them."""
+    rng = np.random.default_rng(5)
+    n = 24_000
+    bad = rng.random(n) < 0.2
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(("#" * int(rng.integers(0, 4)) if rng.random() < (0.3 if b else 0.02) else "") + words[k].upper() * int(rng.integers(1, 3))
+                      for k in rng.integers(0, 400, int(rng.integers(10, 14)))) for b in bad]
+    docs = spark.createDataFrame(list(zip(range(n), texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(not b)) for i, b in enumerate(bad)], "doc_id long, quality int")
+    got = quality.judge(docs, labels).where("not base_failed").collect()
+    assert len(got) > 20_000
+    score, good = np.array([r["anomaly"] for r in got]), np.array([not bad[r["doc_id"]] for r in got])
+    levels = np.unique(score)
+    lost, caught = [(len(x) - np.searchsorted(np.sort(x), levels, side="right")) / len(x) for x in (score[good], score[~good])]
+    best = levels[np.where(lost <= quality.MAX_GOOD_LOST, caught - lost, -1.0).argmax()]
+    assert [r["kept"] for r in got] == list(score <= best)
+
+
 def test_forest_isolates_what_lies_apart():
     rng = np.random.default_rng(1)
     rows = rng.normal(0.5, 0.02, (400, 3))
